@@ -1,14 +1,27 @@
+"""Scalar functions. Those that compute take and return SQL expression text.
+
+Text composes inside ``selectExpr`` and ``expr``, keeps every rule a native
+expression, and costs one call to the JVM however long the rule is.
+"""
+
 from greenwave.functions.constants import *  # noqa: F401,F403
-from greenwave.functions.numbers import hundredths, plain_decimal, ratio_half_up, to_fixed  # noqa: F401
+from greenwave.functions.numbers import (  # noqa: F401
+    FIXED_UNIT,
+    hundredths,
+    plain_decimal,
+    ratio_half_up,
+    to_fixed,
+)
 from greenwave.functions.rules import (  # noqa: F401
     SignalRules,
     density_class,
     green_seconds,
     hour_band,
+    hour_factor,
+    lookup,
     mode_label,
     mode_symbol,
     or_default,
-    severity_label,
     severity_rank,
     severity_symbol,
     traffic_mode,

@@ -5,31 +5,26 @@ arrive, which flips rounding ties. Readings are therefore carried as integers
 (ten-thousandths) and averaged with integer half-up rounding.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 FIXED_UNIT = 10_000
 
 
-def to_fixed(value: Column) -> Column:
-    """Double to a long count of ten-thousandths; NaN, infinities and overflow give NULL."""
-    return F.round(value * F.lit(float(FIXED_UNIT))).try_cast("long")
+def to_fixed(value: str) -> str:
+    """Double to a bigint count of ten-thousandths; NaN, infinities and overflow give NULL."""
+    return f"try_cast(round({value} * {FIXED_UNIT}D) AS BIGINT)"
 
 
-def ratio_half_up(numerator: Column, denominator: Column) -> Column:
-    """``numerator / denominator`` of longs, rounded half up to a long; NULL for a zero denominator."""
-    twice = F.nullif(denominator, F.lit(0)) * 2
-    shifted = numerator * 2 + denominator
-    return F.round((shifted - F.pmod(shifted, twice)) / twice).cast("long")
+def ratio_half_up(numerator: str, denominator: str) -> str:
+    """Bigint ratio rounded half up to a bigint; NULL for a zero denominator."""
+    shifted = f"(2 * ({numerator}) + ({denominator}))"
+    twice = f"(2 * nullif({denominator}, 0))"
+    return f"(({shifted} - pmod({shifted}, {twice})) div {twice})"
 
 
-def hundredths(units: Column) -> Column:
-    """A long count of hundredths as a double with two decimals."""
-    return units / F.lit(100.0)
+def hundredths(units: str) -> str:
+    """A count of hundredths as a double with two decimals."""
+    return f"(({units}) / 100D)"
 
 
-def plain_decimal(value: Column) -> Column:
+def plain_decimal(value: str) -> str:
     """A two-decimal double as text with at least one decimal and never an exponent."""
-    return F.regexp_replace(value.cast("decimal(30,2)").cast("string"), r"(\.\d)0$", "$1")
+    return f"regexp_replace(CAST(CAST({value} AS DECIMAL(30, 2)) AS STRING), '([.][0-9])0$', '$1')"

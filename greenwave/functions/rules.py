@@ -1,46 +1,47 @@
-"""Lookups and decision rules as native column expressions."""
+"""Lookups and decision rules as SQL expression text."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from greenwave.functions import constants as C
 
 
-def lookup(key: Column, table: Mapping, default) -> Column:
+def literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return str(value)
+
+
+def lookup(key: str, table: Mapping, default) -> str:
     """``table[key]`` with a default for unknown and NULL keys."""
-    chain = F
-    for name, value in table.items():
-        chain = chain.when(key == F.lit(name), F.lit(value))
-    return chain.otherwise(F.lit(default))
+    cases = " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in table.items())
+    return f"(CASE {key} {cases} ELSE {literal(default)} END)"
 
 
-def or_default(value: Column, empty, default) -> Column:
+def or_default(value: str, empty, default) -> str:
     """``default`` where ``value`` is NULL or equals its empty value (0 or '')."""
-    return F.coalesce(F.nullif(value, F.lit(empty)), F.lit(default))
+    return f"coalesce(nullif({value}, {literal(empty)}), {literal(default)})"
 
 
-def severity_rank(severity: Column) -> Column:
+def severity_rank(severity: str) -> str:
     return lookup(severity, C.SEVERITY_RANK, 0)
 
 
-def severity_label(rank: Column) -> Column:
-    return lookup(rank, {r: s for s, r in C.SEVERITY_RANK.items()}, "NONE")
-
-
-def mode_label(mode: Column) -> Column:
+def mode_label(mode: str) -> str:
     return lookup(mode, C.MODE_LABEL, "?")
 
 
-def mode_symbol(mode: Column, default: str = "") -> Column:
+def mode_symbol(mode: str, default: str = "") -> str:
     return lookup(mode, C.MODE_SYMBOL, default)
 
 
-def severity_symbol(severity: Column, default: str = "") -> Column:
+def severity_symbol(severity: str, default: str = "") -> str:
     return lookup(severity, C.SEVERITY_SYMBOL, default)
 
 
@@ -73,65 +74,59 @@ class SignalRules:
     cycle_seconds: int = C.CYCLE_SECONDS
 
 
-def traffic_mode(
-    total: Column, speed: Column, severity: Column, rules: SignalRules = SignalRules()
-) -> Column:
+def traffic_mode(total: str, speed: str, severity: str, rules: SignalRules = SignalRules()) -> str:
     """Traffic mode of a window; the first matching rule wins.
 
     ``speed`` is the average already rounded to two decimals. A missing total
     counts as 0 and a missing speed as 0, which makes the window CONGESTION.
     """
-    total = F.coalesce(total, F.lit(0))
-    speed = F.coalesce(speed, F.lit(0.0))
-    volume = F
-    for above, score in rules.volume_scores:
-        volume = volume.when(total > above, F.lit(score))
-    volume = volume.otherwise(F.lit(rules.base_score))
-    score = volume + lookup(severity, rules.severity_malus, 0)
+    volume = " ".join(
+        f"WHEN coalesce({total}, 0) > {above} THEN {score}" for above, score in rules.volume_scores
+    )
+    score = (
+        f"((CASE {volume} ELSE {rules.base_score} END) + "
+        f"{lookup(severity, rules.severity_malus, 0)})"
+    )
     return (
-        F.when(severity == rules.override, F.lit("EMERGENCY"))
-        .when(speed < rules.slow_kmh, F.lit("CONGESTION"))
-        .when(score >= rules.dense_score, F.lit("DENSE"))
-        .when(score >= rules.moderate_score, F.lit("MODERATE"))
-        .otherwise(F.lit("FLUID"))
+        f"(CASE WHEN {severity} = {literal(rules.override)} THEN 'EMERGENCY' "
+        f"WHEN coalesce({speed}, 0D) < {literal(float(rules.slow_kmh))} THEN 'CONGESTION' "
+        f"WHEN {score} >= {rules.dense_score} THEN 'DENSE' "
+        f"WHEN {score} >= {rules.moderate_score} THEN 'MODERATE' "
+        "ELSE 'FLUID' END)"
     )
 
 
-def green_seconds(mode: Column, rules: SignalRules = SignalRules()) -> Column:
-    return lookup(mode, rules.green_seconds, None).cast("int")
+def green_seconds(mode: str, rules: SignalRules = SignalRules()) -> str:
+    return lookup(mode, rules.green_seconds, None)
 
 
-def density_class(count: Column) -> Column:
+def density_class(count: str) -> str:
     """HIGH above 20 vehicles, MEDIUM above 10, else LOW; NULL stays NULL."""
-    return F.when(
-        count.isNotNull(),
-        F.when(count > 20, "HIGH").when(count > 10, "MEDIUM").otherwise("LOW"),
+    return (
+        f"(CASE WHEN {count} > 20 THEN 'HIGH' WHEN {count} > 10 THEN 'MEDIUM' "
+        f"WHEN {count} IS NOT NULL THEN 'LOW' END)"
     )
 
 
-# Hour bands in order of precedence: name, inclusive hour ranges, factor range.
+# Hour bands in order of precedence, with inclusive hour ranges and
+# the range of the density factor.
 HOUR_BANDS = [
     ("PEAK", [(7, 9), (17, 19)], (1.5, 2.5)),
     ("MIDDAY", [(12, 14)], (1.0, 1.5)),
     ("NIGHT", [(0, 5)], (0.1, 0.3)),
+    ("NORMAL", [(0, 23)], (0.5, 1.0)),
 ]
-NORMAL_BAND = ("NORMAL", (0.5, 1.0))
-
-
-def hour_band(time: Column) -> tuple[Column, Column, Column]:
-    """``(band, lowest factor, highest factor)`` expected at the hour of ``time``."""
-    hour = F.hour(time)
-    band = low = high = F
-    for name, ranges, (lo, hi) in HOUR_BANDS:
-        inside = F.lit(False)
-        for first, last in ranges:
-            inside = inside | hour.between(first, last)
-        band = band.when(inside, F.lit(name))
-        low = low.when(inside, F.lit(lo))
-        high = high.when(inside, F.lit(hi))
-    name, (lo, hi) = NORMAL_BAND
-    return (
-        F.when(hour.isNotNull(), band.otherwise(F.lit(name))),
-        F.when(hour.isNotNull(), low.otherwise(F.lit(lo))),
-        F.when(hour.isNotNull(), high.otherwise(F.lit(hi))),
+
+
+def hour_band(time: str) -> str:
+    """Name of the density band at the hour of ``time``."""
+    cases = " ".join(
+        "WHEN " + " OR ".join(f"hour({time}) BETWEEN {a} AND {b}" for a, b in hours) + f" THEN '{name}'"
+        for name, hours, _ in HOUR_BANDS
     )
+    return f"(CASE {cases} END)"
+
+
+def hour_factor(band: str, which: int) -> str:
+    """Lowest (``which=0``) or highest (1) density factor expected in a band."""
+    return lookup(band, {name: factors[which] for name, _, factors in HOUR_BANDS}, None)

@@ -1,50 +1,43 @@
 """Event-time parsing, rendering and differences, all in UTC."""
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from greenwave.functions.constants import EVENT_TIME_FORMAT
 from greenwave.functions.numbers import hundredths, ratio_half_up
 
 # Fixed formats of the decision log: seconds, with or without a fraction of up to six digits.
-SECONDS_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
-LOGGED_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
+SECONDS_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+LOGGED_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?$"
 
 
-def parse_event_time(text: Column) -> Column:
+def parse_event_time(text: str) -> str:
     """Strict event time; anything else, a zone suffix or a fraction included, is NULL."""
-    return F.try_to_timestamp(text, F.lit(EVENT_TIME_FORMAT))
+    return f'try_to_timestamp({text}, "{EVENT_TIME_FORMAT}")'
 
 
-def parse_produced_at(text: Column) -> Column:
+def parse_produced_at(text: str) -> str:
     """Production time at whole seconds; one- or two-digit fields are accepted."""
-    return F.when(
-        text.rlike(SECONDS_SHAPE), F.try_to_timestamp(text, F.lit("yyyy-M-d'T'H:m:s"))
-    )
+    return f"CASE WHEN {text} RLIKE '{SECONDS_SHAPE}' THEN try_to_timestamp({text}, \"yyyy-M-d'T'H:m:s\") END"
 
 
-def parse_logged_time(text: Column) -> Column:
+def parse_logged_time(text: str) -> str:
     """Time written by a decision log: outer blanks dropped, blank or ``T`` separator,
     optional fraction; other forms are NULL."""
-    joined = F.translate(F.regexp_replace(text, r"^\s+|\s+$", ""), " ", "T")
-    return F.when(
-        joined.rlike(LOGGED_SHAPE),
-        F.try_to_timestamp(joined, F.lit("yyyy-M-d'T'H:m:s[.SSSSSS]")),
+    joined = rf"translate(regexp_replace({text}, r'^\s+|\s+$', ''), ' ', 'T')"
+    return (
+        f"CASE WHEN {joined} RLIKE '{LOGGED_SHAPE}' "
+        f"THEN try_to_timestamp({joined}, \"yyyy-M-d'T'H:m:s[.SSSSSS]\") END"
     )
 
 
-def iso_seconds(time: Column) -> Column:
-    return F.date_format(time, EVENT_TIME_FORMAT)
+def iso_seconds(time: str) -> str:
+    return f'date_format({time}, "{EVENT_TIME_FORMAT}")'
 
 
-def expiry(event_time: Column, minutes: Column) -> Column:
+def expiry(event_time: str, minutes: str) -> str:
     """``event_time`` plus whole minutes."""
-    return event_time + F.make_dt_interval(mins=minutes)
+    return f"({event_time} + make_dt_interval(0, 0, {minutes}))"
 
 
-def elapsed_ms(later: Column, earlier: Column) -> Column:
+def elapsed_ms(later: str, earlier: str) -> str:
     """Milliseconds from ``earlier`` to ``later`` at two decimals; -1 if either is unknown."""
-    micros = F.unix_micros(later) - F.unix_micros(earlier)
-    return F.coalesce(hundredths(ratio_half_up(micros, F.lit(10).cast("long"))), F.lit(-1.0))
+    micros = f"unix_micros({later}) - unix_micros({earlier})"
+    return f"coalesce({hundredths(ratio_half_up(micros, '10'))}, -1D)"

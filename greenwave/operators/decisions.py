@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenwave.functions import (
@@ -29,111 +29,85 @@ def decide(
     Missing totals and speeds become 0, and the speed is rounded to two decimals
     before it meets the threshold.
     """
-    filled = metrics.withColumns({
-        "total_vehicles": F.coalesce("total_vehicles", F.lit(0).cast("long")),
+    replaced = {
+        "total_vehicles": "coalesce(total_vehicles, 0L)",
         "avg_speed_kmh": rounded_speed(metrics),
-        "worst_severity": F.coalesce(severity, F.lit("NONE")),
-    }).drop("speed_sum", "speed_readings")
-    mode = traffic_mode(
-        F.col("total_vehicles"), F.col("avg_speed_kmh"), F.col("worst_severity"), rules
-    )
+        "worst_severity": f"coalesce({severity}, 'NONE')",
+    }
+    spent = {"speed_sum", "speed_readings", *replaced}
+    mode = traffic_mode("total_vehicles", "avg_speed_kmh", "worst_severity", rules)
     return (
-        filled.withColumn("traffic_mode", mode)
-        .withColumn("green_duration_sec", green_seconds(F.col("traffic_mode"), rules))
-        .withColumn(
-            "red_duration_sec",
-            (F.lit(rules.cycle_seconds) - F.col("green_duration_sec")).cast("int"),
+        metrics.selectExpr(
+            *[c for c in metrics.columns if c not in spent],
+            *[f"{expression} AS {name}" for name, expression in replaced.items()],
         )
+        .selectExpr("*", f"{mode} AS traffic_mode")
+        .selectExpr("*", f"{green_seconds('traffic_mode', rules)} AS green_duration_sec")
+        .selectExpr("*", f"{rules.cycle_seconds} - green_duration_sec AS red_duration_sec")
     )
 
 
 def decision_records(
-    decisions: DataFrame, decided_at: Column | None = None, keep: Sequence[str] = ()
+    decisions: DataFrame, decided_at: str = "current_timestamp()", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Decisions in the published record layout, times as ISO text.
 
-    ``decided_at`` is the decision time; by default the time the query (or the
-    micro-batch) runs. ``keep`` names further columns to pass on.
+    ``decided_at`` is the decision time as an expression; by default the time the
+    query (or the micro-batch) runs. ``keep`` names further columns to pass on.
     """
-    now = F.current_timestamp() if decided_at is None else decided_at
-    stamped = decisions.withColumn("_decided", now)
-    return stamped.select(
+    return decisions.selectExpr("*", f"{decided_at} AS _decided").selectExpr(
         "intersection_id",
-        iso_seconds(F.col("window_start")).alias("window_start"),
-        iso_seconds(F.col("window_end")).alias("window_end"),
+        f"{iso_seconds('window_start')} AS window_start",
+        f"{iso_seconds('window_end')} AS window_end",
         "total_vehicles",
         "avg_speed_kmh",
         "worst_severity",
         "traffic_mode",
         "green_duration_sec",
         "red_duration_sec",
-        iso_seconds(F.col("_decided")).alias("decision_timestamp"),
-        elapsed_ms(F.col("_decided"), F.col("min_produced_at")).alias("e2e_latency_ms"),
+        f"{iso_seconds('_decided')} AS decision_timestamp",
+        f"{elapsed_ms('_decided', 'min_produced_at')} AS e2e_latency_ms",
         *keep,
     )
 
 
 def keyed_json(records: DataFrame) -> DataFrame:
     """``key`` (intersection) and ``value`` (the whole record as JSON, nulls kept)."""
-    fields = [F.col(name) for name in DECISION.fieldNames()]
     return records.select(
         F.col("intersection_id").alias("key"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        F.to_json(F.struct(*DECISION.fieldNames()), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 
-def status_line(records: DataFrame, tag: str = "[Spark]") -> Column:
-    """Log line of the deciding job; an unknown latency shows as N/A."""
-    latency = F.when(
-        F.col("e2e_latency_ms") >= 0, F.concat(plain_decimal(F.col("e2e_latency_ms")), F.lit("ms"))
-    ).otherwise("N/A")
-    return F.concat(
-        F.lit(f"{tag} "),
-        mode_label(F.col("traffic_mode")),
-        F.lit(" "),
-        F.coalesce("intersection_id", F.lit("None")),
-        F.lit(" | "),
-        F.col("traffic_mode"),
-        F.lit(" | Veh:"),
-        F.col("total_vehicles").cast("string"),
-        F.lit(" | "),
-        plain_decimal(F.col("avg_speed_kmh")),
-        F.lit("km/h | Sev:"),
-        F.col("worst_severity"),
-        F.lit(" | Vert:"),
-        F.col("green_duration_sec").cast("string"),
-        F.lit("s Rouge:"),
-        F.col("red_duration_sec").cast("string"),
-        F.lit("s | Latence E2E:"),
-        latency,
+def status_line(tag: str = "[Spark]") -> str:
+    """Log line of the deciding job, as expression text; an unknown latency shows as N/A."""
+    latency = (
+        f"CASE WHEN e2e_latency_ms >= 0 THEN {plain_decimal('e2e_latency_ms')} || 'ms' "
+        "ELSE 'N/A' END"
+    )
+    return (
+        f"'{tag} ' || {mode_label('traffic_mode')} || ' ' || coalesce(intersection_id, 'None')"
+        " || ' | ' || traffic_mode || ' | Veh:' || total_vehicles"
+        f" || ' | ' || {plain_decimal('avg_speed_kmh')} || 'km/h | Sev:' || worst_severity"
+        " || ' | Vert:' || green_duration_sec || 's Rouge:' || red_duration_sec"
+        f" || 's | Latence E2E:' || {latency}"
     )
 
 
-def receipt_line(received: DataFrame, tag: str = "[DecisionService]") -> Column:
-    """Log line of the receiving side, with both latencies."""
-
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit("None"))
-
-    def number(name: str) -> Column:
-        whole = F.when(F.col(name) == -1, F.lit("-1"))
-        return whole.otherwise(plain_decimal(F.col(name)))
-
-    mode = F.coalesce("traffic_mode", F.lit("?"))
-    return F.concat(
-        F.lit(f"{tag} "),
-        mode_symbol(mode, default="⚪"),
-        F.lit(" "),
-        F.col("intersection_id"),
-        F.lit(" | Mode: "),
-        mode,
-        F.lit(" | Vert: "),
-        text("green_duration_sec"),
-        F.lit("s | Véhicules: "),
-        text("total_vehicles"),
-        F.lit(" | Latence Kafka: "),
-        number("latency_ms"),
-        F.lit("ms | Latence E2E: "),
-        number("e2e_latency_ms"),
-        F.lit("ms"),
+def receipt_line(tag: str = "[DecisionService]") -> str:
+    """Log line of the receiving side, as expression text, with both latencies."""
+
+    def text(name: str) -> str:
+        return f"coalesce(CAST({name} AS STRING), 'None')"
+
+    def number(name: str) -> str:
+        return f"CASE WHEN {name} = -1 THEN '-1' ELSE {plain_decimal(name)} END"
+
+    return (
+        f"'{tag} ' || {mode_symbol('traffic_mode', default='⚪')} || ' ' || intersection_id"
+        " || ' | Mode: ' || coalesce(traffic_mode, '?')"
+        f" || ' | Vert: ' || {text('green_duration_sec')}"
+        f" || 's | Véhicules: ' || {text('total_vehicles')}"
+        f" || ' | Latence Kafka: ' || {number('latency_ms')}"
+        f" || 'ms | Latence E2E: ' || {number('e2e_latency_ms')} || 'ms'"
     )

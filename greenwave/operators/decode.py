@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,9 +20,8 @@ def decode(raw: DataFrame, schema: StructType, value: str = "value") -> DataFram
     """
     return (
         raw.select(F.from_json(F.col(value).cast("string"), schema).alias("d"))
-        .select("d.*")
-        .withColumn("event_time", parse_event_time(F.col("timestamp")))
-        .filter(F.col("event_time").isNotNull())
+        .selectExpr("d.*", f"{parse_event_time('d.timestamp')} AS event_time")
+        .filter("event_time IS NOT NULL")
     )
 
 
@@ -43,18 +42,18 @@ def classify_records(raw: DataFrame, schema: StructType, value: str = "value") -
     with_corrupt = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
     text = F.col(value).cast("string")
     parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
-    rows = (
+    return (
         raw.select(text.alias("payload"), parsed.alias("d"))
-        .select("payload", "d.*")
-        .withColumn("event_time", parse_event_time(F.col("timestamp")))
-    )
-    reason = (
-        F.when(F.col("timestamp").isNull() & F.col(_CORRUPT).isNotNull(), "malformed_json")
-        .when(F.col("timestamp").isNull(), "missing_event_time")
-        .when(F.col("event_time").isNull(), "bad_event_time")
-        .when(F.col("intersection_id").isNull(), "missing_intersection")
+        .selectExpr("payload", "d.*", f"{parse_event_time('d.timestamp')} AS event_time")
+        .selectExpr(
+            "*",
+            f"""CASE WHEN timestamp IS NULL AND {_CORRUPT} IS NOT NULL THEN 'malformed_json'
+                     WHEN timestamp IS NULL THEN 'missing_event_time'
+                     WHEN event_time IS NULL THEN 'bad_event_time'
+                     WHEN intersection_id IS NULL THEN 'missing_intersection' END AS reason""",
+        )
+        .drop(_CORRUPT)
     )
-    return rows.withColumn("reason", reason).drop(_CORRUPT)
 
 
 def split_bad_records(
@@ -62,8 +61,8 @@ def split_bad_records(
 ) -> tuple[DataFrame, DataFrame]:
     """``(usable rows, quarantine)``; the quarantine keeps the payload and its reason."""
     rows = classify_records(raw, schema, value)
-    good = rows.filter(F.col("reason").isNull()).drop("reason", "payload")
-    bad = rows.filter(F.col("reason").isNotNull()).select("payload", "reason")
+    good = rows.filter("reason IS NULL").drop("reason", "payload")
+    bad = rows.filter("reason IS NOT NULL").select("payload", "reason")
     return good, bad
 
 
@@ -76,18 +75,19 @@ def decode_decisions(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     text = F.col(value).cast("string")
     others = [c for c in raw.columns if c != value]
-    rows = raw.select(
+    parsed = raw.select(
         *others,
         F.from_json(text, DECISION).alias("d"),
         F.json_object_keys(text).alias("_keys"),
-    ).select(*others, "d.*", "_keys")
-    reason: Column = F.when(F.col("_keys").isNull(), "malformed_json").when(
-        F.array_contains("_keys", "e2e_latency_ms") & F.col("e2e_latency_ms").isNull(),
-        "bad_latency",
     )
-    return (
-        rows.withColumn("reason", reason)
-        .withColumn("intersection_id", F.coalesce("intersection_id", F.lit("UNKNOWN")))
-        .withColumn("e2e_latency_ms", F.coalesce("e2e_latency_ms", F.lit(-1.0)))
-        .drop("_keys")
+    filled = {
+        "intersection_id": "coalesce(d.intersection_id, 'UNKNOWN')",
+        "e2e_latency_ms": "coalesce(d.e2e_latency_ms, -1D)",
+    }
+    return parsed.selectExpr(
+        *others,
+        *[f"{filled.get(name, 'd.' + name)} AS {name}" for name in DECISION.fieldNames()],
+        """CASE WHEN _keys IS NULL THEN 'malformed_json'
+                WHEN array_contains(_keys, 'e2e_latency_ms') AND d.e2e_latency_ms IS NULL
+                THEN 'bad_latency' END AS reason""",
     )

@@ -20,7 +20,7 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenwave.operators.incidents import live_incidents
@@ -130,14 +130,14 @@ def fold_incidents(
     """Incident stored per intersection after all arrivals, in (arrival, event_id) order."""
     arrivals = (
         live_incidents(incidents, arrival)
-        .filter(F.col("intersection_id").isNotNull())
-        .select(
+        .filter("intersection_id IS NOT NULL")
+        .selectExpr(
             "intersection_id",
-            F.unix_micros(arrival).alias("at"),
-            F.col("event_id").cast("string").alias("event_id"),
-            F.col("severity_rank").cast("int").alias("rank"),
-            F.unix_micros("event_time").alias("time"),
-            F.unix_micros("expires_at").alias("end"),
+            f"unix_micros({arrival}) AS at",
+            "CAST(event_id AS STRING) AS event_id",
+            "severity_rank AS rank",
+            "unix_micros(event_time) AS time",
+            "unix_micros(expires_at) AS end",
             "severity",
         )
     )
@@ -155,39 +155,30 @@ def fold_incidents(
             )
         ).alias("steps")
     )
-    nothing = F.lit(None).cast("struct<rank:int,time:bigint,end:bigint,severity:string>")
-
-    def apply(acc: Column, step: Column) -> Column:
-        incoming = F.when(step["step"] == 0, acc["stored"]).otherwise(acc["incoming"])
-        reached = F.when(
-            incoming.isNull() | (step["step"] == 0), step["step"] == 0
-        ).otherwise(
-            (step["max_rank"] <= incoming["rank"])
-            & (step["max_time"] < incoming["time"])
-            & (step["max_at"] <= incoming["end"])
-        )
-        outcome = F.when(step["rank"].isNull(), incoming).otherwise(
-            F.struct(step["rank"], step["time"], step["end"], step["severity"])
-        )
-        stored = F.when(reached, outcome).otherwise(acc["stored"])
-        return F.struct(incoming.alias("incoming"), stored.alias("stored"))
-
-    return (
-        chained.select(
-            "intersection_id",
-            F.aggregate(
-                "steps",
-                F.struct(nothing.alias("incoming"), nothing.alias("stored")),
-                apply,
-                lambda acc: acc["stored"],
-            ).alias("s"),
-        )
-        .filter(F.col("s").isNotNull())
-        .select(
-            "intersection_id",
-            F.col("s.severity").alias("severity"),
-            F.col("s.rank").alias("severity_rank"),
-            F.timestamp_micros("s.time").alias("event_time"),
-            F.timestamp_micros("s.end").alias("expires_at"),
-        )
+    # Run through the steps of an intersection in order. Within a stretch the last step
+    # whose bounds the incoming state meets tells what is stored at its end.
+    state = "STRUCT<rank: INT, time: BIGINT, end: BIGINT, severity: STRING>"
+    chained = chained.selectExpr(
+        "intersection_id",
+        f"""aggregate(
+              steps,
+              named_struct('incoming', CAST(NULL AS {state}), 'stored', CAST(NULL AS {state})),
+              (acc, s) -> transform(
+                array(if(s.step = 0, acc.stored, acc.incoming)),
+                incoming -> named_struct(
+                  'incoming', incoming,
+                  'stored', CASE
+                    WHEN s.step > 0 AND (incoming IS NULL OR s.max_rank > incoming.rank
+                      OR s.max_time >= incoming.time OR s.max_at > incoming.end) THEN acc.stored
+                    WHEN s.rank IS NULL THEN incoming
+                    ELSE named_struct('rank', s.rank, 'time', s.time, 'end', s.end,
+                                      'severity', s.severity) END))[0],
+              acc -> acc.stored) AS s""",
+    )
+    return chained.filter("s IS NOT NULL").selectExpr(
+        "intersection_id",
+        "s.severity AS severity",
+        "s.rank AS severity_rank",
+        "timestamp_micros(s.time) AS event_time",
+        "timestamp_micros(s.end) AS expires_at",
     )

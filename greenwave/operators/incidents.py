@@ -12,7 +12,7 @@ including its expiry.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenwave.functions import (
@@ -23,9 +23,13 @@ from greenwave.functions import (
     severity_rank,
 )
 
-_RANKS = sorted(rank for rank in SEVERITY_RANK.values() if rank > 0)
-_UNTIL = {rank: f"_until_{rank}" for rank in _RANKS}
-_INCIDENT_COLS = ["_severity", "_expires_at", "_until_any", *_UNTIL.values()]
+# Severities that outrank NONE, worst first, each with its "furthest expiry" column.
+_UNTIL = {
+    severity: f"_until_{severity.lower()}"
+    for severity, rank in sorted(SEVERITY_RANK.items(), key=lambda item: -item[1])
+    if rank > 0
+}
+_ENDS = ["_until_any", *_UNTIL.values()]
 
 
 def incident_lifetimes(incidents: DataFrame) -> DataFrame:
@@ -33,13 +37,16 @@ def incident_lifetimes(incidents: DataFrame) -> DataFrame:
 
     Duration 0 or NULL means 30 minutes; severity '' or NULL means NONE.
     """
-    minutes = or_default(F.col("estimated_duration_min"), 0, DEFAULT_DURATION_MIN)
-    severity = or_default(F.col("severity"), "", "NONE")
-    return (
-        incidents.withColumn("estimated_duration_min", minutes)
-        .withColumn("severity", severity)
-        .withColumn("severity_rank", severity_rank(F.col("severity")))
-        .withColumn("expires_at", expiry(F.col("event_time"), F.col("estimated_duration_min")))
+    filled = {
+        "estimated_duration_min": or_default("estimated_duration_min", 0, DEFAULT_DURATION_MIN),
+        "severity": or_default("severity", "", "NONE"),
+    }
+    return incidents.selectExpr(
+        *[f"{filled[c]} AS {c}" if c in filled else c for c in incidents.columns]
+    ).selectExpr(
+        "*",
+        f"{severity_rank('severity')} AS severity_rank",
+        f"{expiry('event_time', 'estimated_duration_min')} AS expires_at",
     )
 
 
@@ -48,9 +55,7 @@ def live_incidents(incidents: DataFrame, arrival: str | None = None) -> DataFram
 
     Without an ``arrival`` column the arrival is the event time (in-order replay).
     """
-    return incident_lifetimes(incidents).filter(
-        F.col("expires_at") >= F.col(arrival or "event_time")
-    )
+    return incident_lifetimes(incidents).filter(f"expires_at >= {arrival or 'event_time'}")
 
 
 def severity_at(
@@ -77,108 +82,97 @@ def severity_at(
     ``horizon`` bounds how long after its event time an incident may match,
     whatever its duration. Points without an intersection match nothing.
     """
-    seconds = F.lit(_seconds(block)).cast("long")
-
-    def block_of(moment: Column) -> Column:
-        return F.floor(F.unix_seconds(moment) / seconds)
-
-    life = live_incidents(incidents)
-    until = F.col("expires_at")
-    if horizon:
-        until = F.least(until, F.col("event_time") + F.expr(f"INTERVAL {horizon}"))
-    life = life.filter(F.col("intersection_id").isNotNull()).select(
-        "intersection_id",
-        F.col("event_time").alias("_at"),
-        block_of(F.col("event_time")).alias("_block"),
-        "event_id",
-        "severity",
-        "severity_rank",
-        until.alias("_end"),
+    block_of = f"unix_seconds({{}}) div {_seconds(block)}".format
+    until = f"least(expires_at, event_time + INTERVAL {horizon})" if horizon else "expires_at"
+    life = (
+        live_incidents(incidents)
+        .filter("intersection_id IS NOT NULL")
+        .selectExpr(
+            "intersection_id",
+            "event_time AS _at",
+            f"{block_of('event_time')} AS _block",
+            "event_id",
+            "severity",
+            f"{until} AS _end",
+        )
     )
     instants = (
         life.groupBy("intersection_id", "_block", "_at")
         .agg(
-            F.max(F.struct("event_id", "severity", "_end")).alias("_last"),
-            F.max("_end").alias("_until_any"),
+            F.expr("max(struct(event_id, severity, _end)) AS _last"),
+            F.expr("max(_end) AS _until_any"),
             *[
-                F.max(F.when(F.col("severity_rank") == rank, F.col("_end"))).alias(name)
-                for rank, name in _UNTIL.items()
+                F.expr(f"max(CASE WHEN severity = '{severity}' THEN _end END) AS {name}")
+                for severity, name in _UNTIL.items()
             ],
         )
-        .select(
+        .selectExpr(
             "intersection_id",
             "_block",
             "_at",
-            F.col("_last.severity").alias("_severity"),
-            F.col("_last._end").alias("_expires_at"),
-            "_until_any",
-            *_UNTIL.values(),
+            "1 AS _order",
+            "_last.severity AS _severity",
+            "_last._end AS _expires_at",
+            *_ENDS,
         )
     )
 
     # One row per (intersection, block with incidents): what holds after that block,
     # wanted in the blocks up to its last expiry or the next block with incidents.
-    by_block = Window.partitionBy("intersection_id").orderBy("_block")
-    up_to_here = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = ["_until_any", *_UNTIL.values()]
+    by_block = "(PARTITION BY intersection_id ORDER BY _block{})".format
+    up_to_here = by_block(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
     heads = (
         instants.groupBy("intersection_id", "_block")
         .agg(
-            F.max(F.struct("_at", "_severity", "_expires_at")).alias("_last"),
-            *[F.max(name).alias(name) for name in ends],
+            F.expr("max(struct(_at, _severity, _expires_at)) AS _last"),
+            *[F.expr(f"max({name}) AS {name}") for name in _ENDS],
         )
-        .select(
+        .selectExpr(
             "intersection_id",
-            "_block",
-            F.col("_last._severity").alias("_severity"),
-            F.col("_last._expires_at").alias("_expires_at"),
-            *[F.max(name).over(up_to_here).alias(name) for name in ends],
-            F.lead("_block").over(by_block).alias("_next"),
+            "_last._severity AS _severity",
+            "_last._expires_at AS _expires_at",
+            *[f"max({name}) OVER {up_to_here} AS {name}" for name in _ENDS],
+            "_block + 1 AS _from",
+            f"lead(_block) OVER {by_block('')} AS _next",
         )
     )
-    first = F.col("_block") + 1
-    last = F.least(block_of(F.col("_until_any")), F.col("_next"))
-    carried = heads.select(
+    carried = heads.withColumn(
+        "_to", F.expr(f"least({block_of('_until_any')}, _next)")
+    ).selectExpr(
         "intersection_id",
-        F.explode(F.when(last >= first, F.sequence(first, last))).alias("_block"),
-        *_INCIDENT_COLS,
-    ).withColumn("_order", F.lit(0))
+        "explode(CASE WHEN _to >= _from THEN sequence(_from, _to) END) AS _block",
+        "CAST(NULL AS TIMESTAMP) AS _at",
+        "0 AS _order",
+        "_severity",
+        "_expires_at",
+        *_ENDS,
+    )
 
-    marked = points.select(
-        "*",
-        F.col(time).alias("_at"),
-        block_of(F.col(time)).alias("_block"),
-        F.lit(2).alias("_order"),
+    marked = points.selectExpr(
+        "*", f"{block_of(time)} AS _block", f"{time} AS _at", "2 AS _order"
     )
     merged = marked.unionByName(
-        instants.withColumn("_order", F.lit(1)), allowMissingColumns=True
-    ).unionByName(carried, allowMissingColumns=True)
+        instants.unionByName(carried), allowMissingColumns=True
+    )
     # A carried row has no instant and so opens its block (nulls sort first); at one
     # instant the incident comes before the points.
     seen = (
-        Window.partitionBy("intersection_id", "_block")
-        .orderBy("_at", "_order")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        "(PARTITION BY intersection_id, _block ORDER BY _at, _order "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
-    scanned = merged.select(
+    scanned = merged.selectExpr(
         *points.columns,
         "_order",
-        F.last("_severity", ignorenulls=True).over(seen).alias("_severity"),
-        F.last("_expires_at", ignorenulls=True).over(seen).alias("_expires_at"),
-        *[F.max(name).over(seen).alias(name) for name in ends],
-    ).filter(F.col("_order") == 2)
-
-    worst = F
-    for rank in reversed(_RANKS):
-        label = next(s for s, r in SEVERITY_RANK.items() if r == rank)
-        worst = worst.when(F.col(_UNTIL[rank]) >= F.col(time), F.lit(label))
-    return scanned.select(
+        f"last(_severity, true) OVER {seen} AS _severity",
+        f"last(_expires_at, true) OVER {seen} AS _expires_at",
+        *[f"max({name}) OVER {seen} AS {name}" for name in _ENDS],
+    ).filter("_order = 2")
+    active = " ".join(f"WHEN {name} >= {time} THEN '{sev}'" for sev, name in _UNTIL.items())
+    return scanned.selectExpr(
         *points.columns,
-        F.when(F.col("_expires_at") >= F.col(time), F.col("_severity"))
-        .otherwise("NONE")
-        .alias("latest_severity"),
-        worst.otherwise("NONE").alias("worst_severity"),
-        F.coalesce(F.col("_until_any") >= F.col(time), F.lit(False)).alias("incident_active"),
+        f"CASE WHEN _expires_at >= {time} THEN _severity ELSE 'NONE' END AS latest_severity",
+        f"CASE {active} ELSE 'NONE' END AS worst_severity",
+        f"coalesce(_until_any >= {time}, false) AS incident_active",
     )
 
 
@@ -205,36 +199,29 @@ def interval_join(
     AQE on either skewed side, an outer one only on the points' side. ``salts``
     splits each bucket's incidents ahead of time at the price of copying points.
     """
-    seconds = F.lit(_seconds(bucket)).cast("long")
-
-    def bucket_of(moment: Column) -> Column:
-        return F.floor(F.unix_seconds(moment) / seconds)
-
-    life = live_incidents(incidents).withColumn(
-        "_until",
-        F.least(F.col("expires_at"), F.col("event_time") + F.expr(f"INTERVAL {horizon}")),
+    bucket_of = f"unix_seconds({{}}) div {_seconds(bucket)}".format
+    right = live_incidents(incidents).selectExpr(
+        "intersection_id",
+        "event_id AS incident_event_id",
+        "event_time AS incident_time",
+        "severity AS incident_severity",
+        "severity_rank AS incident_rank",
+        "expires_at",
+        f"least(expires_at, event_time + INTERVAL {horizon}) AS _until",
+        *([f"pmod(xxhash64(event_id), {salts}) AS _salt"] if salts > 1 else []),
     )
-    right = life.select(
-        F.col("intersection_id"),
-        F.explode(F.sequence(bucket_of(F.col("event_time")), bucket_of(F.col("_until")))).alias("_bucket"),
-        F.col("event_id").alias("incident_event_id"),
-        F.col("event_time").alias("incident_time"),
-        F.col("severity").alias("incident_severity"),
-        F.col("severity_rank").alias("incident_rank"),
-        F.col("expires_at"),
-        "_until",
+    right = right.selectExpr(
+        "*",
+        f"explode(sequence({bucket_of('incident_time')}, {bucket_of('_until')})) AS _bucket",
     )
-    left = points.withColumn("_bucket", bucket_of(F.col(time)))
+    left = points.selectExpr("*", f"{bucket_of(time)} AS _bucket")
     keys = ["intersection_id", "_bucket"]
     if salts > 1:
-        right = right.withColumn("_salt", F.pmod(F.xxhash64("incident_event_id"), F.lit(salts)))
-        left = left.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")
-        )
+        left = left.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _salt")
         keys = [*keys, "_salt"]
     matched = (
         left.join(right, keys, "inner")
-        .filter((F.col("incident_time") <= F.col(time)) & (F.col(time) <= F.col("_until")))
+        .filter(f"incident_time <= {time} AND {time} <= _until")
         .select(
             *points.columns,
             "incident_event_id",
@@ -250,12 +237,8 @@ def interval_join(
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     unmatched = (
         severity_at(points, incidents, time, horizon=horizon)
-        .filter(~F.col("incident_active"))
-        .select(
-            *points.columns,
-            F.lit("NONE").alias("incident_severity"),
-            F.lit(0).alias("incident_rank"),
-        )
+        .filter("NOT incident_active")
+        .selectExpr(*points.columns, "'NONE' AS incident_severity", "0 AS incident_rank")
     )
     return matched.unionByName(unmatched, allowMissingColumns=True)
 

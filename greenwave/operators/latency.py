@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenwave.functions import (
@@ -15,16 +15,16 @@ from greenwave.functions import (
 )
 
 
-def receive(decisions: DataFrame, received_at: Column | None = None) -> DataFrame:
+def receive(decisions: DataFrame, received_at: str = "current_timestamp()") -> DataFrame:
     """Add ``received_at`` and the consumer-hop latency ``latency_ms``.
 
-    A missing or unreadable decision time gives -1. ``received_at`` defaults to
-    the time the query (or the micro-batch) runs.
+    A missing or unreadable decision time gives -1. ``received_at`` is an
+    expression; by default the time the query (or the micro-batch) runs.
     """
-    now = F.current_timestamp() if received_at is None else received_at
-    return decisions.withColumn("received_at", now).withColumn(
-        "latency_ms",
-        elapsed_ms(F.col("received_at"), parse_logged_time(F.col("decision_timestamp"))),
+    hop = elapsed_ms("received_at", parse_logged_time("decision_timestamp"))
+    kept = [c for c in decisions.columns if c != "received_at"]
+    return decisions.selectExpr(*kept, f"{received_at} AS received_at").selectExpr(
+        "*", f"{hop} AS latency_ms"
     )
 
 
@@ -39,9 +39,7 @@ def latency_history(
     A top-k plan: each task keeps ``size`` rows, so nothing is sorted globally.
     """
     return (
-        received.filter(F.col(value) >= 0)
-        .orderBy(*[F.col(c).desc() for c in arrival])
-        .limit(size)
+        received.filter(f"{value} >= 0").orderBy(*[F.desc(c) for c in arrival]).limit(size)
     )
 
 
@@ -51,23 +49,21 @@ def latency_summary(history: DataFrame, value: str = "e2e_latency_ms") -> DataFr
     Percentiles are nearest-rank on the 0-based index ``int(n * p)``. The values
     are gathered into one array, so the input must be bounded (``latency_history``).
     """
-    units = F.round(F.col(value) * 100).cast("long")
-    gathered = history.agg(F.sort_array(F.collect_list(units)).alias("v")).select(
-        "v", F.size("v").cast("long").alias("n")
-    )
-    total = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x)
-    within = F.size(F.filter("v", lambda x: x < SLA_MS * 100)).cast("long")
+    gathered = history.agg(
+        F.expr(f"sort_array(collect_list(CAST(round({value} * 100) AS BIGINT))) AS v")
+    ).selectExpr("v", "CAST(size(v) AS BIGINT) AS n")
 
-    def at(p: float) -> Column:
-        index = F.least(F.floor(F.col("n") * F.lit(p)), F.col("n") - 1)
-        return hundredths(F.get("v", index.cast("int")))
+    def at(p: float) -> str:
+        return hundredths(f"get(v, CAST(least(floor(n * {p}D), n - 1) AS INT))")
 
-    return gathered.filter(F.col("n") > 0).select(
-        F.col("n").alias("sample_count"),
-        hundredths(ratio_half_up(total, F.col("n"))).alias("avg_latency_ms"),
-        hundredths(F.array_min("v")).alias("min_latency_ms"),
-        hundredths(F.array_max("v")).alias("max_latency_ms"),
-        at(0.95).alias("p95_latency_ms"),
-        at(0.99).alias("p99_latency_ms"),
-        hundredths(ratio_half_up(within * 10_000, F.col("n"))).alias("sla_3sec_compliance_pct"),
+    total = "aggregate(v, 0L, (a, x) -> a + x)"
+    within = f"10000L * size(filter(v, x -> x < {SLA_MS * 100}))"
+    return gathered.filter("n > 0").selectExpr(
+        "n AS sample_count",
+        f"{hundredths(ratio_half_up(total, 'n'))} AS avg_latency_ms",
+        f"{hundredths('array_min(v)')} AS min_latency_ms",
+        f"{hundredths('array_max(v)')} AS max_latency_ms",
+        f"{at(0.95)} AS p95_latency_ms",
+        f"{at(0.99)} AS p99_latency_ms",
+        f"{hundredths(ratio_half_up(within, 'n'))} AS sla_3sec_compliance_pct",
     )

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenwave.functions import hundredths, parse_produced_at, ratio_half_up, to_fixed
-from greenwave.functions.numbers import FIXED_UNIT
+from greenwave.functions import FIXED_UNIT, hundredths, parse_produced_at, ratio_half_up, to_fixed
 
 
 def window_metrics(
     vehicles: DataFrame,
     length: str = "1 second",
     slide: str | None = None,
-    extra: Sequence[Column] = (),
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Vehicle total, mean speed and earliest production time per window and intersection.
 
@@ -25,52 +24,40 @@ def window_metrics(
     shuffle as at most one row per window and input partition.
 
     ``avg_speed_kmh`` is not weighted by vehicles. ``speed_sum`` (ten-thousandths)
-    and ``speed_readings`` carry the exact mean for rounding. ``extra`` adds
-    aggregates of the caller. Production times that do not parse are ignored.
+    and ``speed_readings`` carry the exact mean for rounding. ``extra`` names
+    further aggregates as ``"min(event_id) AS first_event_id"``. Production times
+    that do not parse are ignored.
     """
-    produced = F.col("produced_at")
-    if dict(vehicles.dtypes)["produced_at"] == "string":
+    produced = "produced_at"
+    if dict(vehicles.dtypes)[produced] == "string":
         produced = parse_produced_at(produced)
-    speed = to_fixed(F.col("average_speed_kmh"))
-    grouped = (
-        vehicles.select("*", speed.alias("_speed"), produced.alias("_produced"))
-        .groupBy(F.window("event_time", length, slide or length), "intersection_id")
-        .agg(
-            F.sum("vehicle_count").alias("total_vehicles"),
-            F.sum("_speed").alias("speed_sum"),
-            F.count("_speed").alias("speed_readings"),
-            F.min("_produced").alias("min_produced_at"),
-            *extra,
-        )
-    )
-    mean = F.col("speed_sum") / (F.nullif(F.col("speed_readings"), F.lit(0)) * F.lit(float(FIXED_UNIT)))
-    return grouped.select(
+    speed = to_fixed("average_speed_kmh")
+    aggregates = [
+        "sum(vehicle_count) AS total_vehicles",
+        f"sum({speed}) AS speed_sum",
+        f"count({speed}) AS speed_readings",
+        f"min({produced}) AS min_produced_at",
+        *extra,
+    ]
+    grouped = vehicles.groupBy(
+        F.window("event_time", length, slide or length), "intersection_id"
+    ).agg(*[F.expr(a) for a in aggregates])
+    return grouped.selectExpr(
         "intersection_id",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        "window.start AS window_start",
+        "window.end AS window_end",
         "total_vehicles",
-        mean.alias("avg_speed_kmh"),
+        f"speed_sum / (nullif(speed_readings, 0) * {FIXED_UNIT}D) AS avg_speed_kmh",
         "min_produced_at",
         "speed_sum",
         "speed_readings",
-        *[c for c in grouped.columns if c not in _OWN],
+        *grouped.columns[6:],
     )
 
 
-_OWN = {
-    "window",
-    "intersection_id",
-    "total_vehicles",
-    "speed_sum",
-    "speed_readings",
-    "min_produced_at",
-}
-
-
-def rounded_speed(metrics: DataFrame) -> Column:
+def rounded_speed(metrics: DataFrame) -> str:
     """Mean speed at two decimals, half up; 0 where no speed was read."""
     if {"speed_sum", "speed_readings"} <= set(metrics.columns):
-        units = FIXED_UNIT // 100
-        exact = ratio_half_up(F.col("speed_sum"), F.col("speed_readings") * units)
-        return F.coalesce(hundredths(exact), F.lit(0.0))
-    return F.coalesce(F.round("avg_speed_kmh", 2), F.lit(0.0))
+        exact = ratio_half_up("speed_sum", f"speed_readings * {FIXED_UNIT // 100}")
+        return f"coalesce({hundredths(exact)}, 0D)"
+    return "coalesce(round(avg_speed_kmh, 2), 0D)"

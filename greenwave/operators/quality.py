@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenwave.functions import (
@@ -12,8 +12,11 @@ from greenwave.functions import (
     MIN_SPEED_KMH,
     density_class,
     hour_band,
+    hour_factor,
 )
 
+_KNOWN_INTERSECTION = "intersection_id IN ({})".format(", ".join(f"'{i}'" for i in INTERSECTIONS))
+
 
 def incident_type_table(spark: SparkSession) -> DataFrame:
     """The reference table of incident types (six rows) with the ranges of their severity."""
@@ -37,68 +40,63 @@ def enrich_incidents(incidents: DataFrame) -> DataFrame:
     return incidents.join(F.broadcast(table), "incident_type", "left")
 
 
-def incident_rules(enriched: DataFrame) -> dict[str, Column]:
-    """Rule name to "holds" for enriched incidents; a value that is missing violates its rule."""
-    severe = F.col("severity").isin("HIGH", "CRITICAL")
-    return {
-        "known_type": F.col("type_severity").isNotNull(),
-        "known_intersection": F.col("intersection_id").isin(INTERSECTIONS),
-        "severity_of_type": F.col("severity") == F.col("type_severity"),
-        "duration_in_range": F.col("estimated_duration_min").between(
-            F.col("min_duration"), F.col("max_duration")
-        ),
-        "capacity_in_range": F.col("capacity_reduction_factor").between(
-            F.col("min_capacity_reduction"), F.col("max_capacity_reduction")
-        ),
-        "lanes_by_severity": F.when(severe, F.col("lanes_blocked").between(1, 2)).otherwise(
-            F.col("lanes_blocked") == 0
-        ),
-    }
-
-
-def vehicle_rules() -> dict[str, Column]:
-    return {
-        "known_intersection": F.col("intersection_id").isin(INTERSECTIONS),
-        "count_not_negative": F.col("vehicle_count") >= 0,
-        "speed_at_least_minimum": F.col("average_speed_kmh") >= MIN_SPEED_KMH,
-        "density_matches_count": F.col("density_level") == density_class(F.col("vehicle_count")),
-    }
-
-
-def conformance_report(rows: DataFrame, rules: dict[str, Column], stream: str) -> DataFrame:
-    """Checked and violating rows per rule, counted in one pass over the data."""
-    broken = [
-        F.count_if(~F.coalesce(holds, F.lit(False))).alias(name) for name, holds in rules.items()
-    ]
-    counted = rows.agg(F.count(F.lit(1)).alias("checked"), *broken)
-    return counted.select(
-        F.lit(stream).alias("stream"),
+# Rule name -> condition that holds; a value that is missing violates its rule.
+INCIDENT_RULES = {
+    "known_type": "type_severity IS NOT NULL",
+    "known_intersection": _KNOWN_INTERSECTION,
+    "severity_of_type": "severity = type_severity",
+    "duration_in_range": "estimated_duration_min BETWEEN min_duration AND max_duration",
+    "capacity_in_range": "capacity_reduction_factor "
+    "BETWEEN min_capacity_reduction AND max_capacity_reduction",
+    "lanes_by_severity": "CASE WHEN severity IN ('HIGH', 'CRITICAL') "
+    "THEN lanes_blocked BETWEEN 1 AND 2 ELSE lanes_blocked = 0 END",
+}
+
+VEHICLE_RULES = {
+    "known_intersection": _KNOWN_INTERSECTION,
+    "count_not_negative": "vehicle_count >= 0",
+    "speed_at_least_minimum": f"average_speed_kmh >= {MIN_SPEED_KMH}D",
+    "density_matches_count": f"density_level = {density_class('vehicle_count')}",
+}
+
+
+def conformance_report(rows: DataFrame, rules: dict[str, str], stream: str) -> DataFrame:
+    """Checked and violating rows per rule, counted in one pass over the data.
+
+    Incident rules need the reference columns of ``enrich_incidents``.
+    """
+    counted = rows.agg(
+        F.expr("count(*) AS checked"),
+        *[F.expr(f"count_if(NOT coalesce({holds}, false)) AS {name}") for name, holds in rules.items()],
+    )
+    pairs = ", ".join(f"'{name}', {name}" for name in rules)
+    return counted.selectExpr(
+        f"'{stream}' AS stream",
         "checked",
-        F.inline(
-            F.array(*[
-                F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"))
-                for name in rules
-            ])
-        ),
+        f"stack({len(rules)}, {pairs}) AS (rule, violations)",
     ).select("stream", "rule", "checked", "violations")
 
 
 def with_density_class(vehicles: DataFrame) -> DataFrame:
     """Density class by count, and whether it agrees with the one the event carries."""
-    return vehicles.withColumn("density_class", density_class(F.col("vehicle_count"))).withColumn(
-        "density_agrees", F.col("density_level").eqNullSafe(F.col("density_class"))
-    )
+    return vehicles.selectExpr(
+        "*", f"{density_class('vehicle_count')} AS density_class"
+    ).selectExpr("*", "density_level <=> density_class AS density_agrees")
 
 
 def with_hour_band(events: DataFrame, time: str = "event_time") -> DataFrame:
-    band, low, high = hour_band(F.col(time))
-    return events.withColumns({"hour_band": band, "min_factor": low, "max_factor": high})
+    """Density band of the hour and the range of factors expected in it."""
+    return events.selectExpr("*", f"{hour_band(time)} AS hour_band").selectExpr(
+        "*",
+        f"{hour_factor('hour_band', 0)} AS min_factor",
+        f"{hour_factor('hour_band', 1)} AS max_factor",
+    )
 
 
-def compose_event_id(prefix: str, intersection: Column, time: Column) -> Column:
+def compose_event_id(prefix: str, intersection: str, time: str) -> str:
     """``<prefix>_<intersection>_<milliseconds>``."""
-    return F.concat_ws("_", F.lit(prefix), intersection, F.unix_millis(time).cast("string"))
+    return f"concat_ws('_', '{prefix}', {intersection}, unix_millis({time}))"
 
 
-def incident_description(incident_type: Column, intersection: Column) -> Column:
-    return F.concat(incident_type, F.lit(" signalé à "), intersection)
+def incident_description(incident_type: str, intersection: str) -> str:
+    return f"concat({incident_type}, ' signalé à ', {intersection})"

@@ -19,12 +19,10 @@ def latest_state(received: DataFrame, arrival: tuple[str, ...] = ARRIVAL) -> Dat
     without ties.
     """
     rest = [c for c in received.columns if c not in arrival and c != "intersection_id"]
-    keyed = received.withColumn("intersection_id", F.coalesce("intersection_id", F.lit("UNKNOWN")))
     return (
-        keyed.groupBy("intersection_id")
+        received.groupBy(F.expr("coalesce(intersection_id, 'UNKNOWN') AS intersection_id"))
         .agg(F.max(F.struct(*arrival, *rest)).alias("_latest"))
-        .select("intersection_id", "_latest.*")
-        .select(*received.columns)
+        .selectExpr(*[c if c == "intersection_id" else f"_latest.{c}" for c in received.columns])
     )
 
 
@@ -39,14 +37,14 @@ def state_counts(state: DataFrame) -> DataFrame:
 
 def state_report(state: DataFrame) -> DataFrame:
     """Dashboard rows ordered by intersection: symbols attached, speed at one decimal."""
-    return state.select(
+    return state.selectExpr(
         "intersection_id",
-        mode_symbol(F.col("traffic_mode")).alias("mode_symbol"),
-        F.coalesce("traffic_mode", F.lit("?")).alias("traffic_mode"),
+        f"{mode_symbol('traffic_mode')} AS mode_symbol",
+        "coalesce(traffic_mode, '?') AS traffic_mode",
         "total_vehicles",
-        F.round(F.coalesce("avg_speed_kmh", F.lit(0.0)), 1).alias("avg_speed_kmh"),
-        severity_symbol(F.col("worst_severity")).alias("severity_symbol"),
-        F.coalesce("worst_severity", F.lit("?")).alias("worst_severity"),
+        "round(coalesce(avg_speed_kmh, 0D), 1) AS avg_speed_kmh",
+        f"{severity_symbol('worst_severity')} AS severity_symbol",
+        "coalesce(worst_severity, '?') AS worst_severity",
         "green_duration_sec",
         "red_duration_sec",
         "latency_ms",

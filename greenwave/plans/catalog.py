@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenwave.functions import INTERSECTIONS, iso_seconds, parse_logged_time
+from greenwave.functions import INTERSECTIONS, iso_seconds, lookup, parse_logged_time
 from greenwave.operators import decode, fold, latency, quality, state
 from greenwave.operators.decisions import decide, keyed_json, receipt_line, status_line
 from greenwave.operators.incidents import incident_lifetimes, interval_join, severity_at
@@ -19,7 +19,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _iso(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: iso_seconds(F.col(n)) for n in names})
+    """Timestamps as ISO text, so that results compare across engines."""
+    return df.selectExpr(
+        *[f"{iso_seconds(c)} AS {c}" if c in names else c for c in df.columns]
+    )
 
 
 def decode_vehicle_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +64,14 @@ def _metrics(length: str) -> Query:
 
 
 def incident_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = F.col("event_id")
-    gaps = fixtures.incidents(spark, sf_dir).withColumns({
-        "severity": F.when(e % 13 == 0, "").when(e % 13 != 1, F.col("severity")),
-        "estimated_duration_min": F.when(e % 11 == 0, 0).when(
-            e % 11 != 1, F.col("estimated_duration_min")
-        ),
-    })
+    gaps = fixtures.incidents(spark, sf_dir).selectExpr(
+        "event_id",
+        "intersection_id",
+        "event_time",
+        "CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 13 > 1 THEN severity END AS severity",
+        "CASE WHEN event_id % 11 = 0 THEN 0 WHEN event_id % 11 > 1 THEN estimated_duration_min END"
+        " AS estimated_duration_min",
+    )
     return _iso(incident_lifetimes(gaps), "event_time", "expires_at").select(
         "event_id",
         "intersection_id",
@@ -101,10 +105,14 @@ def incident_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incident_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored incident after all arrivals, which come up to two hours late and out of order."""
-    delay = (F.col("event_id") * 7919) % 7200
-    arriving = fixtures.incidents(spark, sf_dir).withColumn(
-        "arrival_ts", F.timestamp_seconds(F.unix_seconds("event_time") + delay)
-    ).withColumn("event_id", F.lpad(F.col("event_id").cast("string"), 20, "0"))
+    arriving = fixtures.incidents(spark, sf_dir).selectExpr(
+        "lpad(CAST(event_id AS STRING), 20, '0') AS event_id",
+        "intersection_id",
+        "event_time",
+        "severity",
+        "estimated_duration_min",
+        "timestamp_seconds(unix_seconds(event_time) + event_id * 7919 % 7200) AS arrival_ts",
+    )
     return _iso(fold.fold_incidents(arriving), "event_time", "expires_at")
 
 
@@ -129,20 +137,12 @@ def _decisions(length: str, column: str) -> Query:
 
 def decision_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decision rule on a total, speed and severity drawn from every event."""
-    e = F.col("event_id")
-    severity = (
-        F.when(e % 7 == 0, "NONE")
-        .when(e % 7 == 1, "LOW")
-        .when(e % 7 == 2, "MEDIUM")
-        .when(e % 7 == 3, "HIGH")
-        .when(e % 7 == 4, "CRITICAL")
-        .when(e % 7 == 5, "UNKNOWN_X")
-    )
-    cases = fixtures.read_events(spark, sf_dir).select(
+    severities = dict(enumerate(["NONE", "LOW", "MEDIUM", "HIGH", "CRITICAL", "UNKNOWN_X"]))
+    cases = fixtures.read_events(spark, sf_dir).selectExpr(
         "event_id",
-        F.when(e % 41 != 0, e * 7 % 45).alias("total_vehicles"),
-        F.when(e % 43 != 0, (14000 + e * 137 % 2000) / F.lit(1000.0)).alias("avg_speed_kmh"),
-        severity.alias("worst_severity"),
+        "CASE WHEN event_id % 41 > 0 THEN event_id * 7 % 45 END AS total_vehicles",
+        "CASE WHEN event_id % 43 > 0 THEN (14000 + event_id * 137 % 2000) / 1000D END AS avg_speed_kmh",
+        f"{lookup('event_id % 7', severities, None)} AS worst_severity",
     )
     return decide(cases)
 
@@ -155,33 +155,32 @@ def decision_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = fixtures.decided(spark, sf_dir)
-    return records.select("intersection_id", "window_start", status_line(records).alias("line"))
+    return records.selectExpr("intersection_id", "window_start", f"{status_line()} AS line")
 
 
 def receipt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     received = fixtures.received(spark, sf_dir)
-    return received.select("intersection_id", "window_start", receipt_line(received).alias("line"))
+    return received.selectExpr("intersection_id", "window_start", f"{receipt_line()} AS line")
 
 
 def logged_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event time written in one of eight ways and read back, invalid ones as NULL."""
-    e = F.col("event_id") % 8
-    time = F.col("ts").cast("timestamp")
-    second = iso_seconds(time)
-    micro = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    text = (
-        F.when(e == 0, second)
-        .when(e == 1, micro)
-        .when(e == 2, F.translate(second, "T", " "))
-        .when(e == 3, F.translate(micro, "T", " "))
-        .when(e == 4, F.concat(F.lit("  "), F.translate(second, "T", " "), F.lit(" ")))
-        .when(e == 5, F.substring(second, 1, 10))
-        .when(e == 6, F.concat(second, F.lit("Z")))
-        .otherwise("")
-    )
-    parsed = parse_logged_time(F.col("logged"))
-    return fixtures.read_events(spark, sf_dir).select("event_id", text.alias("logged")).select(
-        "event_id", "logged", F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("parsed")
+    micro = """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")"""
+    second = iso_seconds("ts")
+    written = f"""CASE event_id % 8
+      WHEN 0 THEN {second}
+      WHEN 1 THEN {micro}
+      WHEN 2 THEN translate({second}, 'T', ' ')
+      WHEN 3 THEN translate({micro}, 'T', ' ')
+      WHEN 4 THEN '  ' || translate({second}, 'T', ' ') || ' '
+      WHEN 5 THEN left({second}, 10)
+      WHEN 6 THEN {second} || 'Z'
+      ELSE '' END"""
+    return (
+        fixtures.read_events(spark, sf_dir)
+        .selectExpr("event_id", f"{written} AS logged")
+        .selectExpr("event_id", "logged", f"{parse_logged_time('logged')} AS ts")
+        .selectExpr("event_id", "logged", f"{micro} AS parsed")
     )
 
 
@@ -244,22 +243,17 @@ def incident_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conformance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = quality.enrich_incidents(fixtures.incidents(spark, sf_dir))
-    on_incidents = quality.conformance_report(
-        enriched, quality.incident_rules(enriched), "incidents"
-    )
-    on_vehicles = quality.conformance_report(
-        fixtures.vehicles(spark, sf_dir), quality.vehicle_rules(), "vehicles"
-    )
+    on_incidents = quality.conformance_report(enriched, quality.INCIDENT_RULES, "incidents")
+    vehicles = fixtures.vehicles(spark, sf_dir)
+    on_vehicles = quality.conformance_report(vehicles, quality.VEHICLE_RULES, "vehicles")
     return on_incidents.unionByName(on_vehicles)
 
 
 def composed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.col("event_time")
-    intersection: Column = F.col("intersection_id")
-    return fixtures.incidents(spark, sf_dir).select(
+    return fixtures.incidents(spark, sf_dir).selectExpr(
         "event_id",
-        quality.compose_event_id("INC", intersection, at).alias("incident_key"),
-        quality.incident_description(F.col("incident_type"), intersection).alias("description"),
+        f"{quality.compose_event_id('INC', 'intersection_id', 'event_time')} AS incident_key",
+        f"{quality.incident_description('incident_type', 'intersection_id')} AS description",
     )
 
 

@@ -6,8 +6,7 @@ only integer arithmetic on columns, so that other SQL engines get the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from greenwave.functions import (
     DIRECTIONS,
@@ -15,6 +14,7 @@ from greenwave.functions import (
     INTERSECTIONS,
     VEHICLE_TYPES,
     iso_seconds,
+    lookup,
 )
 from greenwave.operators.decisions import decide, decision_records
 from greenwave.operators.incidents import severity_at
@@ -33,74 +33,62 @@ TYPE_BY_K = [
 ]
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+EVENTS_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def _intersection() -> Column:
-    return _pick(INTERSECTIONS, F.col("user_id") % 8)
+def _pick(values: list[str], index: str) -> str:
+    return lookup(index, dict(enumerate(values)), None)
 
 
-def _event_time() -> Column:
-    return F.date_trunc("second", F.col("ts").cast("timestamp"))
+_INTERSECTION = _pick(INTERSECTIONS, "user_id % 8")
+_EVENT_TIME = "date_trunc('second', CAST(ts AS TIMESTAMP))"
 
 
 def vehicles_from(events: DataFrame) -> DataFrame:
     """Vehicle readings; works on a batch or a stream of events."""
-    e = F.col("event_id")
-    count = ((e * 7) % 16).cast("int")
-    return events.filter(F.col("event_type") != "error").select(
+    return events.filter("event_type <> 'error'").selectExpr(
         "event_id",
-        _event_time().alias("event_time"),
-        _event_time().alias("produced_at"),
-        _intersection().alias("intersection_id"),
-        _pick(DIRECTIONS, e % 4).alias("direction"),
-        count.alias("vehicle_count"),
-        _pick(VEHICLE_TYPES, F.greatest(e % 10 - 5, F.lit(0))).alias("vehicle_type"),
-        ((500 + (e * 37) % 4000) / F.lit(100.0)).alias("average_speed_kmh"),
-        F.when(e % 17 == 0, "MEDIUM")
-        .when(count > 10, "MEDIUM")
-        .otherwise("LOW")
-        .alias("density_level"),
+        f"{_EVENT_TIME} AS event_time",
+        f"{_EVENT_TIME} AS produced_at",
+        f"{_INTERSECTION} AS intersection_id",
+        f"{_pick(DIRECTIONS, 'event_id % 4')} AS direction",
+        "CAST(event_id * 7 % 16 AS INT) AS vehicle_count",
+        f"{_pick(VEHICLE_TYPES, 'greatest(event_id % 10 - 5, 0)')} AS vehicle_type",
+        "(500 + event_id * 37 % 4000) / 100D AS average_speed_kmh",
+        "CASE WHEN event_id % 17 = 0 OR event_id * 7 % 16 > 10 THEN 'MEDIUM' ELSE 'LOW' END"
+        " AS density_level",
     )
 
 
 def incidents_from(events: DataFrame) -> DataFrame:
     """Incidents; works on a batch or a stream of events."""
-    e = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int") % 25
-    kind = severity = shortest = longest = F
-    for last, name in TYPE_BY_K:
-        sev, low, high, _ = INCIDENT_TYPES[name]
-        kind = kind.when(k <= last, F.lit(name))
-        severity = severity.when(k <= last, F.lit(sev))
-        shortest = shortest.when(k <= last, F.lit(low))
-        longest = longest.when(k <= last, F.lit(high))
-    typed = events.filter(F.col("event_type") == "error").select(
-        "event_id",
-        _event_time().alias("event_time"),
-        _intersection().alias("intersection_id"),
-        kind.alias("incident_type"),
-        severity.alias("severity"),
-        shortest.alias("_low"),
-        longest.alias("_high"),
-    )
-    severe = F.col("severity").isin("HIGH", "CRITICAL")
-    return typed.select(
-        "event_id",
-        "event_time",
-        "intersection_id",
-        "incident_type",
-        "severity",
-        (F.col("_low") + e % (F.col("_high") - F.col("_low") + 1))
-        .cast("int")
-        .alias("estimated_duration_min"),
-        ((10 + e % 91) / F.lit(100.0)).alias("capacity_reduction_factor"),
-        F.when(severe, 1 + e % 2).otherwise(e % 11 % 2).cast("int").alias("lanes_blocked"),
+    cases = " ".join(f"WHEN _k <= {last} THEN '{name}'" for last, name in TYPE_BY_K)
+
+    def of_type(position: int) -> str:
+        return lookup("incident_type", {t: v[position] for t, v in INCIDENT_TYPES.items()}, None)
+
+    return (
+        events.filter("event_type = 'error'")
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) % 25 AS _k")
+        .selectExpr("*", f"CASE {cases} END AS incident_type")
+        .selectExpr(
+            "event_id",
+            f"{_EVENT_TIME} AS event_time",
+            f"{_INTERSECTION} AS intersection_id",
+            "incident_type",
+            f"{of_type(0)} AS severity",
+            f"CAST({of_type(1)} + event_id % ({of_type(2)} - {of_type(1)} + 1) AS INT)"
+            " AS estimated_duration_min",
+            "(10 + event_id % 91) / 100D AS capacity_reduction_factor",
+            "CAST(CASE WHEN incident_type IN ('ACCIDENT', 'MANIFESTATION', 'INONDATION')"
+            " THEN 1 + event_id % 2 ELSE event_id % 11 % 2 END AS INT) AS lanes_blocked",
+        )
     )
 
 
@@ -112,71 +100,75 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incidents_from(read_events(spark, sf_dir))
 
 
-def _spoil(json: Column) -> Column:
-    """Damage the payloads of some events so that decoding has something to reject."""
-    e = F.col("event_id") % 100
-    return (
-        F.when(e == 1, "not json")
-        .when(e == 2, '{"a":')
-        .when(e == 3, "{}")
-        .when(e == 4, "[]")
-        .when(e == 5, F.regexp_replace(json, '"timestamp":"[^"]*"', '"timestamp":"bad"'))
-        .when(e == 6, F.regexp_replace(json, '("timestamp":"[^"]*)"', '$1Z"'))
-        .when(e == 7, F.regexp_replace(json, '"intersection_id":"[^"]*",?', ""))
-        .when(e == 8, F.regexp_replace(json, r"\}$", ',"extra":1}'))
-        .otherwise(json)
+# Damage done to the payloads of some events, so that decoding has something to reject.
+SPOILED = r"""CASE event_id % 100
+  WHEN 1 THEN 'not json'
+  WHEN 2 THEN '{"a":'
+  WHEN 3 THEN '{}'
+  WHEN 4 THEN '[]'
+  WHEN 5 THEN regexp_replace(json, '"timestamp":"[^"]*"', '"timestamp":"bad"')
+  WHEN 6 THEN regexp_replace(json, '("timestamp":"[^"]*)"', '$1Z"')
+  WHEN 7 THEN regexp_replace(json, '"intersection_id":"[^"]*",?', '')
+  WHEN 8 THEN regexp_replace(json, '[}]$', ',"extra":1}')
+  ELSE json END"""
+
+
+def _payloads(rows: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
+    identity = f"{compose_event_id(prefix, 'intersection_id', 'event_time')} AS event_id"
+    json = f"to_json(struct({identity}, {iso_seconds('event_time')} AS timestamp, {', '.join(columns)}))"
+    return rows.selectExpr("event_id", f"{json} AS json").selectExpr(
+        f"CAST({SPOILED} AS BINARY) AS value"
     )
 
 
 def vehicle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle readings as they travel: JSON text in a binary ``value``, some damaged."""
-    rows = vehicles(spark, sf_dir)
-    json = F.to_json(
-        F.struct(
-            compose_event_id("VEH", F.col("intersection_id"), F.col("event_time")).alias("event_id"),
-            iso_seconds(F.col("event_time")).alias("timestamp"),
-            iso_seconds(F.col("produced_at")).alias("produced_at"),
+    return _payloads(
+        vehicles(spark, sf_dir),
+        "VEH",
+        [
+            f"{iso_seconds('produced_at')} AS produced_at",
             "intersection_id",
             "direction",
             "vehicle_count",
             "vehicle_type",
             "average_speed_kmh",
             "density_level",
-        )
+        ],
     )
-    return rows.select(_spoil(json).cast("binary").alias("value"))
 
 
 def incident_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = incidents(spark, sf_dir)
-    json = F.to_json(
-        F.struct(
-            compose_event_id("INC", F.col("intersection_id"), F.col("event_time")).alias("event_id"),
-            iso_seconds(F.col("event_time")).alias("timestamp"),
+    return _payloads(
+        incidents(spark, sf_dir),
+        "INC",
+        [
             "intersection_id",
             "incident_type",
             "severity",
             "estimated_duration_min",
             "capacity_reduction_factor",
             "lanes_blocked",
-            incident_description(F.col("incident_type"), F.col("intersection_id")).alias("description"),
-        )
+            f"{incident_description('incident_type', 'intersection_id')} AS description",
+        ],
     )
-    return rows.select(_spoil(json).cast("binary").alias("value"))
+
+
+DECIDED_AT = "timestamp_seconds(unix_seconds(window_end) + first_event_id % 5)"
+RECEIVED_AT = (
+    "timestamp_millis(unix_millis(CAST(decision_timestamp AS TIMESTAMP)) + first_event_id % 700)"
+)
 
 
 def decided(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataFrame:
     """Decision records with repeatable decision times, plus ``first_event_id``."""
     metrics = window_metrics(
-        vehicles(spark, sf_dir), length, extra=[F.min("event_id").alias("first_event_id")]
+        vehicles(spark, sf_dir), length, extra=["min(event_id) AS first_event_id"]
     )
     plans = decide(severity_at(metrics, incidents(spark, sf_dir)), "latest_severity")
-    at = F.timestamp_seconds(F.unix_seconds("window_end") + F.col("first_event_id") % 5)
-    return decision_records(plans, at, keep=("first_event_id",))
+    return decision_records(plans, DECIDED_AT, keep=("first_event_id",))
 
 
 def received(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataFrame:
     """Decisions as the receiving side sees them, with repeatable arrival times."""
-    log_time = F.to_timestamp("decision_timestamp", "yyyy-MM-dd'T'HH:mm:ss")
-    at = F.timestamp_millis(F.unix_millis(log_time) + F.col("first_event_id") % 700)
-    return receive(decided(spark, sf_dir, length), at)
+    return receive(decided(spark, sf_dir, length), RECEIVED_AT)

@@ -289,7 +289,7 @@ SELECT intersection_id, s.severity AS severity, s.rank AS severity_rank,
        {_iso('s.time')} AS event_time, {_iso('s.expires_at')} AS expires_at
 FROM (SELECT intersection_id, list_reduce(
         list({{'severity': severity, 'rank': severity_rank, 'time': event_time,
-               'expires_at': expires_at, 'at': at}} ORDER BY at, event_id),
+               'expires_at': expires_at, 'arrived': arrived}} ORDER BY arrived, event_id),
         lambda acc, x: {FOLD_STEP}) AS s
       FROM (SELECT *, event_time + to_seconds((event_id * 7919) % 7200) AS arrived FROM incident_life)
       WHERE expires_at >= arrived GROUP BY intersection_id)""",

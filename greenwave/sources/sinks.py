@@ -42,7 +42,7 @@ def write_topic_batch(records: DataFrame, topic: str, servers: str) -> None:
 def status_lines(records: DataFrame, checkpoint: str, trigger: str = "1 second") -> DataStreamWriter:
     """One log line per decision on the console."""
     return (
-        records.select(status_line(records).alias("line"))
+        records.selectExpr(f"{status_line()} AS line")
         .writeStream.format("console")
         .option("truncate", "false")
         .option("checkpointLocation", checkpoint)
