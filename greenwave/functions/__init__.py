@@ -18,6 +18,7 @@ from greenwave.functions.rules import (  # noqa: F401
     green_seconds,
     hour_band,
     hour_factor,
+    literal,
     lookup,
     mode_label,
     mode_symbol,

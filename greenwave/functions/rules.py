@@ -11,6 +11,8 @@ from greenwave.functions import constants as C
 def literal(value) -> str:
     if value is None:
         return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(value, float):

@@ -71,11 +71,12 @@ def decision_records(
     )
 
 
-def keyed_json(records: DataFrame) -> DataFrame:
+def keyed_json(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``key`` (intersection) and ``value`` (the whole record as JSON, nulls kept)."""
     return records.select(
         F.col("intersection_id").alias("key"),
         F.to_json(F.struct(*DECISION.fieldNames()), {"ignoreNullFields": "false"}).alias("value"),
+        *keep,
     )
 
 

@@ -17,10 +17,14 @@ def decode(raw: DataFrame, schema: StructType, value: str = "value") -> DataFram
 
     Rows without a valid event time are dropped, malformed payloads with them.
     A field of the wrong type becomes NULL and its row stays.
+
+    The struct is flattened by ``inline``, not ``d.*``: the optimizer would copy
+    the parse into the filter and read each payload twice.
     """
+    parsed = F.from_json(F.col(value).cast("string"), schema)
     return (
-        raw.select(F.from_json(F.col(value).cast("string"), schema).alias("d"))
-        .selectExpr("d.*", f"{parse_event_time('d.timestamp')} AS event_time")
+        raw.select(F.inline(F.array(parsed)))
+        .selectExpr("*", f"{parse_event_time('timestamp')} AS event_time")
         .filter("event_time IS NOT NULL")
     )
 

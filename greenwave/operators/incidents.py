@@ -55,7 +55,12 @@ def live_incidents(incidents: DataFrame, arrival: str | None = None) -> DataFram
 
     Without an ``arrival`` column the arrival is the event time (in-order replay).
     """
-    return incident_lifetimes(incidents).filter(f"expires_at >= {arrival or 'event_time'}")
+    if arrival:
+        return incident_lifetimes(incidents).filter(f"expires_at >= {arrival}")
+    # The same test against the event time, on a stored column so that scans can use it.
+    return incident_lifetimes(
+        incidents.filter("estimated_duration_min IS NULL OR estimated_duration_min >= 0")
+    )
 
 
 def severity_at(
@@ -82,7 +87,7 @@ def severity_at(
     ``horizon`` bounds how long after its event time an incident may match,
     whatever its duration. Points without an intersection match nothing.
     """
-    block_of = f"unix_seconds({{}}) div {_seconds(block)}".format
+    block_of = f"unix_seconds({{}}) div {seconds_of(block)}".format
     until = f"least(expires_at, event_time + INTERVAL {horizon})" if horizon else "expires_at"
     life = (
         live_incidents(incidents)
@@ -199,7 +204,7 @@ def interval_join(
     AQE on either skewed side, an outer one only on the points' side. ``salts``
     splits each bucket's incidents ahead of time at the price of copying points.
     """
-    bucket_of = f"unix_seconds({{}}) div {_seconds(bucket)}".format
+    bucket_of = f"unix_seconds({{}}) div {seconds_of(bucket)}".format
     right = live_incidents(incidents).selectExpr(
         "intersection_id",
         "event_id AS incident_event_id",
@@ -243,7 +248,8 @@ def interval_join(
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def _seconds(length: str) -> int:
+def seconds_of(length: str) -> int:
+    """Seconds in a length such as ``"6 hours"``."""
     count, unit = length.split()
     sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
     return int(count) * sizes[unit.rstrip("s")]

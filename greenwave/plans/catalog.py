@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from greenwave.functions import INTERSECTIONS, iso_seconds, lookup, parse_logged_time
 from greenwave.operators import decode, fold, latency, quality, state
@@ -14,6 +15,11 @@ from greenwave.operators.incidents import incident_lifetimes, interval_join, sev
 from greenwave.operators.metrics import window_metrics
 from greenwave.plans import fixtures
 from greenwave.schemas import DECISION, INCIDENT, VEHICLE
+from greenwave.sources.sinks import last_emission
+from greenwave.sources.topics import stream_parquet
+from greenwave.streaming.decisions import stream_decisions
+from greenwave.streaming.jobs import run_available
+from greenwave.streaming.metrics import stream_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +263,47 @@ def composed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = StructType.fromDDL(fixtures.EVENTS_SCHEMA)
+    return stream_parquet(spark, sf_dir, schema, glob="events.parquet")
+
+
+def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update-mode hour metrics over the events as a stream; last emission per window."""
+    stream = stream_metrics(fixtures.vehicles_from(_event_stream(spark, sf_dir)), "1 hour")
+    emitted = run_available(stream, "update", "stream_window_metrics")
+    return _iso(
+        last_emission(emitted, "intersection_id", "window_start"),
+        "window_start",
+        "window_end",
+        "min_produced_at",
+    ).drop("speed_sum", "speed_readings")
+
+
+def stream_decision_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of the stateful streaming operator at hour windows; last emission per window."""
+    stream = stream_decisions(
+        fixtures.vehicles_from(_event_stream(spark, sf_dir)),
+        fixtures.incidents_from(_event_stream(spark, sf_dir)),
+        "1 hour",
+    )
+    emitted = run_available(stream, "update", "stream_decisions")
+    final = last_emission(emitted, "intersection_id", "window_start")
+    return _iso(final, "window_start", "window_end").drop(
+        "min_produced_at", "latest_severity", "speed_sum", "speed_readings"
+    )
+
+
+def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published records read back as a stream and reduced to the last arrival per intersection."""
+    records = fixtures.reading_records(_event_stream(spark, sf_dir))
+    raw = keyed_json(records, keep=("received_at",)).drop("key")
+    usable = decode.decode_decisions(raw).filter("reason IS NULL").drop("reason")
+    stream = state.latest_state(latency.receive(usable, "received_at"))
+    emitted = run_available(stream, "update", "stream_latest_state")
+    return _state_columns(last_emission(emitted, "intersection_id"))
+
+
 QUERIES: dict[str, Query] = {
     "decode_vehicle_json": decode_vehicle_json,
     "decode_incident_json": decode_incident_json,
@@ -288,4 +335,7 @@ QUERIES: dict[str, Query] = {
     "hour_band": hour_band,
     "incident_enriched": incident_enriched,
     "conformance_report": conformance_report,
+    "stream_window_metrics": stream_window_metrics,
+    "stream_decisions": stream_decision_rows,
+    "stream_latest_state": stream_latest_state,
 }

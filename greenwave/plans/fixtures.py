@@ -14,7 +14,7 @@ from greenwave.functions import (
     INTERSECTIONS,
     VEHICLE_TYPES,
     iso_seconds,
-    lookup,
+    literal,
 )
 from greenwave.operators.decisions import decide, decision_records
 from greenwave.operators.incidents import severity_at
@@ -42,8 +42,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(values: list[str], index: str) -> str:
-    return lookup(index, dict(enumerate(values)), None)
+def _pick(values: list, index: str) -> str:
+    """The value at a 0-based index; a constant array keeps the index evaluated once."""
+    return f"array({', '.join(map(literal, values))})[CAST({index} AS INT)]"
 
 
 _INTERSECTION = _pick(INTERSECTIONS, "user_id % 8")
@@ -68,27 +69,23 @@ def vehicles_from(events: DataFrame) -> DataFrame:
 
 def incidents_from(events: DataFrame) -> DataFrame:
     """Incidents; works on a batch or a stream of events."""
-    cases = " ".join(f"WHEN _k <= {last} THEN '{name}'" for last, name in TYPE_BY_K)
+    kinds = [next(name for last, name in TYPE_BY_K if k <= last) for k in range(25)]
+    k = "CAST(get_json_object(props, '$.k') AS INT) % 25"
 
     def of_type(position: int) -> str:
-        return lookup("incident_type", {t: v[position] for t, v in INCIDENT_TYPES.items()}, None)
-
-    return (
-        events.filter("event_type = 'error'")
-        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) % 25 AS _k")
-        .selectExpr("*", f"CASE {cases} END AS incident_type")
-        .selectExpr(
-            "event_id",
-            f"{_EVENT_TIME} AS event_time",
-            f"{_INTERSECTION} AS intersection_id",
-            "incident_type",
-            f"{of_type(0)} AS severity",
-            f"CAST({of_type(1)} + event_id % ({of_type(2)} - {of_type(1)} + 1) AS INT)"
-            " AS estimated_duration_min",
-            "(10 + event_id % 91) / 100D AS capacity_reduction_factor",
-            "CAST(CASE WHEN incident_type IN ('ACCIDENT', 'MANIFESTATION', 'INONDATION')"
-            " THEN 1 + event_id % 2 ELSE event_id % 11 % 2 END AS INT) AS lanes_blocked",
-        )
+        return _pick([INCIDENT_TYPES[kind][position] for kind in kinds], k)
+
+    severe = _pick([INCIDENT_TYPES[kind][0] in ("HIGH", "CRITICAL") for kind in kinds], k)
+    return events.filter("event_type = 'error'").selectExpr(
+        "event_id",
+        f"{_EVENT_TIME} AS event_time",
+        f"{_INTERSECTION} AS intersection_id",
+        f"{_pick(kinds, k)} AS incident_type",
+        f"{of_type(0)} AS severity",
+        f"CAST({of_type(1)} + event_id % ({of_type(2)} - {of_type(1)} + 1) AS INT)"
+        " AS estimated_duration_min",
+        "(10 + event_id % 91) / 100D AS capacity_reduction_factor",
+        f"CAST(if({severe}, 1 + event_id % 2, event_id % 11 % 2) AS INT) AS lanes_blocked",
     )
 
 
@@ -172,3 +169,21 @@ def decided(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataF
 def received(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataFrame:
     """Decisions as the receiving side sees them, with repeatable arrival times."""
     return receive(decided(spark, sf_dir, length), RECEIVED_AT)
+
+
+def reading_records(events: DataFrame) -> DataFrame:
+    """A decision record for every single vehicle reading, with an arrival that is out of order.
+
+    Works on a batch or a stream of events.
+    """
+    readings = vehicles_from(events).selectExpr(
+        "intersection_id",
+        "event_time AS window_start",
+        "event_time + INTERVAL 1 SECOND AS window_end",
+        "CAST(vehicle_count AS BIGINT) AS total_vehicles",
+        "average_speed_kmh AS avg_speed_kmh",
+        "'NONE' AS worst_severity",
+        "produced_at AS min_produced_at",
+        "timestamp_seconds(unix_seconds(event_time) + event_id * 7919 % 7200) AS received_at",
+    )
+    return decision_records(decide(readings), "window_end", keep=("received_at",))

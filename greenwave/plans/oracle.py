@@ -371,4 +371,21 @@ SELECT i.* REPLACE ({_iso('i.event_time')} AS event_time), t.severity AS type_se
        t.cmin AS min_capacity_reduction, t.cmax AS max_capacity_reduction
 FROM incident_events i LEFT JOIN incident_types t ON i.incident_type = t.incident_type""",
     "conformance_report": _conformance(),
+    "stream_window_metrics": _window_metrics("hour"),
+    "stream_decisions": _decisions(LATEST),
+    "stream_latest_state": _with() + f"""
+, single AS (
+  SELECT intersection_id, {_iso('event_time')} AS window_start,
+         {_iso('event_time + INTERVAL 1 SECOND')} AS window_end,
+         CAST(vehicle_count AS BIGINT) AS total_vehicles, speed_centi / 100.0::DOUBLE AS avg_speed_kmh,
+         'NONE' AS worst_severity,
+         {_mode('vehicle_count', 'speed_centi', "'NONE'")} AS traffic_mode,
+         {_iso('event_time + INTERVAL 1 SECOND')} AS decision_timestamp, 1000.0::DOUBLE AS e2e_latency_ms,
+         event_time + to_seconds(event_id * 7919 % 7200) AS arrived,
+         CAST(1000 * (event_id * 7919 % 7200 - 1) AS DOUBLE) AS latency_ms
+  FROM vehicle_events)
+SELECT * EXCLUDE (arrived), {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS INTEGER) AS red_duration_sec,
+       strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') AS received_at
+FROM single
+QUALIFY row_number() OVER (PARTITION BY intersection_id ORDER BY arrived DESC, window_start DESC) = 1""",
 }
