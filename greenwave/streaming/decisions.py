@@ -80,6 +80,18 @@ def _combiner(combine):
     return run
 
 
+def _gather(frames: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame | None, pd.DataFrame | None]:
+    """Readings and incidents of one key, combined frame by frame as they arrive."""
+    kept = [None, None]
+    for frame in frames:
+        is_incident = frame["incident_at"].notna()
+        parts = (frame[~is_incident], _combine_readings), (frame[is_incident], _combine_incidents)
+        for i, (part, combine) in enumerate(parts):
+            if len(part):
+                kept[i] = combine(part if kept[i] is None else pd.concat([kept[i], part]))
+    return kept[0], kept[1]
+
+
 def severities(ends: np.ndarray, incidents: list[tuple]) -> tuple[list[str], list[str]]:
     """``(latest, worst)`` severity at each window end.
 
@@ -135,22 +147,19 @@ class _Signals(StatefulProcessor):
         self.clock = handle.getValueState("clock", "newest long")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        frames = [f for f in rows if len(f)]
-        if not frames:
-            return
-        frame = pd.concat(frames, ignore_index=True)
+        readings, reported = _gather(rows)
         known = self._load_incidents()
-        is_incident = frame["incident_at"].notna()
-        for row in frame[is_incident].itertuples(index=False):
-            known[(int(row.incident_at), row.event_id)] = (row.severity, int(row.expires_at))
-
-        readings = frame[~is_incident]
+        if reported is not None:
+            for row in reported.itertuples(index=False):
+                known[(int(row.incident_at), row.event_id)] = (row.severity, int(row.expires_at))
         newest = self.clock.get()[0] if self.clock.exists() else None
-        if newest is not None and not self.final:
+        if readings is None:
+            readings = pd.DataFrame(columns=_COLUMNS)
+        elif newest is not None and not self.final:
             readings = readings[readings["window_end"] > newest - self.delay]
         open_windows = self._load_windows()
         changed = {}
-        for row in _combine_readings(readings).itertuples(index=False):
+        for row in readings.itertuples(index=False):
             end = int(row.window_end)
             changed[end] = _merged(
                 open_windows.get(end),
