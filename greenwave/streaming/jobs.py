@@ -25,17 +25,18 @@ def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFram
     """
     spark = stream.sparkSession
     folder = shared_folder(spark, purpose)
+    write = append_batches(f"{folder}/rows")
+    write(spark.createDataFrame([], stream.schema), -1)  # so that there is a table without input
     query = (
         stream.writeStream.outputMode(output_mode)
-        .foreachBatch(append_batches(f"{folder}/rows"))
+        .foreachBatch(write)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if query.lastProgress is None:
-        return spark.createDataFrame([], stream.schema).selectExpr("*", "0 AS batch_id")
-    return spark.read.schema(StructType([*stream.schema.fields, StructField("batch_id", IntegerType())])).parquet(f"{folder}/rows")
+    schema = StructType([*stream.schema.fields, StructField("batch_id", IntegerType())])
+    return spark.read.schema(schema).parquet(f"{folder}/rows")
 
 
 def start_decision_job(
