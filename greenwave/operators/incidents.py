@@ -12,6 +12,8 @@ including its expiry.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,6 @@ _UNTIL = {
     for severity, rank in sorted(SEVERITY_RANK.items(), key=lambda item: -item[1])
     if rank > 0
 }
-_ENDS = ["_until_any", *_UNTIL.values()]
 
 
 def incident_lifetimes(incidents: DataFrame) -> DataFrame:
@@ -69,6 +70,7 @@ def severity_at(
     time: str = "window_end",
     horizon: str | None = None,
     block: str = "6 hours",
+    want: Sequence[str] = ("latest_severity", "worst_severity", "incident_active"),
 ) -> DataFrame:
     """``points`` with ``latest_severity``, ``worst_severity`` and ``incident_active``.
 
@@ -85,7 +87,9 @@ def severity_at(
       expiry seen so far for each severity.
 
     ``horizon`` bounds how long after its event time an incident may match,
-    whatever its duration. Points without an intersection match nothing.
+    whatever its duration. Points without an intersection match nothing. Name in
+    ``want`` only the columns in use: both uses of the collapsed incidents then
+    need the same columns, and Spark shuffles them once.
     """
     block_of = f"unix_seconds({{}}) div {seconds_of(block)}".format
     until = f"least(expires_at, event_time + INTERVAL {horizon})" if horizon else "expires_at"
@@ -101,25 +105,23 @@ def severity_at(
             f"{until} AS _end",
         )
     )
+    # Furthest expiry so far, by what it is for; all are running maxima.
+    ends = {}
+    if "worst_severity" in want:
+        for severity, name in _UNTIL.items():
+            ends[name] = f"max(CASE WHEN severity = '{severity}' THEN _end END)"
+    if "incident_active" in want:
+        ends["_until_any"] = "max(_end)"
+    newest = ["_severity", "_expires_at"] if "latest_severity" in want else []
+    collapse, pick_newest, unpack = [f"{e} AS {n}" for n, e in ends.items()], [], []
+    if newest:
+        collapse.append("max(struct(event_id, severity AS _severity, _end AS _expires_at)) AS _last")
+        pick_newest = ["max(struct(_at, _severity, _expires_at)) AS _last"]
+        unpack = [f"_last.{name} AS {name}" for name in newest]
     instants = (
         life.groupBy("intersection_id", "_block", "_at")
-        .agg(
-            F.expr("max(struct(event_id, severity, _end)) AS _last"),
-            F.expr("max(_end) AS _until_any"),
-            *[
-                F.expr(f"max(CASE WHEN severity = '{severity}' THEN _end END) AS {name}")
-                for severity, name in _UNTIL.items()
-            ],
-        )
-        .selectExpr(
-            "intersection_id",
-            "_block",
-            "_at",
-            "1 AS _order",
-            "_last.severity AS _severity",
-            "_last._end AS _expires_at",
-            *_ENDS,
-        )
+        .agg(*map(F.expr, collapse))
+        .selectExpr("intersection_id", "_block", "_at", "1 AS _order", *unpack, *ends)
     )
 
     # One row per (intersection, block with incidents): what holds after that block,
@@ -128,37 +130,31 @@ def severity_at(
     up_to_here = by_block(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
     heads = (
         instants.groupBy("intersection_id", "_block")
-        .agg(
-            F.expr("max(struct(_at, _severity, _expires_at)) AS _last"),
-            *[F.expr(f"max({name}) AS {name}") for name in _ENDS],
-        )
+        .agg(*map(F.expr, [*pick_newest, *[f"max({name}) AS {name}" for name in ends]]))
         .selectExpr(
             "intersection_id",
-            "_last._severity AS _severity",
-            "_last._expires_at AS _expires_at",
-            *[f"max({name}) OVER {up_to_here} AS {name}" for name in _ENDS],
+            *unpack,
+            *[f"max({name}) OVER {up_to_here} AS {name}" for name in ends],
             "_block + 1 AS _from",
             f"lead(_block) OVER {by_block('')} AS _next",
         )
     )
-    carried = heads.withColumn(
-        "_to", F.expr(f"least({block_of('_until_any')}, _next)")
+    last_blocks = ", ".join(block_of(name) for name in [*newest[1:], *ends])
+    carried = heads.selectExpr(
+        "*", f"least(array_max(array({last_blocks})), _next) AS _to"
     ).selectExpr(
         "intersection_id",
         "explode(CASE WHEN _to >= _from THEN sequence(_from, _to) END) AS _block",
         "CAST(NULL AS TIMESTAMP) AS _at",
         "0 AS _order",
-        "_severity",
-        "_expires_at",
-        *_ENDS,
+        *newest,
+        *ends,
     )
 
     marked = points.selectExpr(
         "*", f"{block_of(time)} AS _block", f"{time} AS _at", "2 AS _order"
     )
-    merged = marked.unionByName(
-        instants.unionByName(carried), allowMissingColumns=True
-    )
+    merged = marked.unionByName(instants.unionByName(carried), allowMissingColumns=True)
     # A carried row has no instant and so opens its block (nulls sort first); at one
     # instant the incident comes before the points.
     seen = (
@@ -168,17 +164,16 @@ def severity_at(
     scanned = merged.selectExpr(
         *points.columns,
         "_order",
-        f"last(_severity, true) OVER {seen} AS _severity",
-        f"last(_expires_at, true) OVER {seen} AS _expires_at",
-        *[f"max({name}) OVER {seen} AS {name}" for name in _ENDS],
+        *[f"last({name}, true) OVER {seen} AS {name}" for name in newest],
+        *[f"max({name}) OVER {seen} AS {name}" for name in ends],
     ).filter("_order = 2")
     active = " ".join(f"WHEN {name} >= {time} THEN '{sev}'" for sev, name in _UNTIL.items())
-    return scanned.selectExpr(
-        *points.columns,
-        f"CASE WHEN _expires_at >= {time} THEN _severity ELSE 'NONE' END AS latest_severity",
-        f"CASE {active} ELSE 'NONE' END AS worst_severity",
-        f"coalesce(_until_any >= {time}, false) AS incident_active",
-    )
+    answers = {
+        "latest_severity": f"CASE WHEN _expires_at >= {time} THEN _severity ELSE 'NONE' END",
+        "worst_severity": f"CASE {active} ELSE 'NONE' END",
+        "incident_active": f"coalesce(_until_any >= {time}, false)",
+    }
+    return scanned.selectExpr(*points.columns, *[f"{answers[name]} AS {name}" for name in want])
 
 
 def interval_join(
@@ -205,8 +200,8 @@ def interval_join(
     splits each bucket's incidents ahead of time at the price of copying points.
     """
     bucket_of = f"unix_seconds({{}}) div {seconds_of(bucket)}".format
-    right = live_incidents(incidents).selectExpr(
-        "intersection_id",
+    right = live_incidents(incidents).filter("intersection_id IS NOT NULL").selectExpr(
+        "intersection_id AS _at_intersection",
         "event_id AS incident_event_id",
         "event_time AS incident_time",
         "severity AS incident_severity",
@@ -217,16 +212,20 @@ def interval_join(
     )
     right = right.selectExpr(
         "*",
-        f"explode(sequence({bucket_of('incident_time')}, {bucket_of('_until')})) AS _bucket",
+        f"explode(sequence({bucket_of('incident_time')}, {bucket_of('_until')})) AS _at_bucket",
     )
     left = points.selectExpr("*", f"{bucket_of(time)} AS _bucket")
-    keys = ["intersection_id", "_bucket"]
+    # Null-safe conditions: others would filter nulls out below the points, whose
+    # shuffle could then not be shared with the search for unmatched ones.
+    on = (
+        "intersection_id <=> _at_intersection AND _bucket <=> _at_bucket "
+        f"AND if({time} IS NULL, false, {time} BETWEEN incident_time AND _until)"
+    )
     if salts > 1:
-        left = left.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _salt")
-        keys = [*keys, "_salt"]
+        left = left.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _copy")
+        on += " AND _copy = _salt"
     matched = (
-        left.join(right, keys, "inner")
-        .filter(f"incident_time <= {time} AND {time} <= _until")
+        left.join(right, F.expr(on), "inner")
         .select(
             *points.columns,
             "incident_event_id",
@@ -241,7 +240,7 @@ def interval_join(
     if how != "left":
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     unmatched = (
-        severity_at(points, incidents, time, horizon=horizon)
+        severity_at(points, incidents, time, horizon=horizon, want=("incident_active",))
         .filter("NOT incident_active")
         .selectExpr(*points.columns, "'NONE' AS incident_severity", "0 AS incident_rank")
     )

@@ -16,13 +16,22 @@ def latest_state(received: DataFrame, arrival: tuple[str, ...] = ARRIVAL) -> Dat
     A maximum over structs led by the arrival order: one row per intersection
     leaves each input partition, however hot the key. Usable on a stream in
     update or complete mode. ``arrival`` must order the rows of an intersection
-    without ties.
+    without ties. Records without an intersection count as ``UNKNOWN``, the name
+    ``decode_decisions`` gives them; it is set after grouping so that an existing
+    order by intersection saves the sort.
     """
     rest = [c for c in received.columns if c not in arrival and c != "intersection_id"]
     return (
-        received.groupBy(F.expr("coalesce(intersection_id, 'UNKNOWN') AS intersection_id"))
+        received.groupBy("intersection_id")
         .agg(F.max(F.struct(*arrival, *rest)).alias("_latest"))
-        .selectExpr(*[c if c == "intersection_id" else f"_latest.{c}" for c in received.columns])
+        .selectExpr(
+            *[
+                "coalesce(intersection_id, 'UNKNOWN') AS intersection_id"
+                if c == "intersection_id"
+                else f"_latest.{c}"
+                for c in received.columns
+            ]
+        )
     )
 
 

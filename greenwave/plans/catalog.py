@@ -93,7 +93,9 @@ def _severity(length: str, column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics = window_metrics(fixtures.vehicles(spark, sf_dir), length)
         found = severity_at(
-            metrics.select("intersection_id", "window_end"), fixtures.incidents(spark, sf_dir)
+            metrics.select("intersection_id", "window_end"),
+            fixtures.incidents(spark, sf_dir),
+            want=(column,),
         )
         return _iso(found, "window_end").select("intersection_id", "window_end", column)
 
@@ -125,7 +127,8 @@ def incident_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decisions(length: str, column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics = window_metrics(fixtures.vehicles(spark, sf_dir), length)
-        plans = decide(severity_at(metrics, fixtures.incidents(spark, sf_dir)), column)
+        found = severity_at(metrics, fixtures.incidents(spark, sf_dir), want=(column,))
+        plans = decide(found, column)
         return _iso(plans, "window_start", "window_end").select(
             "intersection_id",
             "window_start",

@@ -68,24 +68,32 @@ def vehicles_from(events: DataFrame) -> DataFrame:
 
 
 def incidents_from(events: DataFrame) -> DataFrame:
-    """Incidents; works on a batch or a stream of events."""
+    """Incidents; works on a batch or a stream of events.
+
+    The type comes from ``inline``, which reads each JSON text once: through a
+    plain projection the optimizer would copy the parse into every later filter.
+    """
     kinds = [next(name for last, name in TYPE_BY_K if k <= last) for k in range(25)]
+    rows = ", ".join(
+        "struct({} AS incident_type, {} AS severity, {} AS _low, {} AS _high)".format(
+            *map(literal, (kind, *INCIDENT_TYPES[kind][:3]))
+        )
+        for kind in kinds
+    )
     k = "CAST(get_json_object(props, '$.k') AS INT) % 25"
-
-    def of_type(position: int) -> str:
-        return _pick([INCIDENT_TYPES[kind][position] for kind in kinds], k)
-
-    severe = _pick([INCIDENT_TYPES[kind][0] in ("HIGH", "CRITICAL") for kind in kinds], k)
-    return events.filter("event_type = 'error'").selectExpr(
+    typed = events.filter("event_type = 'error'").selectExpr(
+        "event_id", "ts", "user_id", f"inline(array(array({rows})[{k}]))"
+    )
+    return typed.selectExpr(
         "event_id",
         f"{_EVENT_TIME} AS event_time",
         f"{_INTERSECTION} AS intersection_id",
-        f"{_pick(kinds, k)} AS incident_type",
-        f"{of_type(0)} AS severity",
-        f"CAST({of_type(1)} + event_id % ({of_type(2)} - {of_type(1)} + 1) AS INT)"
-        " AS estimated_duration_min",
+        "incident_type",
+        "severity",
+        "CAST(_low + event_id % (_high - _low + 1) AS INT) AS estimated_duration_min",
         "(10 + event_id % 91) / 100D AS capacity_reduction_factor",
-        f"CAST(if({severe}, 1 + event_id % 2, event_id % 11 % 2) AS INT) AS lanes_blocked",
+        "CAST(if(severity IN ('HIGH', 'CRITICAL'), 1 + event_id % 2, event_id % 11 % 2) AS INT)"
+        " AS lanes_blocked",
     )
 
 
@@ -162,7 +170,9 @@ def decided(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataF
     metrics = window_metrics(
         vehicles(spark, sf_dir), length, extra=["min(event_id) AS first_event_id"]
     )
-    plans = decide(severity_at(metrics, incidents(spark, sf_dir)), "latest_severity")
+    plans = decide(
+        severity_at(metrics, incidents(spark, sf_dir), want=("latest_severity",)), "latest_severity"
+    )
     return decision_records(plans, DECIDED_AT, keep=("first_event_id",))
 
 
