@@ -1,31 +1,39 @@
-"""Event-time parsing, rendering and differences, all in UTC."""
+"""Event-time parsing, rendering and differences, all in UTC.
+
+Texts are matched against the exact accepted shape and then cast: the cast alone
+would take more (zones, dates without time), and it is several times faster than
+parsing by a date pattern. What is no valid moment gives NULL.
+"""
 
 from greenwave.functions.constants import EVENT_TIME_FORMAT
 from greenwave.functions.numbers import hundredths, ratio_half_up
 
-# Fixed formats of the decision log: seconds, with or without a fraction of up to six digits.
-SECONDS_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
-LOGGED_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?$"
+# Fixed formats: event times have two-digit fields, production times one or two, logged
+# times also outer blanks, a blank separator and a fraction of up to six digits.
+EVENT_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+PRODUCED_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z"
+LOGGED_SHAPE = (
+    r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?\s*\z"
+)
+
+
+def _parse(text: str, shape: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{shape}' THEN try_cast({text} AS TIMESTAMP) END"
 
 
 def parse_event_time(text: str) -> str:
     """Strict event time; anything else, a zone suffix or a fraction included, is NULL."""
-    return f'try_to_timestamp({text}, "{EVENT_TIME_FORMAT}")'
+    return _parse(text, EVENT_SHAPE)
 
 
 def parse_produced_at(text: str) -> str:
-    """Production time at whole seconds; one- or two-digit fields are accepted."""
-    return f"CASE WHEN {text} RLIKE '{SECONDS_SHAPE}' THEN try_to_timestamp({text}, \"yyyy-M-d'T'H:m:s\") END"
+    """Production time at whole seconds."""
+    return _parse(text, PRODUCED_SHAPE)
 
 
 def parse_logged_time(text: str) -> str:
-    """Time written by a decision log: outer blanks dropped, blank or ``T`` separator,
-    optional fraction; other forms are NULL."""
-    joined = rf"translate(regexp_replace({text}, r'^\s+|\s+$', ''), ' ', 'T')"
-    return (
-        f"CASE WHEN {joined} RLIKE '{LOGGED_SHAPE}' "
-        f"THEN try_to_timestamp({joined}, \"yyyy-M-d'T'H:m:s[.SSSSSS]\") END"
-    )
+    """Time written by a decision log, in any of its forms."""
+    return _parse(text, LOGGED_SHAPE)
 
 
 def iso_seconds(time: str) -> str:

@@ -47,6 +47,9 @@ PAYLOADS = [
     (changed(timestamp="2024-03-24T10:15:32.5"), "bad_event_time"),
     (changed(timestamp="2024-03-24T10:15:32Z"), "bad_event_time"),
     (changed(timestamp="2024-03-24 10:15:32"), "bad_event_time"),
+    (changed(timestamp="2024-3-24T10:15:32"), "bad_event_time"),
+    (changed(timestamp="2024-02-30T10:15:32"), "bad_event_time"),
+    (changed(timestamp="2024-03-24T10:15:32\n"), "bad_event_time"),
 ]
 
 

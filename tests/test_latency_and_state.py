@@ -51,6 +51,11 @@ LOGGED = [
     ("  2024-03-24 10:15:32\t", datetime(2024, 3, 24, 10, 15, 32)),
     ("2024-03-24T10:15:32.5", datetime(2024, 3, 24, 10, 15, 32, 500000)),
     ("2024-3-4T1:2:3", datetime(2024, 3, 4, 1, 2, 3)),
+    ("2024-03-24 10:15:32\n", datetime(2024, 3, 24, 10, 15, 32)),
+    ("2024-03-24T25:15:32", None),
+    ("2024-03-24T10:15:60", None),
+    ("2024-003-24T10:15:32", None),
+    ("2024-03-24T10:15:32.1234567", None),
     ("2024-03-24", None),
     ("2024-03-24T10:15:32Z", None),
     ("2024-03-24  10:15:32", None),
