@@ -15,6 +15,7 @@ def window_metrics(
     length: str = "1 second",
     slide: str | None = None,
     extra: Sequence[str] = (),
+    with_event_time: bool = False,
 ) -> DataFrame:
     """Vehicle total, mean speed and earliest production time per window and intersection.
 
@@ -26,7 +27,8 @@ def window_metrics(
     ``avg_speed_kmh`` is not weighted by vehicles. ``speed_sum`` (ten-thousandths)
     and ``speed_readings`` carry the exact mean for rounding. ``extra`` names
     further aggregates as ``"min(event_id) AS first_event_id"``. Production times
-    that do not parse are ignored.
+    that do not parse are ignored. ``with_event_time`` adds ``window_time``, the last
+    instant of the window, which on a stream carries the watermark on.
     """
     produced = "produced_at"
     if dict(vehicles.dtypes)[produced] == "string":
@@ -52,6 +54,7 @@ def window_metrics(
         "speed_sum",
         "speed_readings",
         *grouped.columns[6:],
+        *(["window_time(window) AS window_time"] if with_event_time else []),
     )
 
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from greenwave.functions import SignalRules
 from greenwave.operators.decisions import decision_records
-from greenwave.operators.decode import classify_records
-from greenwave.schemas import INCIDENT, VEHICLE
+from greenwave.operators.decode import classify_records, decode_decisions
+from greenwave.operators.latency import receive
+from greenwave.operators.state import latest_state
+from greenwave.schemas import DECISION, INCIDENT, VEHICLE
 from greenwave.session import shared_folder
 from greenwave.sources.sinks import append_batches
 from greenwave.streaming.decisions import stream_decisions
@@ -39,6 +42,27 @@ def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFram
     return spark.read.schema(schema).parquet(f"{folder}/rows")
 
 
+def counted(stream: DataFrame, name: str) -> DataFrame:
+    """The stream with its rows per micro-batch observed.
+
+    The count shows under ``name`` in the ``observedMetrics`` of the query's progress.
+    """
+    return stream.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def _start(name: str, stream: DataFrame, mode: str, write, checkpoints: str, trigger: str | None):
+    when = {"processingTime": trigger} if trigger else {"availableNow": True}
+    return (
+        counted(stream, name)
+        .writeStream.queryName(name)
+        .outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoints}/{name}")
+        .trigger(**when)
+        .start()
+    )
+
+
 def start_decision_job(
     vehicles: DataFrame,
     incidents: DataFrame,
@@ -66,20 +90,32 @@ def start_decision_job(
         for name, rows in zip(("vehicles", "incidents"), sides)
     ]
     decisions = stream_decisions(*good, length, delay, "update", severity, rules)
-    when = {"processingTime": trigger} if trigger else {"availableNow": True}
+    spark.streams.resetTerminated()
+    return [
+        _start("decisions", decision_records(decisions), "update", publish, checkpoints, trigger),
+        _start("quarantine", bad[0].unionByName(bad[1]), "append", quarantine, checkpoints, trigger),
+    ]
 
-    def start(name: str, stream: DataFrame, mode: str, write) -> StreamingQuery:
-        return (
-            stream.writeStream.queryName(name)
-            .outputMode(mode)
-            .foreachBatch(write)
-            .option("checkpointLocation", f"{checkpoints}/{name}")
-            .trigger(**when)
-            .start()
-        )
 
-    spark.streams.resetTerminated()
+def start_monitor_job(
+    decisions: DataFrame,
+    history: Callable[[DataFrame, int], None],
+    state: Callable[[DataFrame, int], None],
+    checkpoints: str,
+    trigger: str | None = "1 second",
+    received_at: str = "current_timestamp()",
+) -> list[StreamingQuery]:
+    """Follow published decisions: every received one, and the latest per intersection.
+
+    ``decisions`` holds JSON payloads in ``value``; further columns, such as the
+    broker's arrival time, may be named in the ``received_at`` expression. Unusable
+    records are left out. ``latency_history`` on the table written by ``history``
+    gives the statistics; ``state`` receives each intersection that changed.
+    """
+    usable = decode_decisions(decisions).filter("reason IS NULL").drop("reason")
+    received = receive(usable, received_at)
+    received = received.select(*DECISION.fieldNames(), "received_at", "latency_ms")
     return [
-        start("decisions", decision_records(decisions), "update", publish),
-        start("quarantine", bad[0].unionByName(bad[1]), "append", quarantine),
+        _start("received", received, "append", history, checkpoints, trigger),
+        _start("latest_state", latest_state(received), "update", state, checkpoints, trigger),
     ]

@@ -1,18 +1,21 @@
 """Streams against batch results, over several micro-batches, restarts and late rows."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
 
 from greenwave.operators.decisions import decide
 from greenwave.operators.decode import decode_incidents, decode_vehicles
-from greenwave.operators.incidents import severity_at
+from greenwave.operators.incidents import interval_join, severity_at
+from greenwave.operators.latency import latency_history, latency_summary
 from greenwave.operators.metrics import window_metrics
 from greenwave.sources.sinks import append_batches, last_emission
 from greenwave.sources.topics import read_json_lines, stream_json_lines
 from greenwave.streaming.decisions import still_needed, severities, stream_decisions, stream_severities
-from greenwave.streaming.jobs import run_available, start_decision_job
+from greenwave.streaming.incidents import stream_incidents, stream_interval_join
+from greenwave.streaming.jobs import counted, run_available, start_decision_job, start_monitor_job
 from greenwave.streaming.metrics import stream_metrics
 
 T0 = datetime(2024, 1, 1, 8, 0, 0)
@@ -49,7 +52,10 @@ class Feed:
     def add(self, vehicles=(), incidents=()):
         self.files += 1
         for topic, lines in (("vehicles", vehicles), ("incidents", incidents)):
-            (self.root / topic / f"{self.files:04d}.txt").write_text("\n".join([*lines, ""]))
+            file = self.root / topic / f"{self.files:04d}.txt"
+            file.write_text("\n".join([*lines, ""]))
+            # File sources read in order of modification time.
+            os.utime(file, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
 
     def path(self, topic):
         return str(self.root / topic)
@@ -217,6 +223,69 @@ def test_whole_job_with_quarantine(spark, feed, tmp_path):
     }
 
 
+def test_native_join_gives_the_pairs_of_closed_windows(spark, feed):
+    fill_in_order(feed)
+    feed.add([vehicle(1000, "A", 1)], [incident(1000, "C", "LOW", 1)])
+    stream = stream_interval_join(*streams(spark, feed), "10 seconds")
+    emitted = run_available(stream, "append", "pairs")
+    metrics = window_metrics(decode_vehicles(read_json_lines(spark, feed.path("vehicles"))), "10 seconds")
+    incidents = decode_incidents(read_json_lines(spark, feed.path("incidents")))
+    pairs = interval_join(metrics.filter(f"window_end <= TIMESTAMP '{T0 + timedelta(seconds=900)}'"), incidents, how="inner")
+    keys = ["intersection_id", "window_end", "incident_event_id", "total_vehicles"]
+    got = sorted(map(tuple, emitted.select(*keys).collect()))
+    assert got and got == sorted(map(tuple, pairs.select(*keys).collect()))
+
+
+def test_incident_feed_keeps_late_incidents(spark, feed):
+    feed.add(incidents=[incident(500, "A", "LOW", 5)])
+    feed.add(incidents=[incident(900, "A", "LOW", 5)])
+    feed.add(incidents=[incident(3, "A", "HIGH", 5)])
+    _, incidents = streams(spark, feed)
+    emitted = run_available(stream_incidents(incidents), "append", "incidents")
+    assert {(r.event_time - T0).seconds for r in emitted.collect()} == {3, 500, 900}
+
+
+def test_monitor_job(spark, feed, tmp_path):
+    def decision(key, start, latency):
+        record = {"intersection_id": key, "window_start": iso(start), "traffic_mode": "FLUID",
+                  "decision_timestamp": iso(start + 1), "e2e_latency_ms": latency}
+        return json.dumps(record)
+
+    feed.add([decision("A", 10, 1500.5), decision("B", 10, -1), "junk"])
+    feed.add([decision("A", 5, 3000.0), json.dumps({"intersection_id": "B", "e2e_latency_ms": None})])
+    raw = stream_json_lines(spark, feed.path("vehicles"), 1).selectExpr(
+        "value", "_metadata.file_name AS _file"
+    )
+    queries = start_monitor_job(
+        raw,
+        append_batches(f"{tmp_path}/received"),
+        append_batches(f"{tmp_path}/state"),
+        f"{tmp_path}/checkpoints",
+        trigger=None,
+        received_at="CAST('2024-01-01 09:00:00' AS TIMESTAMP) "
+        "+ make_dt_interval(0, 0, CAST(substr(_file, 1, 4) AS INT))",
+    )
+    for query in queries:
+        query.awaitTermination()
+    received = spark.read.parquet(f"{tmp_path}/received")
+    assert received.count() == 3
+    summary = latency_summary(latency_history(received)).first()
+    assert (summary.sample_count, summary.max_latency_ms, summary.sla_3sec_compliance_pct) == (2, 3000.0, 50.0)
+    state = last_emission(spark.read.parquet(f"{tmp_path}/state"), "intersection_id")
+    assert {(r.intersection_id, r.window_start) for r in state.collect()} == {("A", iso(5)), ("B", iso(10))}
+
+
+def test_rows_per_batch_are_observed(spark, feed, tmp_path):
+    feed.add([vehicle(1, "A", 1), vehicle(1, "B", 1)])
+    vehicles, _ = streams(spark, feed)
+    query = (
+        counted(vehicles, "readings").writeStream.format("noop").trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "c")).start()
+    )
+    query.awaitTermination()
+    assert query.recentProgress[0].observedMetrics["readings"]["rows"] == 2
+
+
 def test_empty_source_gives_no_rows(spark, feed):
     vehicles, _ = streams(spark, feed)
     assert run_available(stream_metrics(vehicles), "update", "metrics").count() == 0
