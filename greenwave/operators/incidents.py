@@ -69,6 +69,7 @@ def severity_at(
     incidents: DataFrame,
     time: str = "window_end",
     horizon: str | None = None,
+    grid: str | None = None,
     block: str = "6 hours",
     want: Sequence[str] = ("latest_severity", "worst_severity", "incident_active"),
 ) -> DataFrame:
@@ -77,7 +78,8 @@ def severity_at(
     An as-of join and a stabbing-maximum join in one sort, with no pairs formed:
 
     * incidents at one instant of one intersection collapse to one row, after
-      which a group holds at most one incident row per instant;
+      which a group holds at most one incident row per instant; with ``grid``,
+      those that come into view at the same grid point collapse;
     * time is cut into ``block``s and every window function runs per
       (intersection, block), so a hot intersection is spread over as many tasks
       as it has blocks;
@@ -87,19 +89,27 @@ def severity_at(
       expiry seen so far for each severity.
 
     ``horizon`` bounds how long after its event time an incident may match,
-    whatever its duration. Points without an intersection match nothing. Name in
-    ``want`` only the columns in use: both uses of the collapsed incidents then
-    need the same columns, and Spark shuffles them once.
+    whatever its duration. ``grid`` promises that all points lie on multiples of a
+    length, as the ends of windows of that length do. Points without an
+    intersection match nothing. Name in ``want`` only the columns in use: both uses
+    of the collapsed incidents then need the same columns, and Spark shuffles them
+    once.
     """
     block_of = f"unix_seconds({{}}) div {seconds_of(block)}".format
     until = f"least(expires_at, event_time + INTERVAL {horizon})" if horizon else "expires_at"
+    in_view = "event_time"
+    if grid:
+        micros = f"unix_micros(event_time) + pmod(-unix_micros(event_time), {seconds_of(grid)}000000L)"
+        in_view = f"timestamp_micros({micros})"
     life = (
         live_incidents(incidents)
         .filter("intersection_id IS NOT NULL")
+        .selectExpr("*", f"{in_view} AS _at")
         .selectExpr(
             "intersection_id",
-            "event_time AS _at",
-            f"{block_of('event_time')} AS _block",
+            "_at",
+            f"{block_of('_at')} AS _block",
+            "event_time",
             "event_id",
             "severity",
             f"{until} AS _end",
@@ -115,7 +125,9 @@ def severity_at(
     newest = ["_severity", "_expires_at"] if "latest_severity" in want else []
     collapse, pick_newest, unpack = [f"{e} AS {n}" for n, e in ends.items()], [], []
     if newest:
-        collapse.append("max(struct(event_id, severity AS _severity, _end AS _expires_at)) AS _last")
+        collapse.append(
+            "max(struct(event_time, event_id, severity AS _severity, _end AS _expires_at)) AS _last"
+        )
         pick_newest = ["max(struct(_at, _severity, _expires_at)) AS _last"]
         unpack = [f"_last.{name} AS {name}" for name in newest]
     instants = (
@@ -184,6 +196,7 @@ def interval_join(
     bucket: str = "1 hour",
     how: str = "left",
     salts: int = 1,
+    grid: str | None = None,
 ) -> DataFrame:
     """Every point with every incident active at it, one row per matching pair.
 
@@ -197,7 +210,8 @@ def interval_join(
     With ``how="left"`` unmatched points follow with severity NONE. They are found
     by ``severity_at`` rather than an outer join: an inner join may be split by
     AQE on either skewed side, an outer one only on the points' side. ``salts``
-    splits each bucket's incidents ahead of time at the price of copying points.
+    splits each bucket's incidents ahead of time at the price of copying points;
+    ``grid`` is as in ``severity_at``.
     """
     bucket_of = f"unix_seconds({{}}) div {seconds_of(bucket)}".format
     right = live_incidents(incidents).filter("intersection_id IS NOT NULL").selectExpr(
@@ -240,7 +254,7 @@ def interval_join(
     if how != "left":
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     unmatched = (
-        severity_at(points, incidents, time, horizon=horizon, want=("incident_active",))
+        severity_at(points, incidents, time, horizon, grid, want=("incident_active",))
         .filter("NOT incident_active")
         .selectExpr(*points.columns, "'NONE' AS incident_severity", "0 AS incident_rank")
     )

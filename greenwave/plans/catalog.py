@@ -95,6 +95,7 @@ def _severity(length: str, column: str) -> Query:
         found = severity_at(
             metrics.select("intersection_id", "window_end"),
             fixtures.incidents(spark, sf_dir),
+            grid=length,
             want=(column,),
         )
         return _iso(found, "window_end").select("intersection_id", "window_end", column)
@@ -107,7 +108,7 @@ def incident_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = window_metrics(fixtures.vehicles(spark, sf_dir), "1 hour").select(
         "intersection_id", "window_end", "total_vehicles"
     )
-    joined = interval_join(points, fixtures.incidents(spark, sf_dir))
+    joined = interval_join(points, fixtures.incidents(spark, sf_dir), grid="1 hour")
     return _iso(joined, "window_end", "incident_time", "expires_at")
 
 
@@ -127,7 +128,8 @@ def incident_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _decisions(length: str, column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics = window_metrics(fixtures.vehicles(spark, sf_dir), length)
-        found = severity_at(metrics, fixtures.incidents(spark, sf_dir), want=(column,))
+        incidents = fixtures.incidents(spark, sf_dir)
+        found = severity_at(metrics, incidents, grid=length, want=(column,))
         plans = decide(found, column)
         return _iso(plans, "window_start", "window_end").select(
             "intersection_id",

@@ -170,9 +170,10 @@ def decided(spark: SparkSession, sf_dir: str, length: str = "1 second") -> DataF
     metrics = window_metrics(
         vehicles(spark, sf_dir), length, extra=["min(event_id) AS first_event_id"]
     )
-    plans = decide(
-        severity_at(metrics, incidents(spark, sf_dir), want=("latest_severity",)), "latest_severity"
+    found = severity_at(
+        metrics, incidents(spark, sf_dir), grid=length, want=("latest_severity",)
     )
+    plans = decide(found, "latest_severity")
     return decision_records(plans, DECIDED_AT, keep=("first_event_id",))
 
 

@@ -21,6 +21,7 @@ still lives in one task, which sees only those combined rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -56,16 +57,17 @@ def _combine_readings(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _combine_incidents(frame: pd.DataFrame) -> pd.DataFrame:
-    """Drop incidents that another one at the same instant makes irrelevant.
+def _combine_incidents(frame: pd.DataFrame, grid: int) -> pd.DataFrame:
+    """Drop incidents that no window end can tell from another one.
 
-    What can matter is the last reported of an instant and the longest of each
-    severity.
+    Incidents between two neighbouring window ends come into view together. Of
+    those only the last reported and the longest of each severity can matter.
     """
-    instant = ["intersection_id", "incident_at"]
-    newest = frame.sort_values("event_id").drop_duplicates(instant, keep="last")
-    longest = frame.sort_values("expires_at").drop_duplicates([*instant, "severity"], keep="last")
-    return pd.concat([newest, longest]).drop_duplicates()
+    frame = frame.assign(_view=-(-frame["incident_at"].astype("int64") // grid))
+    view = ["intersection_id", "_view"]
+    newest = frame.sort_values(["incident_at", "event_id"]).drop_duplicates(view, keep="last")
+    longest = frame.sort_values("expires_at").drop_duplicates([*view, "severity"], keep="last")
+    return pd.concat([newest, longest]).drop_duplicates().drop(columns="_view")
 
 
 def _combiner(combine):
@@ -80,15 +82,17 @@ def _combiner(combine):
     return run
 
 
-def _gather(frames: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame | None, pd.DataFrame | None]:
+def _gather(
+    frames: Iterator[pd.DataFrame], grid: int
+) -> tuple[pd.DataFrame | None, pd.DataFrame | None]:
     """Readings and incidents of one key, combined frame by frame as they arrive."""
+    combiners = _combine_readings, partial(_combine_incidents, grid=grid)
     kept = [None, None]
     for frame in frames:
         is_incident = frame["incident_at"].notna()
-        parts = (frame[~is_incident], _combine_readings), (frame[is_incident], _combine_incidents)
-        for i, (part, combine) in enumerate(parts):
+        for i, part in enumerate((frame[~is_incident], frame[is_incident])):
             if len(part):
-                kept[i] = combine(part if kept[i] is None else pd.concat([kept[i], part]))
+                kept[i] = combiners[i](part if kept[i] is None else pd.concat([kept[i], part]))
     return kept[0], kept[1]
 
 
@@ -130,7 +134,8 @@ def still_needed(incidents: list[tuple], horizon: int) -> list[tuple]:
 class _Signals(StatefulProcessor):
     """Open windows and live incidents of one intersection."""
 
-    def __init__(self, delay_micros: int, final: bool):
+    def __init__(self, length_micros: int, delay_micros: int, final: bool):
+        self.length = length_micros
         self.delay = delay_micros
         self.final = final
 
@@ -147,7 +152,7 @@ class _Signals(StatefulProcessor):
         self.clock = handle.getValueState("clock", "newest long")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        readings, reported = _gather(rows)
+        readings, reported = _gather(rows, self.length)
         known = self._load_incidents()
         if reported is not None:
             for row in reported.itertuples(index=False):
@@ -294,13 +299,15 @@ def stream_severities(
         )
     )
     united = readings.mapInPandas(_combiner(_combine_readings), _INPUT).unionByName(
-        reported.mapInPandas(_combiner(_combine_incidents), _INPUT)
+        reported.mapInPandas(
+            _combiner(partial(_combine_incidents, grid=size * 1_000_000)), _INPUT
+        )
     )
     final = emit == "final"
     if final:
         united = united.withWatermark("event_time", delay)
     emitted = united.groupBy("intersection_id").transformWithStateInPandas(
-        _Signals(seconds_of(delay) * 1_000_000, final),
+        _Signals(size * 1_000_000, seconds_of(delay) * 1_000_000, final),
         outputStructType=_OUTPUT,
         outputMode="append" if final else "update",
         timeMode="EventTime" if final else "None",

@@ -108,11 +108,19 @@ def test_severity_at_equals_brute_force(spark, seed):
         ranks = [SEVERITY_RANK.get(v[2], 0) for v in mine if v[3] >= m]
         worst = next(s for s, r in SEVERITY_RANK.items() if r == max(ranks, default=0))
         expected.append((latest, worst, bool(ranks)))
-    for block in ("6 hours", "15 minutes"):
-        got = severity_at(points(spark, at), frame(spark, rows), block=block).orderBy("point").collect()
+    for options in ({}, {"block": "15 minutes"}, {"grid": "1 minute", "block": "15 minutes"}):
+        got = severity_at(points(spark, at), frame(spark, rows), **options).orderBy("point").collect()
         assert [(r.latest_severity, r.worst_severity, r.incident_active) for r in got] == expected
 
 
+def test_grid_changes_nothing_for_points_on_it(spark):
+    rng = random.Random(11)
+    rows = [r for k in ("a", "b") for r in _random_incidents(rng, k, 150, 3000)]
+    at = points(spark, [(rng.choice("ab"), 60 * rng.randrange(60)) for _ in range(200)])
+    plain = severity_at(at, frame(spark, rows))
+    assert sorted(plain.collect()) == sorted(severity_at(at, frame(spark, rows), grid="1 hour").collect())
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_interval_join_equals_brute_force(spark, salts):
     rng = random.Random(7)

@@ -109,6 +109,8 @@ def fill_in_order(feed, batches=4):
             [vehicle(start + s, k, (s * 7 + i) % 9, 10 + (s + i) % 40) for s in range(0, 100, 3) for i, k in enumerate(KEYS)],
             [incident(start + 5, "A", ["HIGH", "CRITICAL", "LOW", "MEDIUM"][b % 4], 3),
              incident(start + 40, "A", "LOW", 1),
+             *[incident(start + 61 + i, "C", sev, m) for i, (sev, m) in enumerate(
+                 [("LOW", 2), ("HIGH", 1), ("LOW", 1), ("CRITICAL", 1), ("MEDIUM", 3)])],
              incident(start + 50, "B", "CRITICAL", 1)],
         )
 
