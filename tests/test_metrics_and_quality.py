@@ -14,7 +14,8 @@ from greenwave.operators.quality import (
     with_hour_band,
 )
 from greenwave.plans.catalog import QUERIES
-from greenwave.sources.topics import kafka_options
+from greenwave.sources.sinks import status_lines, write_topic
+from greenwave.sources.topics import kafka_options, read_topic, stream_json_lines
 
 T = datetime(2024, 1, 1, 8, 0, 0)
 SF = "/root/testdata/sf0.001"
@@ -139,3 +140,19 @@ def test_topic_options():
         "maxOffsetsPerTrigger": "500",
     }
     assert "maxOffsetsPerTrigger" not in kafka_options("vehicles", "b", max_offsets_per_trigger=None)
+
+
+def test_topic_reader_and_writers_are_built_like_the_file_ones(spark, tmp_path):
+    """The connector is not installed here, so only the set-up can be checked."""
+    with pytest.raises(Exception, match="kafka"):
+        read_topic(spark, "vehicles", "broker:1")
+    (tmp_path / "in").mkdir()
+    stream = stream_json_lines(spark, str(tmp_path / "in")).selectExpr(
+        "value AS intersection_id", "0L AS total_vehicles", "0D AS avg_speed_kmh", "'NONE' AS worst_severity",
+        "'FLUID' AS traffic_mode", "20 AS green_duration_sec", "70 AS red_duration_sec", "'' AS window_start",
+        "'' AS window_end", "'' AS decision_timestamp", "-1D AS e2e_latency_ms",
+    )
+    write_topic(stream, "traffic_decisions", "broker:1", str(tmp_path / "a"))
+    query = status_lines(stream, str(tmp_path / "b")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None
