@@ -6,11 +6,18 @@ arrive, which flips rounding ties. Readings are therefore carried as integers
 """
 
 FIXED_UNIT = 10_000
+LIMIT = 1_000_000
 
 
 def to_fixed(value: str) -> str:
-    """Double to a bigint count of ten-thousandths; NaN, infinities and overflow give NULL."""
-    return f"try_cast(round({value} * {FIXED_UNIT}D) AS BIGINT)"
+    """Double to a bigint count of ten-thousandths.
+
+    NaN and anything beyond a million in size give NULL: one absurd reading must
+    not overflow a sum that is right for all others.
+    """
+    return (
+        f"CASE WHEN abs({value}) < {LIMIT}D THEN CAST(round({value} * {FIXED_UNIT}D) AS BIGINT) END"
+    )
 
 
 def ratio_half_up(numerator: str, denominator: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -12,15 +14,25 @@ from greenwave.schemas import DECISION, INCIDENT, VEHICLE
 _CORRUPT = "_unparsed"
 
 
-def decode(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+def decode(
+    raw: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    fields: Sequence[str] | None = None,
+) -> DataFrame:
     """One JSON text or binary column to flat columns plus ``event_time``.
 
+    ``fields`` names the columns in use beside ``timestamp``; the parser then skips
+    the others.
+
     Rows without a valid event time are dropped, malformed payloads with them.
     A field of the wrong type becomes NULL and its row stays.
 
     The struct is flattened by ``inline``, not ``d.*``: the optimizer would copy
     the parse into the filter and read each payload twice.
     """
+    if fields is not None:
+        schema = StructType([f for f in schema if f.name == "timestamp" or f.name in fields])
     parsed = F.from_json(F.col(value).cast("string"), schema)
     return (
         raw.select(F.inline(F.array(parsed)))
@@ -29,12 +41,12 @@ def decode(raw: DataFrame, schema: StructType, value: str = "value") -> DataFram
     )
 
 
-def decode_vehicles(raw: DataFrame) -> DataFrame:
-    return decode(raw, VEHICLE)
+def decode_vehicles(raw: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    return decode(raw, VEHICLE, fields=fields)
 
 
-def decode_incidents(raw: DataFrame) -> DataFrame:
-    return decode(raw, INCIDENT)
+def decode_incidents(raw: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    return decode(raw, INCIDENT, fields=fields)
 
 
 def classify_records(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
 
@@ -31,25 +30,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    _ship_package(spark)
     return spark
 
 
-_shipped: set[str] = set()
-
-
-def _ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, as ``--py-files`` would."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="greenwave-"), "greenwave")
-    shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
-    context.addPyFile(f"{archive}.zip")
-    _shipped.add(context.applicationId)
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path for ``purpose`` under the cluster's shared checkpoint folder.
 

@@ -51,7 +51,7 @@ def status_lines(records: DataFrame, checkpoint: str, trigger: str = "1 second")
     )
 
 
-def append_batches(path: str, **columns) -> Callable[[DataFrame, int], None]:
+def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each micro-batch to its own folder.
 
     The folder is named by the batch id and replaced when a batch is retried, so
@@ -59,7 +59,7 @@ def append_batches(path: str, **columns) -> Callable[[DataFrame, int], None]:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumns(columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

@@ -283,7 +283,7 @@ def stream_severities(
         f"1000000L * {size} * (unix_seconds(event_time) div {size} + 1) AS window_end",
         "coalesce(CAST(vehicle_count AS BIGINT), 0L) AS total_vehicles",
         f"coalesce({speed}, 0L) AS speed_sum",
-        f"if({speed} IS NULL, 0L, 1L) AS speed_readings",
+        f"if(({speed}) IS NULL, 0L, 1L) AS speed_readings",
         f"unix_micros({produced}) AS min_produced_at",
     )
     reported = (

@@ -83,6 +83,12 @@ def test_decode_parses_each_payload_once(raw):
     assert plan.count("from_json") == 1
 
 
+def test_decode_of_some_fields(raw):
+    rows = decode_vehicles(raw, fields=["intersection_id"])
+    assert rows.columns == ["timestamp", "intersection_id", "event_time"]
+    assert [r.intersection_id for r in rows.collect()] == ["A", "A", "A", "A", None]
+
+
 def test_incident_schema(spark):
     value = json.dumps({"timestamp": "2024-03-24T10:15:32", "intersection_id": "A", "estimated_duration_min": 7})
     row = decode_incidents(spark.createDataFrame([(value,)], "value string")).first()

@@ -36,6 +36,8 @@ def test_metrics_of_one_window(spark):
         (T, "A", 6, None, "rubbish"),
         (T, "A", 1, float("nan"), None),
         (T, "A", 1, 1e300, None),
+        (T, "A", 0, -9e14, None),
+        (T, "A", 0, float("inf"), None),
         (T, None, 2, 7.5, None),
     ]
     got = {r.intersection_id: r for r in window_metrics(readings(spark, rows)).collect()}
