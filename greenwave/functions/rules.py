@@ -49,7 +49,7 @@ def severity_symbol(severity: str, default: str = "") -> str:
 
 @dataclass(frozen=True)
 class SignalRules:
-    """Weights and thresholds of the signal plan.
+    """Weights and thresholds of the signal plan; the defaults are fixed values.
 
     ``volume_scores`` maps "more vehicles than" to a score, highest first;
     ``base_score`` applies below all of them. A severity of ``override`` decides alone.

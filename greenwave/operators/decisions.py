@@ -81,7 +81,10 @@ def keyed_json(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def status_line(tag: str = "[Spark]") -> str:
-    """Log line of the deciding job, as expression text; an unknown latency shows as N/A."""
+    """Log line of the deciding job, as expression text; an unknown latency shows as N/A.
+
+    Fixed values: the wording and order of its parts.
+    """
     latency = (
         f"CASE WHEN e2e_latency_ms >= 0 THEN {plain_decimal('e2e_latency_ms')} || 'ms' "
         "ELSE 'N/A' END"
@@ -96,7 +99,10 @@ def status_line(tag: str = "[Spark]") -> str:
 
 
 def receipt_line(tag: str = "[DecisionService]") -> str:
-    """Log line of the receiving side, as expression text, with both latencies."""
+    """Log line of the receiving side, as expression text, with both latencies.
+
+    Fixed values: the wording and order of its parts.
+    """
 
     def text(name: str) -> str:
         return f"coalesce(CAST({name} AS STRING), 'None')"

@@ -59,8 +59,8 @@ def classify_records(raw: DataFrame, schema: StructType, value: str = "value") -
     text = F.col(value).cast("string")
     parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
     return (
-        raw.select(text.alias("payload"), parsed.alias("d"))
-        .selectExpr("payload", "d.*", f"{parse_event_time('d.timestamp')} AS event_time")
+        raw.select(text.alias("payload"), F.inline(F.array(parsed)))
+        .selectExpr("*", f"{parse_event_time('timestamp')} AS event_time")
         .selectExpr(
             "*",
             f"""CASE WHEN timestamp IS NULL AND {_CORRUPT} IS NOT NULL THEN 'malformed_json'
@@ -93,17 +93,17 @@ def decode_decisions(raw: DataFrame, value: str = "value") -> DataFrame:
     others = [c for c in raw.columns if c != value]
     parsed = raw.select(
         *others,
-        F.from_json(text, DECISION).alias("d"),
         F.json_object_keys(text).alias("_keys"),
+        F.inline(F.array(F.from_json(text, DECISION))),
     )
     filled = {
-        "intersection_id": "coalesce(d.intersection_id, 'UNKNOWN')",
-        "e2e_latency_ms": "coalesce(d.e2e_latency_ms, -1D)",
+        "intersection_id": "coalesce(intersection_id, 'UNKNOWN')",
+        "e2e_latency_ms": "coalesce(e2e_latency_ms, -1D)",
     }
     return parsed.selectExpr(
         *others,
-        *[f"{filled.get(name, 'd.' + name)} AS {name}" for name in DECISION.fieldNames()],
+        *[f"{filled.get(name, name)} AS {name}" for name in DECISION.fieldNames()],
         """CASE WHEN _keys IS NULL THEN 'malformed_json'
-                WHEN array_contains(_keys, 'e2e_latency_ms') AND d.e2e_latency_ms IS NULL
+                WHEN array_contains(_keys, 'e2e_latency_ms') AND e2e_latency_ms IS NULL
                 THEN 'bad_latency' END AS reason""",
     )

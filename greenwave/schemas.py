@@ -1,4 +1,7 @@
-"""Declared schemas of the event streams; nothing is inferred from data."""
+"""Declared schemas of the event streams; nothing is inferred from data.
+
+Fixed values: field names, order and types are those on the wire.
+"""
 
 from pyspark.sql.types import (
     DoubleType,

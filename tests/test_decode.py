@@ -78,9 +78,14 @@ def test_decode_drops_rows_without_event_time_and_keeps_the_rest(raw):
     assert rows[4].intersection_id is None
 
 
-def test_decode_parses_each_payload_once(raw):
-    plan = decode_vehicles(raw)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+def test_decoding_parses_each_payload_once(raw):
+    frames = [
+        decode_vehicles(raw),
+        *split_bad_records(raw, VEHICLE),
+        decode_decisions(raw).filter("reason IS NULL"),
+    ]
+    for df in frames:
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
 def test_decode_of_some_fields(raw):
