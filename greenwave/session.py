@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Names the shared scratch folder where ``spark.checkpoint.dir`` is not set.
+SCRATCH = "spark.greenwave.scratch"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -36,12 +37,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path for ``purpose`` under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage all executors see. Only where it is
-    unset (tests, a laptop) is a local temporary folder used.
+    ``spark.checkpoint.dir`` names storage all executors see; where it is unset, the
+    caller names such a folder in ``spark.greenwave.scratch``. There is no local default.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to shared storage on a cluster")
-        root = tempfile.mkdtemp(prefix="greenwave-")
+        raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to storage all executors share")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")

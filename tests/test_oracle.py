@@ -4,6 +4,8 @@ import __spark_entry__ as contract
 import pytest
 from check_oracle import difference, duck
 
+from greenwave.plans.catalog import QUERIES
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -13,10 +15,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(contract.ORACLE)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, con, name):
     assert difference(spark, con, name, SF) is None
 
