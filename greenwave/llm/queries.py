@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from greenwave.llm import ngram_join
+from greenwave.llm import ngram_join, winnowing
 from greenwave.llm.common import table
 
 
@@ -12,8 +13,59 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+#: A-Z in lower case, as DuckDB text.
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op7_decontaminate": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")},
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all({LOWER.format("text")},
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+hits AS (
+  SELECT doc_id, i, n, item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS words
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM d CROSS JOIN sizes WHERE len(w) >= n)) AS x
+  JOIN windows USING (n, words)),
+places AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p
+        FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+names AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
+""",
+}
