@@ -215,12 +215,13 @@ def _next_members(checked: DataFrame, labels: DataFrame, percent: int) -> tuple[
     groups = known.where("open").select("pivot").distinct()
     busy = known.join(groups, "pivot")
     members = busy.select(
-        F.expr("explode(outside)").alias("token"), "pivot", "key", "open", "key_c"
-    ).select(F.xxhash64("pivot", "token").alias("bucket"), "key", "open", "key_c")
+        F.expr("explode(outside)").alias("token"), "pivot", "key", "open", "key_c", "n"
+    ).select(F.xxhash64("pivot", "token").alias("bucket"), "key", "open", "key_c", "n")
     live = members.groupBy("bucket").agg(
         F.min("key_c").alias("low"), F.max("key_c").alias("high")
     )
-    members = members.join(live.where("low <> high"), "bucket").select("bucket", "key", "open")
+    members = members.join(live.where("low <> high"), "bucket")
+    members = members.select("bucket", "key", "open", "key_c", "n")
     one = busy.where("open").selectExpr("pivot", "key", "key_c", "n", "o")
     two = busy.where("n < m").selectExpr(
         "pivot", "key AS partner", "key_c AS partner_c", "n AS partner_n", "o AS partner_o"
@@ -241,7 +242,7 @@ def near_duplicate_classes(
     width: int = 5,
     percent: int = 75,
     share: int = 16,
-    rounds: int = 4,
+    rounds: int = 8,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
@@ -270,10 +271,14 @@ def near_duplicate_classes(
     for step in range(rounds + 1):
         last = step == rounds
         if last:  # whatever the rounds left open, pair by pair
-            other = members.selectExpr("bucket", "key AS pivot", "open AS open_too")
-            listed = members.join(other, "bucket").where("key < pivot AND (open OR open_too)")
-            paired = _labelled(listed, labels, "key", "pivot").where("key_c <> pivot_c")
-            paired = paired.select("key", "pivot").distinct()
+            other = members.selectExpr("bucket", "key AS pivot", "key_c AS pivot_c", "n AS m")
+            paired = (
+                members.join(other, "bucket")
+                .where("key < pivot AND key_c <> pivot_c")
+                .where(f"{percent} * greatest(n, m) <= 100 * least(n, m)")
+                .select("key", "pivot")
+                .distinct()
+            )
         else:
             paired = _pivot_pairs(members, sets)
         paired = paired if pairs is None else paired.unionByName(pairs).distinct()

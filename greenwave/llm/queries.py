@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenwave.llm import ngram_join, winnowing
+from greenwave.llm import ngram_join, quality, toxicity, winnowing
 from greenwave.llm.common import table
 
 
@@ -13,6 +13,12 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality")
+    return quality.score(docs, model)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -27,9 +33,26 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows that op10 learns from; the others are held out.
+HELD_OUT = "pmod(crc32(CAST(doc_id AS STRING)), 3) = 1"
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold=f"NOT ({HELD_OUT})")
+    return toxicity.score(docs, model).selectExpr(
+        "doc_id",
+        f"coalesce({HELD_OUT}, false) AS held_out",
+        "score",
+        "CAST(score >= 0.7 AS INT) AS predicted",
+    )
+
+
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_quality": op3_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: A-Z in lower case, as DuckDB text.
