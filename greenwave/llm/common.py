@@ -24,7 +24,7 @@ def lower_ascii(text: str | Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage.
 
     Any executor can be lost afterwards: the rows lie in the folder that
@@ -32,7 +32,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 

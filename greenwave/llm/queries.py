@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenwave.llm import ngram_join, quality, toxicity, winnowing
+from greenwave.llm import mixing, ngram_join, quality, token_files, toxicity, winnowing
 from greenwave.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -33,6 +37,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file() -> str:
+    """The public byte-level vocabulary installed beside the tokenizer library."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 #: Rows that op10 learns from; the others are held out.
 HELD_OUT = "pmod(crc32(CAST(doc_id AS STRING)), 3) = 1"
 
@@ -51,7 +66,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality": op3_quality,
+    "op5_mixing": op5_mixing,
     "op7_decontaminate": op7_decontaminate,
+    "op8_token_files": op8_token_files,
     "op10_toxicity": op10_toxicity,
 }
 
