@@ -5,10 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenwave.llm import mixing, ngram_join, quality, token_files, toxicity, winnowing
+from greenwave.llm import (
+    hamming,
+    mixing,
+    ngram_join,
+    quality,
+    redirects,
+    token_files,
+    toxicity,
+    winnowing,
+)
 from greenwave.llm.common import table
 
 
+#: Fixed rules of op1.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = redirects.judge(table(spark, sf_dir, "pages"), redirects.rule_frame(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -23,6 +46,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("mark")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -64,9 +91,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality": op3_quality,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_files": op8_token_files,
     "op10_toxicity": op10_toxicity,
@@ -76,6 +105,21 @@ QUERIES = {
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    # The given pages hold no canonical links or refreshes; a rule, or else no block, decides.
+    "op1_url_filter": f"""
+WITH p AS (
+  SELECT page_id, regexp_extract(u, '^([^/?#]*)', 1) AS h, regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                             THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS u FROM pages)),
+q AS (SELECT page_id, {LOWER.format("h")} AS host, path FROM p),
+r AS (SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                            ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) v(verdict, h, s)),
+best AS (
+  SELECT page_id, arg_max(r.h || r.s, length(r.h || r.s)) AS rule, arg_max(verdict, length(r.h || r.s)) AS verdict
+  FROM q JOIN r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.s) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM q LEFT JOIN best USING (page_id)
+""",
     "op7_decontaminate": rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")},
