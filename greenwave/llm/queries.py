@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenwave.llm import (
+    extraction,
     hamming,
     mixing,
     ngram_join,
+    pseudonyms,
     quality,
     redirects,
     token_files,
@@ -42,6 +44,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("mark")
 
@@ -75,6 +81,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+#: Only for these queries; who keeps real pseudonyms keeps a key of their own.
+PSEUDONYM_KEY = "registered query"
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 #: Rows that op10 learns from; the others are held out.
 HELD_OUT = "pmod(crc32(CAST(doc_id AS STRING)), 3) = 1"
 
@@ -94,10 +108,12 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality": op3_quality,
+    "op4_html_text": op4_html_text,
     "op5_mixing": op5_mixing,
     "op6_nearest": op6_nearest,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_files": op8_token_files,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 
