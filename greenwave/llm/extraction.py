@@ -22,6 +22,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[a-z]+|[0-9]+")
+RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.IGNORECASE)
 
 # Element names of the HTML standard.
 BLOCKS = frozenset(
@@ -48,7 +49,7 @@ BOILERPLATE = frozenset(
 CONTENT = frozenset("article content main post entry story text body".split())
 BAD_ELEMENTS = frozenset("nav footer aside form menu dialog button select label fieldset head search".split())
 EXEMPT = frozenset("html body article main".split())
-BASE, INSIDE, OUTSIDE, PER_LINK, PER_LENGTH, SENTENCE = 0.3, 2.5, -8.0, -3.0, 1.5, 0.5
+BASE, INSIDE, OUTSIDE, PER_LINK, PER_LENGTH, SENTENCE, OWNER = 0.3, 2.5, -8.0, -3.0, 1.5, 0.5, -3.0
 #: Smoothness: between neighbours, at most, and between blocks of one parent.
 NEAR, PARENT = 0.5, 0.4
 
@@ -177,6 +178,7 @@ def log_odds(block: Block) -> float:
     value = BASE + INSIDE * block.element.good + OUTSIDE * block.element.bad
     value += PER_LINK * block.link_share * (0.3 if block.element.good else 1.0)
     value += PER_LENGTH * min(1.0, len(block.text) / 150)
+    value += OWNER * (not block.element.good and RIGHTS.match(block.text) is not None)
     return value + (SENTENCE if block.text[-1] in ".!?:\"'»”)" else 0.0)
 
 

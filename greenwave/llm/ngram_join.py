@@ -123,7 +123,7 @@ def _survivors(docs: DataFrame, classes: DataFrame, width: int, percent: int, sh
 
 
 def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int, bound: int) -> DataFrame:
-    """``key``, ``n``, shared tokens by hash, prefix tokens by rarity and how common they are."""
+    """``key``, ``n``, shared tokens by rarity, prefixes by further orders, how common they are."""
     ids = broadcast_below(survivors.select(F.col("least_id").alias("doc_id")), bound)
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = _sets(texts, width, lambda n: n).join(survivors.select("key"), "key", "left_semi")
@@ -140,9 +140,18 @@ def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int,
         rows.selectExpr(
             "key",
             "n",
-            "array_sort(found.token) AS tokens",
-            f"slice(found.token, 1, CAST(size(found) - {need} + 1 AS INT)) AS prefix",
+            "found.token AS tokens",
+            "array_sort(found.token) AS sorted",
+            f"CAST(size(found) - {need} + 1 AS INT) AS slack",
             "aggregate(found.df, 0D, (a, d) -> a + ln(d)) / n AS common",
+        ).selectExpr(
+            "key",
+            "n",
+            "tokens",
+            "slice(tokens, 1, slack) AS prefix",
+            "slice(sorted, 1, slack) AS low",
+            "slice(sorted, -slack, slack) AS high",
+            "common",
         ),
         "sets",
     )
@@ -154,20 +163,15 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Pairs without a common prefix token under both further orders cannot be linked, but the
     pivot's overlap is needed for the next round, so those of open groups are counted too.
     """
-    left = sets.select("key", "n", "tokens")
-    right = sets.selectExpr("key AS pivot", "n AS m", "tokens AS others")
-    slack = lambda n, t: f"CAST(size({t}) - {_need(n, percent)} + 1 AS INT)"
+    left = sets.select("key", "n", "tokens", "low", "high")
+    right = sets.selectExpr("key AS pivot", "n AS m", "tokens AS others", "low AS low_2", "high AS high_2")
     found = pairs.join(left, "key").join(right, "pivot").selectExpr(
         "key",
         "pivot",
         "n",
         "m",
         f"""{percent} * greatest(n, m) <= 100 * least(n, m)
-            AND arrays_overlap(slice(tokens, 1, {slack("n", "tokens")}),
-                               slice(others, 1, {slack("m", "others")}))
-            AND arrays_overlap(slice(tokens, -{slack("n", "tokens")}, {slack("n", "tokens")}),
-                               slice(others, -{slack("m", "others")}, {slack("m", "others")}))
-            AS candidate""",
+            AND arrays_overlap(low, low_2) AND arrays_overlap(high, high_2) AS candidate""",
         "array_except(tokens, others) AS outside",
         "size(tokens) AS kept",
     )
@@ -206,16 +210,20 @@ def _next_members(checked: DataFrame, labels: DataFrame, percent: int) -> tuple[
     """Buckets and pairs that can still hold a link between different components.
 
     Let x and a be members of a pivot's bucket, in different components. Their overlap is
-    at most min(o(x), o(a)) inside the pivot. If that is less than a link needs, they share
-    a token outside the pivot and meet in its bucket; else they are listed as a pair.
+    at most min(o(x), o(a)) inside the pivot. If that is less than a link needs, the rest
+    lies outside the pivot: need(x) - o(x) tokens at least, so that prefixes of the outside
+    tokens (rarest first) meet in a bucket. Else the two are listed as a pair.
     """
     known = stored(_labelled(checked, labels, "key", "pivot"), "known").withColumn(
         "open", F.expr("key_c <> pivot_c")
     )
     groups = known.where("open").select("pivot").distinct()
     busy = known.join(groups, "pivot")
-    members = busy.select(
-        F.expr("explode(outside)").alias("token"), "pivot", "key", "open", "key_c", "n"
+    prefix = f"""slice(outside, 1, CAST(
+        size(outside) + 1 - greatest({_need("n", percent)} - o, 1) AS INT))"""
+    # A set without outside tokens lies within the pivot: it has no partner outside.
+    members = busy.where(f"size(outside) >= greatest({_need('n', percent)} - o, 1)").select(
+        F.expr(f"explode({prefix})").alias("token"), "pivot", "key", "open", "key_c", "n"
     ).select(F.xxhash64("pivot", "token").alias("bucket"), "key", "open", "key_c", "n")
     live = members.groupBy("bucket").agg(
         F.min("key_c").alias("low"), F.max("key_c").alias("high")
@@ -242,7 +250,7 @@ def near_duplicate_classes(
     width: int = 5,
     percent: int = 75,
     share: int = 16,
-    rounds: int = 8,
+    rounds: int = 4,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
