@@ -67,7 +67,7 @@ def fit_ordinal(rows: np.ndarray, ratings: np.ndarray, steps: int = 200, decay:
     grades = np.unique(ratings)
     cuts = len(grades) - 1
     if cuts < 1:
-        return OrdinalModel(tuple(grades.tolist()) or (0.0,), np.zeros(2 * HALF), np.empty(0))
+        return OrdinalModel(tuple(grades.tolist()) or (0.0,), np.zeros(rows.shape[1]), np.empty(0))
     level = np.searchsorted(grades, ratings)
     below = np.array([np.clip((level <= k).mean(), 1e-3, 1 - 1e-3) for k in range(cuts)])
     start = np.log(below / (1 - below))
