@@ -7,6 +7,7 @@ expression, and costs one call to the JVM however long the rule is.
 from greenwave.functions.constants import *  # noqa: F401,F403
 from greenwave.functions.numbers import (  # noqa: F401
     FIXED_UNIT,
+    beyond_fixed,
     hundredths,
     plain_decimal,
     ratio_half_up,

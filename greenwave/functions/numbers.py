@@ -10,16 +10,22 @@ LIMIT = 1_000_000
 
 
 def to_fixed(value: str) -> str:
-    """Double to a bigint count of ten-thousandths.
-
-    NaN and anything beyond a million in size give NULL: one absurd reading must
-    not overflow a sum that is right for all others.
-    """
+    """Double to a bigint count of ten-thousandths; 0 for what ``beyond_fixed`` carries."""
     return (
-        f"CASE WHEN abs({value}) < {LIMIT}D THEN CAST(round({value} * {FIXED_UNIT}D) AS BIGINT) END"
+        f"CASE WHEN {value} IS NULL THEN NULL WHEN abs({value}) < {LIMIT}D "
+        f"THEN CAST(round({value} * {FIXED_UNIT}D) AS BIGINT) ELSE 0L END"
     )
 
 
+def beyond_fixed(value: str) -> str:
+    """The double itself where it is a million or more in size, infinite or NaN; else 0.
+
+    Such readings enter a mean as doubles, as in ``avg``, and leave the integer sum of
+    all others as it is.
+    """
+    return f"CASE WHEN {value} IS NULL OR abs({value}) < {LIMIT}D THEN 0D ELSE {value} END"
+
+
 def ratio_half_up(numerator: str, denominator: str) -> str:
     """Bigint ratio rounded half up to a bigint; NULL for a zero denominator."""
     shifted = f"(2 * ({numerator}) + ({denominator}))"

@@ -34,7 +34,7 @@ def decide(
         "avg_speed_kmh": rounded_speed(metrics),
         "worst_severity": f"coalesce({severity}, 'NONE')",
     }
-    spent = {"speed_sum", "speed_readings", *replaced}
+    spent = {"speed_sum", "speed_readings", "speed_rest", *replaced}
     mode = traffic_mode("total_vehicles", "avg_speed_kmh", "worst_severity", rules)
     return (
         metrics.selectExpr(

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenwave.functions import FIXED_UNIT, hundredths, parse_produced_at, ratio_half_up, to_fixed
+from greenwave.functions import (
+    FIXED_UNIT,
+    beyond_fixed,
+    hundredths,
+    parse_produced_at,
+    ratio_half_up,
+    to_fixed,
+)
 
 
 def window_metrics(
@@ -24,8 +31,9 @@ def window_metrics(
     uses hash aggregation with a map-side part and a hot intersection reaches the
     shuffle as at most one row per window and input partition.
 
-    ``avg_speed_kmh`` is not weighted by vehicles. ``speed_sum`` (ten-thousandths)
-    and ``speed_readings`` carry the exact mean for rounding. ``extra`` names
+    ``avg_speed_kmh`` is not weighted by vehicles. ``speed_sum`` (ten-thousandths),
+    ``speed_rest`` (readings of a million or more, infinite or NaN, as doubles) and
+    ``speed_readings`` carry the mean for rounding: every reading counts. ``extra`` names
     further aggregates as ``"min(event_id) AS first_event_id"``. Production times
     that do not parse are ignored. ``with_event_time`` adds ``window_time``, the last
     instant of the window, which on a stream carries the watermark on.
@@ -37,7 +45,8 @@ def window_metrics(
     aggregates = [
         "sum(vehicle_count) AS total_vehicles",
         f"sum({speed}) AS speed_sum",
-        f"count({speed}) AS speed_readings",
+        "count(average_speed_kmh) AS speed_readings",
+        f"sum({beyond_fixed('average_speed_kmh')}) AS speed_rest",
         f"min({produced}) AS min_produced_at",
         *extra,
     ]
@@ -49,11 +58,12 @@ def window_metrics(
         "window.start AS window_start",
         "window.end AS window_end",
         "total_vehicles",
-        f"speed_sum / (nullif(speed_readings, 0) * {FIXED_UNIT}D) AS avg_speed_kmh",
+        f"(speed_sum / {FIXED_UNIT}D + speed_rest) / nullif(speed_readings, 0) AS avg_speed_kmh",
         "min_produced_at",
         "speed_sum",
         "speed_readings",
-        *grouped.columns[6:],
+        "speed_rest",
+        *grouped.columns[7:],
         *(["window_time(window) AS window_time"] if with_event_time else []),
     )
 
@@ -62,5 +72,9 @@ def rounded_speed(metrics: DataFrame) -> str:
     """Mean speed at two decimals, half up; 0 where no speed was read."""
     if {"speed_sum", "speed_readings"} <= set(metrics.columns):
         exact = ratio_half_up("speed_sum", f"speed_readings * {FIXED_UNIT // 100}")
-        return f"coalesce({hundredths(exact)}, 0D)"
+        plain = f"coalesce({hundredths(exact)}, 0D)"
+        if "speed_rest" not in metrics.columns:
+            return plain
+        mean = f"(speed_sum / {FIXED_UNIT}D + speed_rest) / nullif(speed_readings, 0)"
+        return f"IF(coalesce(speed_rest, 0D) = 0D, {plain}, round({mean}, 2))"
     return "coalesce(round(avg_speed_kmh, 2), 0D)"

@@ -63,7 +63,7 @@ def _metrics(length: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics = window_metrics(fixtures.vehicles(spark, sf_dir), length)
         return _iso(metrics, "window_start", "window_end", "min_produced_at").drop(
-            "speed_sum", "speed_readings"
+            "speed_sum", "speed_readings", "speed_rest"
         )
 
     return query
@@ -270,7 +270,7 @@ def composed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType.fromDDL(fixtures.EVENTS_SCHEMA)
-    return stream_parquet(spark, sf_dir, schema, glob="events.parquet")
+    return stream_parquet(spark, f"{sf_dir}/events.parquet", schema)
 
 
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_start",
         "window_end",
         "min_produced_at",
-    ).drop("speed_sum", "speed_readings")
+    ).drop("speed_sum", "speed_readings", "speed_rest")
 
 
 def stream_decision_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +295,7 @@ def stream_decision_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     emitted = run_available(stream, "update", "stream_decisions")
     final = last_emission(emitted, "intersection_id", "window_start")
     return _iso(final, "window_start", "window_end").drop(
-        "min_produced_at", "latest_severity", "speed_sum", "speed_readings"
+        "min_produced_at", "latest_severity", "speed_sum", "speed_readings", "speed_rest"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -54,19 +54,30 @@ def status_lines(records: DataFrame, checkpoint: str, trigger: str = "1 second")
 def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each micro-batch to its own folder.
 
-    The folder is named by the batch id and replaced when a batch is retried, so
-    the table holds every batch exactly once.
+    The folder is named by the query's id and the batch id and replaced when a batch is
+    retried, so the table holds every batch exactly once. A query that starts from a new
+    checkpoint has a new id and leaves the batches of earlier ones in place.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{path}/run={run}" if run else path
+        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return write
 
 
+def compact_batches(spark: SparkSession, path: str, into: str, files: int) -> None:
+    """Copy a table of ``append_batches`` into few files, with ``run`` and ``batch_id`` as columns.
+
+    Meant for batches that no query will write again; the source is left as it is.
+    """
+    spark.read.parquet(path).repartition(files).write.parquet(into)
+
+
 def last_emission(batches: DataFrame, *keys: str) -> DataFrame:
     """Final row per key of a table written by ``append_batches`` from an update-mode query."""
-    rest = [c for c in batches.columns if c not in keys and c != "batch_id"]
+    rest = [c for c in batches.columns if c not in keys and c not in ("run", "batch_id")]
     return (
         batches.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), "batch_id").alias("_last"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,7 +19,7 @@ def kafka_options(
     topic: str,
     servers: str,
     starting: str = "latest",
-    max_offsets_per_trigger: int | None = 500,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": servers,
@@ -34,13 +36,12 @@ def read_topic(
     topic: str,
     servers: str,
     starting: str = "latest",
-    max_offsets_per_trigger: int | None = 500,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Subscribe to one topic. Needs the spark-sql-kafka connector on the class path.
 
-    The small default cap on offsets suits a demonstration; pass ``None`` or a
-    figure sized to the cluster for real volumes. Offsets live in the query's
-    checkpoint rather than in a consumer group.
+    A trigger takes all there is unless ``max_offsets_per_trigger`` says otherwise.
+    Offsets live in the query's checkpoint rather than in a consumer group.
     """
     options = kafka_options(topic, servers, starting, max_offsets_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
@@ -82,12 +83,21 @@ def stream_parquet(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
+    """A Parquet table as a stream, be it a folder of files or one file.
+
+    New files of a folder are found as they come. A file source watches folders only, so
+    a single file is read as its folder, filtered to its name. A path without files raises.
+    """
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if not files:
+        raise ValueError(f"no file to stream in {path}")
+    plain = urlparse(path).path.rstrip("/")
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if len(files) == 1 and unquote(urlparse(files[0]).path) == plain:
+        folder, _, name = path.rstrip("/").rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)

@@ -11,7 +11,9 @@ Two ways to emit:
             Lateness is judged per intersection, by the newest reading seen
             before the micro-batch; incidents are never too late.
 ``final``   a window is emitted once, when the stream's watermark has passed its
-            end; rows older than the watermark are dropped, incidents included.
+            end. A reading carries its window's end as event time, so it is late
+            exactly if its window is closed, whatever rows it was combined with;
+            an incident is late one window length after its own time.
 
 Rows are combined inside each source partition before they are shuffled, so a
 hot intersection sends at most one row per window and input partition. Its state
@@ -26,35 +28,50 @@ from functools import partial
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from greenwave.functions import SEVERITY_RANK, SignalRules, parse_produced_at, to_fixed
+from greenwave.functions import (
+    SEVERITY_RANK,
+    SignalRules,
+    beyond_fixed,
+    parse_produced_at,
+    to_fixed,
+)
 from greenwave.operators.decisions import decide
 from greenwave.operators.incidents import incident_lifetimes, seconds_of
 
 _INPUT = (
     "intersection_id string, event_time timestamp, window_end long, total_vehicles long, "
-    "speed_sum long, speed_readings long, min_produced_at long, "
+    "speed_sum long, speed_readings long, speed_rest double, speed_nans long, min_produced_at long, "
     "incident_at long, event_id string, severity string, expires_at long"
 )
 _OUTPUT = (
     "intersection_id string, window_end long, total_vehicles long, speed_sum long, "
-    "speed_readings long, min_produced_at long, latest_severity string, worst_severity string"
+    "speed_readings long, speed_rest double, speed_nans long, min_produced_at long, "
+    "latest_severity string, worst_severity string"
 )
 _COLUMNS = [part.split()[0] for part in _INPUT.split(", ")]
-_SUMS = ["total_vehicles", "speed_sum", "speed_readings"]
+_SUMS = ["total_vehicles", "speed_sum", "speed_readings", "speed_rest", "speed_nans"]
 _FAR = 2**62
 
 
 def _combine_readings(frame: pd.DataFrame) -> pd.DataFrame:
     grouped = frame.groupby(["intersection_id", "window_end"], as_index=False, sort=False)
-    return grouped.agg(
+    found = grouped.agg(
         event_time=("event_time", "max"),
         total_vehicles=("total_vehicles", "sum"),
         speed_sum=("speed_sum", "sum"),
         speed_readings=("speed_readings", "sum"),
+        speed_rest=("speed_rest", "sum"),
+        speed_nans=("speed_nans", "sum"),
         min_produced_at=("min_produced_at", "min"),
     )
+    # Pandas leaves NaN out of sums: infinities of both signs are counted as NaN instead.
+    lost = found["speed_rest"].isna()
+    return found.assign(
+        speed_rest=found["speed_rest"].mask(lost, 0.0), speed_nans=found["speed_nans"] + lost
+    )
 
 
 def _combine_incidents(frame: pd.DataFrame, grid: int) -> pd.DataFrame:
@@ -71,13 +88,24 @@ def _combine_incidents(frame: pd.DataFrame, grid: int) -> pd.DataFrame:
 
 
 def _combiner(combine):
+    """Combine rows of a source partition, holding no more than about a frame of them.
+
+    What does not shrink is handed on: rows are combined again behind the shuffle, so
+    emitting early changes no result, and time and memory stay in proportion.
+    """
+
+    def whole(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.assign(**{name: None for name in _COLUMNS if name not in frame})[_COLUMNS]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
         for frame in frames:
             kept = combine(frame if kept is None else pd.concat([kept, frame], ignore_index=True))
+            if len(kept) > len(frame):
+                yield whole(kept)
+                kept = None
         if kept is not None and len(kept):
-            absent = {name: None for name in _COLUMNS if name not in kept}
-            yield kept.assign(**absent)[_COLUMNS]
+            yield whole(kept)
 
     return run
 
@@ -87,13 +115,19 @@ def _gather(
 ) -> tuple[pd.DataFrame | None, pd.DataFrame | None]:
     """Readings and incidents of one key, combined frame by frame as they arrive."""
     combiners = _combine_readings, partial(_combine_incidents, grid=grid)
-    kept = [None, None]
+    parts: tuple[list, list] = [], []
+    combined = [0, 0]
     for frame in frames:
         is_incident = frame["incident_at"].notna()
         for i, part in enumerate((frame[~is_incident], frame[is_incident])):
             if len(part):
-                kept[i] = combiners[i](part if kept[i] is None else pd.concat([kept[i], part]))
-    return kept[0], kept[1]
+                parts[i].append(part)
+                # Combined at geometric sizes, so that each row is combined few times.
+                if sum(map(len, parts[i])) > 2 * combined[i] + 1000:
+                    parts[i][:] = [combiners[i](pd.concat(parts[i]))]
+                    combined[i] = len(parts[i][0])
+    done = [combine(pd.concat(p)) if p else None for combine, p in zip(combiners, parts)]
+    return done[0], done[1]
 
 
 def severities(ends: np.ndarray, incidents: list[tuple]) -> tuple[list[str], list[str]]:
@@ -134,17 +168,19 @@ def still_needed(incidents: list[tuple], horizon: int) -> list[tuple]:
 class _Signals(StatefulProcessor):
     """Open windows and live incidents of one intersection."""
 
-    def __init__(self, length_micros: int, delay_micros: int, final: bool):
+    def __init__(self, length_micros: int, delay_micros: int, final: bool, idle_micros: int):
         self.length = length_micros
         self.delay = delay_micros
         self.final = final
+        self.idle = idle_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.windows = handle.getMapState(
             "windows",
             "window_end long",
-            "total_vehicles long, speed_sum long, speed_readings long, min_produced_at long",
+            "total_vehicles long, speed_sum long, speed_readings long, speed_rest double, "
+            "speed_nans long, min_produced_at long",
         )
         self.incidents = handle.getMapState(
             "incidents", "incident_at long, event_id string", "severity string, expires_at long"
@@ -172,6 +208,8 @@ class _Signals(StatefulProcessor):
                     int(row.total_vehicles),
                     int(row.speed_sum),
                     int(row.speed_readings),
+                    float(row.speed_rest),
+                    int(row.speed_nans),
                     None if pd.isna(row.min_produced_at) else int(row.min_produced_at),
                 ),
             )
@@ -179,8 +217,11 @@ class _Signals(StatefulProcessor):
             self._store_incidents(known)
             for end, value in changed.items():
                 self.windows.updateValue((end,), value)
-            if changed or open_windows:
-                self.handle.registerTimer(min([*changed, *open_windows]) // 1000)
+            due = [*changed, *open_windows] or [
+                max(0, expiry) for _, expiry in known.values() if expiry < _FAR
+            ]
+            if due:
+                self.handle.registerTimer(min(due) // 1000)
             return
         if changed:
             yield self._emit(key[0], changed, known)
@@ -196,6 +237,9 @@ class _Signals(StatefulProcessor):
                 if end > horizon:
                     self.windows.updateValue((end,), value)
             known = self._pruned(known, horizon)
+        elif known:
+            # No reading has come yet: expired incidents wait for late ones, but not for ever.
+            known = self._pruned(known, max(at for at, _ in known) - self.idle)
         self._store_incidents(known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
@@ -209,7 +253,13 @@ class _Signals(StatefulProcessor):
             for end in due:
                 self.windows.removeKey((end,))
             self._store_incidents(self._pruned(known, horizon))
+        else:
+            known = self._pruned(self._load_incidents(), horizon)
+            self._store_incidents(known)
         waiting = [end for end in windows if end > horizon]
+        if not waiting:  # incidents alone: come back when the next one has expired
+            known = self._pruned(known, horizon)
+            waiting = [expiry + 1000 for _, expiry in known.values() if expiry >= horizon]
         if waiting:
             self.handle.registerTimer(min(waiting) // 1000)
 
@@ -244,7 +294,7 @@ class _Signals(StatefulProcessor):
             "intersection_id": key,
             "window_end": ends,
             **{name: [v[i] for v in values] for i, name in enumerate(_SUMS)},
-            "min_produced_at": pd.array([v[3] for v in values], dtype="Int64"),
+            "min_produced_at": pd.array([v[-1] for v in values], dtype="Int64"),
             "latest_severity": latest,
             "worst_severity": worst,
         })
@@ -253,8 +303,11 @@ class _Signals(StatefulProcessor):
 def _merged(old, new):
     if old is None:
         return new
-    produced = [p for p in (old[3], new[3]) if p is not None]
-    return (*(a + b for a, b in zip(old[:3], new[:3])), min(produced) if produced else None)
+    produced = [p for p in (old[-1], new[-1]) if p is not None]
+    sums = [a + b for a, b in zip(old[:-1], new[:-1])]
+    if sums[3] != sums[3]:
+        sums[3], sums[4] = 0.0, sums[4] + 1
+    return (*sums, min(produced) if produced else None)
 
 
 def stream_severities(
@@ -263,12 +316,15 @@ def stream_severities(
     length: str = "1 second",
     delay: str = "1 second",
     emit: str = "update",
+    idle: str = "1 hour",
 ) -> DataFrame:
     """Window metrics with ``latest_severity`` and ``worst_severity`` from two decoded streams.
 
     Write the result in update mode for ``emit="update"`` and in append mode for
     ``"final"``. Rows without an intersection have no key and must be split off
-    before (``split_bad_records``); they are left out here.
+    before (``split_bad_records``); they are left out here. An intersection without any
+    reading forgets incidents that expired ``idle`` before its newest one (``update``) or
+    before the watermark (``final``).
     """
     if emit not in ("update", "final"):
         raise ValueError(f"emit must be 'update' or 'final', not {emit!r}")
@@ -283,7 +339,9 @@ def stream_severities(
         f"1000000L * {size} * (unix_seconds(event_time) div {size} + 1) AS window_end",
         "coalesce(CAST(vehicle_count AS BIGINT), 0L) AS total_vehicles",
         f"coalesce({speed}, 0L) AS speed_sum",
-        f"if(({speed}) IS NULL, 0L, 1L) AS speed_readings",
+        "if(average_speed_kmh IS NULL, 0L, 1L) AS speed_readings",
+        f"if(isnan(average_speed_kmh), 0D, {beyond_fixed('average_speed_kmh')}) AS speed_rest",
+        "if(isnan(average_speed_kmh), 1L, 0L) AS speed_nans",
         f"unix_micros({produced}) AS min_produced_at",
     )
     reported = (
@@ -305,9 +363,18 @@ def stream_severities(
     )
     final = emit == "final"
     if final:
-        united = united.withWatermark("event_time", delay)
+        span = f"{size + seconds_of(delay)} seconds"
+        united = united.withColumn(
+            "event_time",
+            F.expr(
+                f"IF(incident_at IS NULL, timestamp_micros(window_end), "
+                f"timestamp_micros(incident_at + {size} * 1000000L))"
+            ),
+        ).withWatermark("event_time", span)
     emitted = united.groupBy("intersection_id").transformWithStateInPandas(
-        _Signals(size * 1_000_000, seconds_of(delay) * 1_000_000, final),
+        _Signals(
+            size * 1_000_000, seconds_of(delay) * 1_000_000, final, seconds_of(idle) * 1_000_000
+        ),
         outputStructType=_OUTPUT,
         outputMode="append" if final else "update",
         timeMode="EventTime" if final else "None",
@@ -319,6 +386,7 @@ def stream_severities(
         "total_vehicles",
         "speed_sum",
         "speed_readings",
+        "if(speed_nans > 0, double('NaN'), speed_rest) AS speed_rest",
         "timestamp_micros(min_produced_at) AS min_produced_at",
         "latest_severity",
         "worst_severity",

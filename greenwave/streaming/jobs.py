@@ -16,7 +16,6 @@ from greenwave.operators.latency import receive
 from greenwave.operators.state import latest_state
 from greenwave.schemas import DECISION, INCIDENT, VEHICLE
 from greenwave.session import shared_folder
-from greenwave.sources.sinks import append_batches
 from greenwave.streaming.decisions import stream_decisions
 
 
@@ -28,7 +27,10 @@ def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFram
     """
     spark = stream.sparkSession
     folder = shared_folder(spark, purpose)
-    write = append_batches(f"{folder}/rows")
+
+    def write(batch: DataFrame, batch_id: int) -> None:  # the folder is this run's own
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
     write(spark.createDataFrame([], stream.schema), -1)  # so that there is a table without input
     query = (
         stream.writeStream.outputMode(output_mode)

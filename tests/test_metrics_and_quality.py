@@ -1,10 +1,11 @@
 """Window metrics, data-quality rules, and the shape of the plans."""
 
+import math
 from datetime import datetime
 
 import pytest
 
-from greenwave.operators.metrics import window_metrics
+from greenwave.operators.metrics import rounded_speed, window_metrics
 from greenwave.operators.quality import (
     INCIDENT_RULES,
     VEHICLE_RULES,
@@ -42,12 +43,33 @@ def test_metrics_of_one_window(spark):
     ]
     got = {r.intersection_id: r for r in window_metrics(readings(spark, rows)).collect()}
     a = got["A"]
-    assert (a.total_vehicles, a.speed_sum, a.speed_readings) == (12, 300100, 2)
-    assert a.avg_speed_kmh == 15.005 and a.min_produced_at == T
+    assert (a.total_vehicles, a.speed_sum, a.speed_readings) == (12, 300100, 6)
+    assert math.isnan(a.avg_speed_kmh) and a.min_produced_at == T
     assert a.window_start == T and (a.window_end - a.window_start).total_seconds() == 1
     assert got[None].total_vehicles == 2 and got[None].min_produced_at is None
 
 
+@pytest.mark.parametrize(
+    "speeds, mean",
+    [
+        ((10.0, 20.01), 15.005),
+        ((2_000_000.0, 30.0), 1_000_015.0),
+        ((1e300, 1.0), 5e299),
+        ((float("inf"), 1.0), float("inf")),
+        ((float("inf"), float("-inf")), float("nan")),
+        ((float("nan"), 1.0), float("nan")),
+    ],
+)
+def test_every_speed_counts_as_in_a_plain_mean(spark, speeds, mean):
+    frame = readings(spark, [(T, "A", 1, s, None) for s in speeds])
+    row = window_metrics(frame).selectExpr("avg_speed_kmh AS own").first()
+    plain = frame.selectExpr("avg(average_speed_kmh) AS own").first()
+    for value in (row.own, plain.own):
+        assert value == mean or math.isnan(mean) and math.isnan(value)
+    rounded = window_metrics(frame).selectExpr(f"{rounded_speed(window_metrics(frame))} AS r").first().r
+    assert rounded == pytest.approx(mean, abs=0.006, nan_ok=True)
+
+
 def test_window_without_any_value(spark):
     row = window_metrics(readings(spark, [(T, "A", None, None, None)])).first()
     assert (row.total_vehicles, row.avg_speed_kmh, row.speed_readings) == (None, None, 0)
@@ -139,9 +161,8 @@ def test_topic_options():
         "kafka.bootstrap.servers": "broker:1",
         "subscribe": "vehicles",
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "500",
     }
-    assert "maxOffsetsPerTrigger" not in kafka_options("vehicles", "b", max_offsets_per_trigger=None)
+    assert kafka_options("vehicles", "b", max_offsets_per_trigger=500)["maxOffsetsPerTrigger"] == "500"
 
 
 def test_topic_reader_and_writers_are_built_like_the_file_ones(spark, tmp_path):

@@ -4,6 +4,8 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from greenwave.operators.decisions import decide
@@ -11,8 +13,9 @@ from greenwave.operators.decode import decode_incidents, decode_vehicles
 from greenwave.operators.incidents import interval_join, severity_at
 from greenwave.operators.latency import latency_history, latency_summary
 from greenwave.operators.metrics import window_metrics
-from greenwave.sources.sinks import append_batches, last_emission
+from greenwave.sources.sinks import append_batches, compact_batches, last_emission
 from greenwave.sources.topics import read_json_lines, stream_json_lines
+from greenwave.streaming import decisions
 from greenwave.streaming.decisions import still_needed, severities, stream_decisions, stream_severities
 from greenwave.streaming.incidents import stream_incidents, stream_interval_join
 from greenwave.streaming.jobs import counted, run_available, start_decision_job, start_monitor_job
@@ -291,3 +294,137 @@ def test_rows_per_batch_are_observed(spark, feed, tmp_path):
 def test_empty_source_gives_no_rows(spark, feed):
     vehicles, _ = streams(spark, feed)
     assert run_available(stream_metrics(vehicles), "update", "metrics").count() == 0
+
+
+def test_tables_in_folders_stream_completely(spark, tmp_path):
+    """The registered streams over a table of four files equal those over one file."""
+    import __spark_entry__ as contract
+
+    source = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{source}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_window_metrics", "stream_latest_state"):
+        one, four = (contract.queries()[name](spark, at) for at in (source, str(tmp_path)))
+        assert sorted(map(str, one.collect())) == sorted(map(str, four.collect()))
+        assert one.count() > 0
+    with pytest.raises(Exception):
+        contract.queries()["stream_window_metrics"](spark, str(tmp_path / "absent"))
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_final_totals_do_not_depend_on_batching(spark, tmp_path, together):
+    """A reading late in time counts while its window is open, as in the native aggregate."""
+    first = [vehicle(s, "A", c) for s, c in ((100, 1), (1000, 2), (1001, 4), (1002, 8))]
+    late, end = vehicle(500, "A", 16), vehicle(20_000, "A", 32)
+    groups = [first + [late], [end]] if together else [first, [late], [end]]
+    totals = {}
+    for mode in ("final", "native"):
+        folder = tmp_path / mode
+        (folder / "v").mkdir(parents=True)
+        (folder / "i").mkdir()
+        (folder / "i" / "0").write_text(incident(1, "B", "LOW", 1))
+        for k, lines in enumerate(groups):
+            (folder / "v" / str(k)).write_text("\n".join(lines))
+            os.utime(folder / "v" / str(k), (1_600_000_000 + k, 1_600_000_000 + k))
+        vehicles = decode_vehicles(stream_json_lines(spark, f"{folder}/v", 1))
+        incidents = decode_incidents(stream_json_lines(spark, f"{folder}/i", 1))
+        stream = (
+            stream_severities(vehicles, incidents, "1 hour", emit="final")
+            if mode == "final" else stream_metrics(vehicles, "1 hour")
+        )
+        rows = run_available(stream, "append", mode).where("intersection_id = 'A'").collect()
+        totals[mode] = sorted((r.window_start, r.total_vehicles) for r in rows)
+    assert totals["final"] == totals["native"]
+    assert totals["final"][0][1] == 31
+
+
+def test_combining_takes_time_in_proportion_and_little_memory():
+    frames = [
+        pd.DataFrame({
+            "intersection_id": "A", "window_end": np.arange(k * 10_000, (k + 1) * 10_000), "event_time": pd.Timestamp(0),
+            "total_vehicles": 1, "speed_sum": 1, "speed_readings": 1, "speed_rest": 0.0, "speed_nans": 0,
+            "min_produced_at": 1,
+        })
+        for k in range(20)
+    ]
+    out = list(decisions._combiner(decisions._combine_readings)(iter(frames)))
+    assert max(map(len, out)) <= 20_000 and sum(map(len, out)) == 200_000
+
+
+def test_two_runs_into_one_path_keep_both(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0").write_text("a\nb")
+    for run in range(2):
+        query = (
+            stream_json_lines(spark, f"{tmp_path}/in").writeStream
+            .foreachBatch(append_batches(f"{tmp_path}/out"))
+            .option("checkpointLocation", f"{tmp_path}/checkpoint{run}")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+    compact_batches(spark, f"{tmp_path}/out", f"{tmp_path}/small", 1)
+    assert spark.read.parquet(f"{tmp_path}/small").select("run").distinct().count() == 2
+
+
+class _Handle:
+    """A state handle in memory."""
+
+    def __init__(self):
+        self.timers = []
+
+    def getMapState(self, *_):
+        return _Map()
+
+    def getValueState(self, *_):
+        return _Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Map(dict):
+    def iterator(self):
+        return iter(list(self.items()))
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class _Value:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("final", [False, True])
+def test_incidents_of_an_intersection_without_readings_expire(final):
+    second = 1_000_000
+    signals = decisions._Signals(second, second, final, 3600 * second)
+    handle = _Handle()
+    signals.init(handle)
+    for k in range(200):  # one every ten minutes, each over after five
+        at = k * 600 * second
+        frame = pd.DataFrame({name: [None] for name in decisions._COLUMNS}).assign(
+            intersection_id="A", incident_at=at, event_id=f"{k:04d}", severity="LOW", expires_at=at + 300 * second
+        )
+        list(signals.handleInputRows(("A",), iter([frame]), None))
+        if final:
+            assert handle.timers
+
+            class Clock:
+                @staticmethod
+                def getCurrentWatermarkInMs():
+                    return at // 1000
+
+            list(signals.handleExpiredTimer(("A",), Clock, None))
+    assert len(signals.incidents) <= 10
