@@ -15,12 +15,14 @@ A coder's state stays in [2**32, 2**64); words enter and leave it 32 bits at a t
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +35,24 @@ LOW = np.uint64(1 << 32)
 MASK = np.uint64((1 << SCALE_BITS) - 1)
 CHECKPOINT = 128
 BLOCK_TOKENS = 1 << 18
-#: Pieces whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Chunks, and pieces, whose ids a worker remembers.
+REMEMBERED = 600_000
 CUT = re.compile(r"(?<=\S) ")
 ODD = re.compile(r"\s ")
+#: Fixed value: the pattern of byte-level tokenizers.
+PIECE = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level tokenizers write visible bytes as themselves, the others as letters from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 def scale(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,40 +131,88 @@ def decode(
     return out
 
 
-def tokenise(text: str | None, tokenizer, memo: dict) -> np.ndarray:
-    """Ids of ``text`` as ``tokenizer.encode(text, add_special_tokens=False)`` gives them.
+class PieceMemory:
+    """A byte-level tokenizer that looks up the ids of pieces it has met.
 
     A byte-level tokenizer never joins characters across a space that follows a character
-    that is no space, so texts are cut there and the ids of known pieces are looked up.
-    Texts that hold an added token are encoded whole.
+    that is no space, so texts are cut there, and an unknown chunk is cut by the tokenizer's
+    own pattern into the pieces that the library's model then encodes, each once. The first
+    ``remembered`` chunks and pieces stay in memory; those that come later, which are the
+    rarer ones, are encoded anew. Chunks beyond Latin letters and texts that hold an added token go
+    to the library whole, and so does every text if the tokenizer is of another kind.
     """
-    text = text or ""
-    known, special = memo["known"], memo["special"]
-    if special and any(s in text for s in special):
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-    first, *rest = CUT.split(text) if ODD.search(text) else text.split(" ")
-    head = np.array(tokenizer.encode(first, add_special_tokens=False).ids, np.uint32)
-    missing = list({c for c in rest if c not in known})
-    if missing:
-        if len(known) + len(missing) > REMEMBERED:
-            known.clear()
-            missing = list(set(rest))
-        found = tokenizer.encode_batch_fast([" " + c for c in missing], add_special_tokens=False)
-        known.update((c, np.array(e.ids, np.uint32).tobytes()) for c, e in zip(missing, found, strict=True))
-    body = b"".join([known[c] for c in rest])
-    return np.concatenate([head, np.frombuffer(body, np.uint32)])
-
-
-def _tokenizer(path: str):
-    memo = worker_memo(f"tokenizer {path}")
-    if not memo:
-        from tokenizers import Tokenizer
-
-        tool = Tokenizer.from_file(path)
-        memo["special"] = [t.content for t in tool.get_added_tokens_decoder().values()]
-        memo["known"] = {}
-        memo["tool"] = tool
-    return memo["tool"], memo
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tool = Tokenizer.from_file(path)
+        kind = json.loads(self.tool.to_str())
+        first = kind["pre_tokenizer"] or {}
+        self.plain = (
+            kind["normalizer"] is None
+            and kind["model"]["type"] == "BPE"
+            and first.get("type") == "ByteLevel"
+            and first.get("use_regex", True)
+            and not first.get("add_prefix_space", True)
+        )
+        self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
+        self.model = Tokenizer(self.tool.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.remembered = remembered
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of ``text`` as the library's ``encode(text, add_special_tokens=False)`` gives them."""
+        text = text or ""
+        if not self.plain or any(t in text for t in self.added):
+            return np.frombuffer(self.whole(text), np.uint32)
+        first, *rest = CUT.split(text) if ODD.search(text) else text.split(" ")
+        known, found = self.chunks, {}
+        missing = {c for c in rest if c not in known}
+        if missing:
+            found = self._chunks(missing)
+            if len(known) + len(found) <= self.remembered:
+                known.update(found)
+        get = known.get
+        body = [get(c) or found[c] for c in rest]
+        return np.frombuffer(b"".join([self.whole(first), *body]), np.uint32)
+
+    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks, each read behind a space."""
+        out, cut = {}, {}
+        for c in chunks:
+            if c.isascii() or max(c) < "\u0250":
+                cut[c] = PIECE.findall(" " + c)
+            else:
+                out[c] = self.whole(" " + c)
+        known, fresh = self.pieces, {}
+        missing = list({p for pieces in cut.values() for p in pieces if p not in known})
+        if missing:
+            mapped = [p.encode().decode("latin-1").translate(BYTE_LETTERS) for p in missing]
+            got = self.model.encode(" ".join(mapped), add_special_tokens=False)
+            ids, at = np.array(got.ids, np.uint32), np.array(got.word_ids)
+            ends = np.searchsorted(at, np.arange(len(missing)), side="right").tolist()
+            raw, begin = ids.tobytes(), 0
+            for p, end in zip(missing, ends, strict=True):
+                fresh[p] = raw[4 * begin : 4 * end]
+                begin = end
+            if len(known) + len(fresh) <= self.remembered:
+                known.update(fresh)
+        get = known.get
+        for c, pieces in cut.items():
+            out[c] = b"".join([get(p) or fresh[p] for p in pieces])
+        return out
+
+
+def _tokenizer(path: str) -> PieceMemory:
+    memo = worker_memo("tokenizers")
+    if path not in memo:
+        memo[path] = PieceMemory(path)
+    return memo[path]
 
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -161,7 +225,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, memo = _tokenizer(tokenizer_path)
+        tool = _tokenizer(tokenizer_path)
         part, first = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         names: list = []
@@ -185,7 +249,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = tokenise(text.as_py(), tool, memo)
+                ids = tool.encode(text.as_py())
                 held.append(np.append(ids, np.uint32(end_id)))
                 names.append(name)
                 size += len(ids) + 1

@@ -270,6 +270,15 @@ AWKWARD = [
 ]
 
 
+def test_pieces_are_encoded_as_by_the_library(spark):
+    small, large = token_files.PieceMemory(tokenizer_file(), 40), token_files.PieceMemory(tokenizer_file())
+    texts = AWKWARD + [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in texts:
+        want = large.tool.encode(text or "", add_special_tokens=False).ids
+        assert large.encode(text).tolist() == want == small.encode(text).tolist()
+    assert len(small.chunks) <= 40 and len(small.pieces) <= 40
+
+
 def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
