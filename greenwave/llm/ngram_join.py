@@ -250,7 +250,7 @@ def near_duplicate_classes(
     width: int = 5,
     percent: int = 75,
     share: int = 16,
-    rounds: int = 4,
+    rounds: int = 6,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
