@@ -19,13 +19,28 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+#: Groups of two digits: a country code before, or a trunk zero ('06 12 34 56 78', '0470 12 34 56').
+PAIRS = (
+    r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,3}(?:[ .-]\d\d){3,4}"
+    r"|(?:00\d{1,3}[ .-](?:\(0\)[ .-]?)?\d|0\d)(?:[ .-]\d\d){4}|0\d{2,3}(?:[ .-]\d\d){3})(?!\w|-\d)"
+)
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)"
 ADDRESS = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w)(?!\.\d)"
-DATE = r"(?<!\w)(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?!\w)"
+DATE = r"(?<!\w)(?:\d{4}-\d\d-\d\d(?=[Tt]\d)|\d{4}-\d\d-\d\d(?!\w)|(?:\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?!\w))"
 SOCIAL = r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"
-CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-#: Earlier kinds win where two could begin at the same place.
-PATTERN = "|".join((EMAIL, DATE, SOCIAL, ADDRESS, CARD, PHONE))
+#: No card begins or goes on where one of these begins.
+OTHER = "|".join((DATE, SOCIAL, ADDRESS, PAIRS))
+GROUP = r"\d++(?![\w@]|-(?!\d))"
+#: All groups of digits with single blanks or hyphens between, 13 digits or more. Cards are parts of it.
+RUN = rf"(?<![\w+-])(?<!\d\.\d{{1,3}}\.)(?!{OTHER})(?=\d(?:[ -]?\d){{12}}){GROUP}(?:[ -](?!{OTHER}){GROUP})*+"
+#: Lengths of groups as printed on cards, each between 13 and 19 digits.
+SHAPES = ("4-4-4-4", "4-6-5", "4-6-4", "4-4-4-4-3", "4-4-4-1", "4-3-3-3", "4-5-6", "8-8", "6-13")
+#: Four groups of four that are no valid card are no telephone number either.
+NO_CARD = r"(?<![\w-])\d{4}(?:[ -]\d{4}){3}(?![\w-])"
+#: Earlier kinds win where two could begin at the same place. Cards have been cut out before.
+PATTERN = "|".join((EMAIL, DATE, SOCIAL, ADDRESS, PAIRS, NO_CARD, PHONE))
+#: Stands for a card, or for itself, while the text around is searched.
+MARK = "\ue000"
 #: Days from 1900-01-01 up to 2099-12-31: 73049 = 319 * 229.
 FIRST_DAY, DAYS = "DATE'1900-01-01'", (319, 229)
 #: Valid areas (001-899 without 666) times groups (01-99), and serial numbers (0001-9999).
@@ -83,15 +98,56 @@ def luhn_sum(digits: str, odd: int) -> str:
 
 
 def _card(x: str, key: str, reverse: bool) -> str:
+    """The pseudonym of a card number ``x`` that passes the Luhn check."""
     body = _digits("substr(c, 1, length(c) - 1)", "card", key, reverse)
     check = f"concat(b, CAST((10 - {luhn_sum('b', 0)} % 10) % 10 AS STRING))"
     new = _let(body, "b", check)
-    return _let(f"regexp_replace({x}, '[^0-9]', '')", "c", f"IF({luhn_sum('c', 1)} % 10 = 0, {_refilled(x, new)}, NULL)")
+    return _let(f"regexp_replace({x}, '[^0-9]', '')", "c", _refilled(x, new))
+
+
+def _cards_of(run: str) -> str:
+    """SQL: array of structs ``at``, ``n``: where ``run`` holds valid card numbers, in order.
+
+    Candidates are all stretches of whole groups with 13 to 19 digits that pass the Luhn
+    check. Where some overlap, one group alone goes first, then groups as printed on cards,
+    then the longer and the earlier one. Pseudonyms keep the groups, so ``reverse`` finds the
+    same stretches unless another of equal or better shape overlaps and passes by chance.
+    """
+    shapes = ", ".join(map(_quoted, SHAPES))
+    groups = f"regexp_extract_all({run}, '[0-9]+', 0)"
+    tried = f"""filter(flatten(transform(g, (one, i) -> transform(
+            filter(sequence(1, least(19, size(g) - i)), k ->
+                aggregate(slice(g, i + 1, k), 0, (t, h) -> t + length(h)) BETWEEN 13 AND 19),
+            k -> named_struct('i', i, 'k', k, 'digits', array_join(slice(g, i + 1, k), ''))))),
+        w -> {luhn_sum('w.digits', 1)} % 10 = 0)"""
+    ranked = f"""array_sort(transform({tried}, w -> named_struct(
+        'shape', CASE WHEN w.k = 1 THEN 0
+            WHEN array_join(transform(slice(g, w.i + 1, w.k), h -> CAST(length(h) AS STRING)), '-') IN ({shapes}) THEN 1
+            ELSE 2 END,
+        'short', -length(w.digits), 'i', w.i, 'k', w.k)))"""
+    chosen = f"""aggregate({ranked}, CAST(array() AS ARRAY<STRUCT<i: INT, k: INT>>), (got, w) ->
+        IF(exists(got, o -> o.i < w.i + w.k AND w.i < o.i + o.k), got,
+           concat(got, array(named_struct('i', w.i, 'k', w.k)))))"""
+    spans = f"""transform(array_sort({chosen}), o -> named_struct(
+        'at', IF(o.i = 0, 1, length(array_join(slice(g, 1, o.i), ' ')) + 2),
+        'n', length(array_join(slice(g, o.i + 1, o.k), ' '))))"""
+    return _let(groups, "g", spans)
+
+
+def _cut(key: str, reverse: bool) -> tuple[str, str]:
+    """SQL: of a match ``r`` of ``RUN`` or ``MARK``, the text with marks for cards, and what the marks stand for."""
+    rest = f"""aggregate(spans, named_struct('out', '', 'from', 1), (s, o) -> named_struct(
+            'out', concat(s.out, substr(r, s.from, o.at - s.from), '{MARK}'), 'from', o.at + o.n),
+        s -> concat(s.out, substr(r, s.from)))"""
+    cards = f"transform(spans, o -> {_let('substr(r, o.at, o.n)', 'v', _card('v', key, reverse))})"
+    return rest, cards
 
 
 def _phone(x: str, key: str, reverse: bool) -> str:
-    """The country code (digits up to the first mark, else two) stays."""
-    code = rf"regexp_extract({x}, '^([+]\\d{{1,3}}(?!\\d)|[+]\\d\\d|)', 1)"
+    """The country code (digits up to the first mark, else two) stays, and the trunk zero of pairs."""
+    code = rf"""regexp_extract({x}, IF({x} RLIKE {_quoted('^(?:' + PAIRS + ')$')},
+        '^((?:[+]\\d{{1,3}}(?!\\d)|00\\d{{1,3}}(?=[ .-](?:[(]0[)][ .-]?)?\\d[ .-])|[+]\\d\\d)(?:[ .-]?[(]0[)])?|0|)',
+        '^([+]\\d{{1,3}}(?!\\d)|[+]\\d\\d|)'), 1)"""
     rest = f"substr({x}, length({code}) + 1)"
     number = f"regexp_replace({rest}, '[^0-9]', '')"
     new = _refilled(rest, _digits("n", "phone", key, reverse))
@@ -134,7 +190,7 @@ def _date(x: str, key: str, reverse: bool) -> str:
 
 
 def pseudonym(x: str, key: str, reverse: bool = False) -> str:
-    """SQL: the pseudonym of a match ``x`` of ``PATTERN``, or null if it is not a valid value."""
+    """SQL: the pseudonym of a match ``x`` of ``PATTERN``, or null if it is not a valid value. Cards: ``_cards_of``."""
     email = "x" if reverse else (
         f"concat('p', substr(sha2(concat({_quoted(key)}, '|email|', lower(x)), 256), 1, 16), '@pseudonym.invalid')"
     )
@@ -142,7 +198,7 @@ def pseudonym(x: str, key: str, reverse: bool = False) -> str:
         WHEN x RLIKE {_quoted('^(?:' + DATE + ')$')} THEN {_date('x', key, reverse)}
         WHEN x RLIKE {_quoted('^(?:' + SOCIAL + ')$')} THEN {_social('x', key, reverse)}
         WHEN x RLIKE {_quoted('^(?:' + ADDRESS + ')$')} THEN {_address('x', key, reverse)}
-        WHEN x RLIKE {_quoted('^(?:' + CARD + ')$')} THEN {_card('x', key, reverse)}
+        WHEN x RLIKE {_quoted('^(?:' + NO_CARD + ')$')} THEN NULL
         ELSE {_phone('x', key, reverse)} END"""
     return body if x == "x" else _let(x, "x", body)
 
@@ -153,21 +209,52 @@ def pseudonymise(docs: DataFrame, key: str, reverse: bool = False) -> DataFrame:
     Text between the values stays as it is; candidates that fail validation stay too. A
     null text stays null and holds nothing. Other columns are ignored. No row is moved.
     """
-    marked = docs.select(
+    rest, cards = _cut(key, reverse)
+    runs = _quoted(f"{RUN}|{MARK}")
+    # First the cards: their runs are taken apart, and marks put in their place.
+    found = docs.select(
+        "doc_id",
+        "text",
+        F.expr(f"IF(text RLIKE '[0-9]' AND text RLIKE {runs}, regexp_extract_all(text, {_quoted('(' + RUN + '|' + MARK + ')')}, 0), NULL)").alias("runs"),
+    )
+    cut = found.select(
+        "doc_id",
+        "text",
+        "runs",
+        F.expr(f"""transform(runs, r -> IF(r = '{MARK}', named_struct('rest', r, 'cards', array(r)),
+            {_let(_cards_of('r'), 'spans', f"named_struct('rest', {rest}, 'cards', {cards})")}))""").alias("cuts"),
+    )
+    # Then the other kinds, in what lies between the marks.
+    parted = cut.select(
+        "doc_id",
+        "text",
+        F.expr("flatten(transform(cuts, c -> c.cards))").alias("cards"),
+        F.expr(f"""IF(size(cuts) > 0, split(array_join(transform(split(text, {runs}, -1), (part, i) ->
+            concat(part, coalesce(get(cuts, i).rest, ''))), ''), '{MARK}', -1), array(text))""").alias("parts"),
+    )
+    marked = parted.select(
         "doc_id",
         "text",
-        F.expr(f"IF(text RLIKE '[0-9@]', regexp_extract_all(text, {_quoted('(' + PATTERN + ')')}, 0), NULL)").alias("found"),
+        "cards",
+        "parts",
+        F.expr(f"""IF(text RLIKE '[0-9@]', transform(parts, part ->
+            regexp_extract_all(part, {_quoted('(' + PATTERN + ')')}, 0)), NULL)""").alias("found"),
     )
     swapped = marked.select(
         "doc_id",
         "text",
+        "cards",
+        "parts",
         "found",
-        F.expr(f"IF(size(found) > 0, transform(found, x -> {pseudonym('x', key, reverse)}), NULL)").alias("fresh"),
+        F.expr(f"transform(found, xs -> transform(xs, x -> {pseudonym('x', key, reverse)}))").alias("fresh"),
     )
-    joined = f"""IF(size(fresh) > 0, array_join(transform(split(text, {_quoted(PATTERN)}, -1), (part, i) ->
-        concat(part, coalesce(get(fresh, i), get(found, i), ''))), ''), text)"""
+    between = f"""IF(size(xs) > 0, array_join(transform(split(get(parts, j), {_quoted(PATTERN)}, -1), (part, i) ->
+        concat(part, coalesce(get(get(fresh, j), i), get(xs, i), ''))), ''), get(parts, j))"""
+    joined = f"""IF(found IS NULL, text, array_join(transform(found, (xs, j) ->
+        concat({between}, coalesce(get(cards, j), ''))), ''))"""
     return swapped.select(
         "doc_id",
         F.expr(joined).alias("text"),
-        F.expr("IF(size(fresh) > 0, CAST(size(filter(fresh, f -> f IS NOT NULL)) AS BIGINT), 0L)").alias("n_found"),
+        F.expr(f"""IF(found IS NULL, 0L, CAST(size(filter(flatten(fresh), f -> f IS NOT NULL))
+            + IF(cards IS NULL, 0, size(filter(cards, c -> c <> '{MARK}'))) AS BIGINT))""").alias("n_found"),
     )

@@ -180,6 +180,53 @@ def test_pseudonyms(spark):
     assert other != new[0]
 
 
+def test_values_beside_other_numbers(spark):
+    """A card beside short numbers, dates before a time, telephone numbers in pairs of digits."""
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    texts = {
+        card: r"(\d{16})",
+        f"{card} 123": r"(\d{16}) 123",
+        f"{spaced} 12/25": r"(\d{4} \d{4} \d{4} \d{4}) 12/25",
+        f"12 {spaced}": r"12 (\d{4} \d{4} \d{4} \d{4})",
+        f"12 34 {spaced} 12/25 x": r"12 34 (\d{4} \d{4} \d{4} \d{4}) 12/25 x",
+        f"7-{spaced.replace(' ', '-')}-123": r"7-(\d{4}-\d{4}-\d{4}-\d{4})-123",
+        f"{spaced} {card} \ue000 {card}": r"(\d{4} \d{4} \d{4} \d{4}) \1 \ue000 \1",
+        f"1 2 3 4 5 6 7 8 9 10 11 12 13 14 {spaced} 12th": None,
+    }
+    days = {
+        "2020-01-01": r"(\d{4}-\d\d-\d\d)",
+        "at 2020-01-01T12:00:00Z": r"at (\d{4}-\d\d-\d\d)T12:00:00Z",
+        "12 2020-01-01 2020-01-01 5": r"12 (\d{4}-\d\d-\d\d) \1 5",
+    }
+    pairs = {
+        "06 12 34 56 78": r"0(\d \d\d \d\d \d\d \d\d)",
+        "75001 06 12 34 56 78": r"75001 0(\d \d\d \d\d \d\d \d\d)",
+        "+33 6 12 34 56 78, +33612345678": r"\+33 (\d \d\d \d\d \d\d \d\d), \+33(\d{9})",
+        "+33 (0)6 12 34 56 78": r"\+33 \(0\)(\d \d\d \d\d \d\d \d\d)",
+        "0033 6 12 34 56 78": r"0033 (\d \d\d \d\d \d\d \d\d)",
+        "06.12.34.56.78 06-12-34-56-78": r"0(\d.\d\d.\d\d.\d\d.\d\d) 0(\d-\d\d-\d\d-\d\d-\d\d)",
+    }
+    cases = [(t, p, kind) for kind, group in enumerate((texts, days, pairs)) for t, p in group.items()]
+    docs = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    out = pseudonyms.pseudonymise(docs, "key")
+    new = {r["doc_id"]: r for r in out.collect()}
+    seen = [set(), set(), set()]
+    for k, (t, p, kind) in enumerate(cases):
+        if p is None:
+            assert spaced not in new[k]["text"]
+            continue
+        found = re.fullmatch(p, new[k]["text"])
+        if "\\1" in p and kind == 0:
+            found = re.fullmatch(r"(\d{4} \d{4} \d{4} \d{4}) (\d{16}) \ue000 (\d{16})", new[k]["text"])
+        assert found, (t, new[k]["text"])
+        seen[kind] |= {re.sub(r"\D", "", x) for x in found.groups()}
+    assert [len(s) for s in seen] == [1, 1, 1] and luhn(*seen[0])
+    assert not seen[0] & {card} and not seen[1] & {"20200101"} and not seen[2] & {"612345678"}
+    assert new[6]["n_found"] == 3 and new[10]["n_found"] == 2 and new[13]["n_found"] == 2
+    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(out.select("doc_id", "text"), "key", reverse=True).collect()}
+    assert all(back[k] == t for k, (t, p, _) in enumerate(cases) if p)
+
+
 def test_permutation_is_one_to_one(spark):
     frame = spark.range(319 * 229).selectExpr("id", f"{pseudonyms.permuted('id div 229', 'id % 229', '319', '229', 'date', 'k')} AS p")
     row = frame.selectExpr("p.l * 229 + p.r AS v").selectExpr("count(DISTINCT v) AS n", "min(v) AS low", "max(v) AS high").first()
