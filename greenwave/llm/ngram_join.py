@@ -67,7 +67,7 @@ def prefix_extra(n, share: int):
 
 
 def _sets(docs: DataFrame, width: int, keep) -> DataFrame:
-    """``doc_id``, ``n``, ``key`` (hash of the whole set) and the tokens that ``keep`` picks."""
+    """``doc_id``, ``mark`` (hash of the text), ``n``, ``key`` (hash of the whole set) and the tokens that ``keep`` picks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,18 +75,19 @@ def _sets(docs: DataFrame, width: int, keep) -> DataFrame:
             keys = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found], np.uint64)
             columns = [
                 batch.column("doc_id"),
+                batch.column("mark"),
                 pa.array(np.array([len(s) for s in found], np.int64)),
                 pa.array(keys.view(np.int64)),
             ]
-            names = ["doc_id", "n", "key"]
+            names = ["doc_id", "mark", "n", "key"]
             if keep is not None:
                 columns.append(_lists([s[: keep(len(s))] for s in found]))
                 names.append("tokens")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n long, key long" + (", tokens array<long>" if keep else "")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {kind}, mark long, n long, key long" + (", tokens array<long>" if keep else "")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, schema)
 
 
 def _need(n: str, percent: int) -> str:
@@ -245,14 +246,7 @@ def _next_members(checked: DataFrame, labels: DataFrame, percent: int) -> tuple[
     return members.distinct(), pairs
 
 
-def near_duplicate_classes(
-    docs: DataFrame,
-    width: int = 5,
-    percent: int = 75,
-    share: int = 16,
-    rounds: int = 6,
-    broadcast_rows: int = 1_000_000,
-) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
 
     Two documents link when ``100 * intersection >= percent * union`` of their sets of
@@ -267,9 +261,33 @@ def near_duplicate_classes(
     are broadcast up to this count and shuffled beyond.
     Sets are compared by 64-bit hashes of shingles and of whole sets.
     """
+    rows, joined = _components(docs, **options)
+    least = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = joined.join(least, "component").select("key", "component_id")
+    found = rows.withColumn("key", F.expr("IF(n > 0, key, NULL)")).join(named, "key", "left")
+    return found.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
+def _components(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 75,
+    share: int = 16,
+    rounds: int = 6,
+    broadcast_rows: int = 1_000_000,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their sets' keys; keys with the ``component``, ``copies``, ``least_id`` and ``first`` row.
+
+    ``first`` is the row of least id, of equal ids that of least ``mark``; null ids are last.
+    """
     rows = stored(_sets(docs, width, None), "rows")
     classes = rows.where("n > 0").groupBy("key").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
+        F.first("n").alias("n"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.expr("named_struct('none', doc_id IS NULL, 'id', doc_id, 'mark', mark)")).alias("first"),
     )
     classes = stored(classes, "classes")
     survivors = _survivors(docs, classes, width, percent, share)
@@ -300,24 +318,37 @@ def near_duplicate_classes(
         if members.isEmpty() and pairs.isEmpty():
             break
     joined = classes.join(labels, classes["key"] == labels["node"], "left").select(
-        "key", "least_id", F.coalesce("component", "key").alias("component")
-    )
-    least = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = joined.join(least, "component").select("key", "component_id")
-    found = rows.withColumn("key", F.expr("IF(n > 0, key, NULL)")).join(named, "key", "left")
-    return found.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        "key", "least_id", "copies", "first", F.coalesce("component", "key").alias("component")
     )
+    return rows, joined
 
 
 def representatives(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` less all but one document of each group of near duplicates.
+    """Rows of ``docs`` less all but one row of each group of near duplicates.
 
-    Of a group the document with the least id stays, with all its columns. Documents
-    without words stay.
+    Of a group the row with the least id stays, with all its columns; null ids come last,
+    of rows of one id that of least text hash stays, of equal rows any one. A row is known
+    by its id and the hash of its text, so other texts of the same id are not touched.
+    Documents without words stay.
     """
-    classes = near_duplicate_classes(docs, **options)
-    extra = classes.where("component_id < doc_id").select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti")
+    rows, joined = _components(docs, **options)
+    groups = joined.groupBy("component").agg(
+        F.min("first").alias("first"), F.sum("copies").alias("members")
+    ).where("members > 1")
+    grouped = joined.select("key", "component").join(groups, "component").select("key", "first")
+    found = rows.where("n > 0").join(grouped, "key").groupBy("doc_id", "mark").agg(
+        F.count(F.lit(1)).alias("repeats"),
+        F.max(F.expr("doc_id <=> first.id AND mark = first.mark")).alias("kept"),
+    )
+    found = stored(found, "members")
+
+    def beside(those: DataFrame, how: str) -> DataFrame:
+        those = those.select(F.col("doc_id").alias("that_id"), F.col("mark").alias("that_mark"))
+        on = docs["doc_id"].eqNullSafe(those["that_id"]) & (F.xxhash64(docs["text"]) == those["that_mark"])
+        return docs.join(those, on, how)
+
+    stay = beside(found.where("NOT kept OR repeats > 1"), "left_anti")
+    again = found.where("kept AND repeats > 1")
+    if again.isEmpty():
+        return stay
+    return stay.unionByName(beside(again, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -135,11 +135,11 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
     return fit_ordinal(rows, np.array([r["grade"] for r in got], float))
 
 
-def score(docs: DataFrame, model: OrdinalModel, above: float | None = None) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel, above: float | None = None, keep_mark: bool = False) -> DataFrame:
     """``doc_id``, ``expected_grade``, ``tail_probability`` (of a grade over ``above``) per row.
 
     ``above`` is the least grade by default. Null and empty texts are scored as texts
-    without features.
+    without features. ``keep_mark`` adds ``mark``, the hash of the text.
     """
     above = model.grades[0] if above is None else above
     steps = np.diff(np.array(model.grades))
@@ -156,19 +156,25 @@ def score(docs: DataFrame, model: OrdinalModel, above: float | None = None) -> D
                     batch.column("doc_id"),
                     pa.array(model.grades[0] + tails @ steps),
                     pa.array(tails[:, tail] if tail is not None else np.zeros(len(texts))),
+                    *([batch.column("mark")] if keep_mark else []),
                 ],
-                ["doc_id", "expected_grade", "tail_probability"],
+                ["doc_id", "expected_grade", "tail_probability"] + ["mark"] * keep_mark,
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, expected_grade double, tail_probability double"
+    mark = [F.xxhash64("text").alias("mark")] if keep_mark else []
+    return docs.select("doc_id", "text", *mark).mapInArrow(
+        run, f"doc_id {kind}, expected_grade double, tail_probability double" + ", mark long" * keep_mark
     )
 
 
 def good_documents(docs: DataFrame, model: OrdinalModel, least_tail: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, with all columns, whose tail probability is ``least_tail`` or more."""
-    scored = score(docs, model)
+    """Rows of ``docs``, with all columns, whose tail probability is ``least_tail`` or more.
+
+    Each row is judged by its own text, whatever other rows have its ``doc_id``.
+    """
+    scored = score(docs.select("doc_id", "text"), model, keep_mark=True)
     bad = scored.where(F.col("tail_probability") < least_tail)
-    bad = bad.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark")).distinct()
+    on = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_mark"])
+    return docs.join(bad, on, "left_anti")

@@ -79,6 +79,13 @@ def find_contamination(
     Tables derived from the benchmark are broadcast up to ``broadcast_rows`` rows (counted)
     and joined by shuffle beyond; AQE then splits a hot fingerprint.
     """
+    return _judged(docs, benchmark, window, grams, broadcast_rows).drop("mark")
+
+
+def _judged(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, grams: int = 5, broadcast_rows: int = 1_000_000
+) -> DataFrame:
+    """``find_contamination`` with ``mark``, the hash of the text."""
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     items = (
         benchmark.select(F.col("item_id").cast("string"), words("text").alias("item_words"))
@@ -112,6 +119,7 @@ def find_contamination(
     on = everything["doc_id"].eqNullSafe(found["hit_id"]) & (everything["mark"] == found["hit_mark"])
     return everything.join(found, on, "left").select(
         "doc_id",
+        "mark",
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.expr("CAST(array() AS ARRAY<STRING>)")).alias("items"),
@@ -204,7 +212,11 @@ def _occurrences(texts, items, prints, lengths, grams, broadcast_rows) -> DataFr
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs``, with all their columns, that hold no window of a benchmark item."""
-    found = find_contamination(docs, benchmark, **options).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Rows of ``docs``, with all their columns, that hold no window of a benchmark item.
+
+    Each row is judged by its own text, whatever other rows have its ``doc_id``.
+    """
+    found = _judged(docs, benchmark, **options).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark")).distinct()
+    on = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_mark"])
+    return docs.join(bad, on, "left_anti")

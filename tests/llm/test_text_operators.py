@@ -94,6 +94,24 @@ def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicate_classes(docs).count() == 0
 
 
+def test_filters_judge_rows_not_ids(spark):
+    """Null and repeated ids with different texts: only the rejected rows go."""
+    long = [f"{a} " + " ".join(f"{a}{k}" for k in range(60)) for a in "pqrs"]
+    rows = [(1, long[0]), (1, long[1]), (2, long[1] + " z"), (2, long[2]), (3, long[3]), (3, long[3]), (None, long[0])]
+    rows += [(0, long[1]), (None, "uu vv"), (None, "uu vv"), (None, "ww"), (None, None)]
+    kept = ngram_join.representatives(frame(spark, [(*r, "s") for r in rows]))
+    assert kept.columns == frame(spark, []).columns
+    want = [(0, long[1]), (1, long[0]), (2, long[2]), (3, long[3]), (None, "uu vv"), (None, "ww"), (None, None)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+    docs = frame(spark, [(i, t, "s") for i in (1, None) for t in ("b " * 20, "clean " + " ".join(long[0]), "")])
+    benchmark = spark.createDataFrame([(1, "b " * 10)], "item_id long, text string")
+    clean = winnowing.clean_documents(docs, benchmark).collect()
+    assert len(clean) == 4 and all(not r["text"].startswith("b ") for r in clean)
+    model = quality.OrdinalModel((0.0, 1.0), quality.features("b " * 20), np.array([0.5]))
+    good = quality.good_documents(docs, model).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in good) == [("1", "b " * 20), ("None", "b " * 20)]
+
+
 def test_components(spark):
     pairs = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 3), (20, 21), (5, 5), (None, 1), (1, 2)]
     pairs += [(100 + k, 101 + k) for k in range(40)]
