@@ -118,15 +118,16 @@ def _survivors(docs: DataFrame, classes: DataFrame, width: int, percent: int, sh
     least = f"((({_need('n', percent)}) + {share - 1}) div {share})"
     # Each copy of a class counted its tokens, hence the factor.
     return stored(
-        hits.join(classes, "key").where(f"hits >= copies * {least}").select("key", "least_id"),
+        hits.join(classes, "key").where(f"hits >= copies * {least}").select("key", "first.id", "first.mark"),
         "survivors",
     )
 
 
 def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int, bound: int) -> DataFrame:
     """``key``, ``n``, shared tokens by rarity, prefixes by further orders, how common they are."""
-    ids = broadcast_below(survivors.select(F.col("least_id").alias("doc_id")), bound)
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    ids = broadcast_below(survivors.select("id", "mark"), bound)
+    on = docs["doc_id"].eqNullSafe(ids["id"]) & (F.xxhash64(docs["text"]) == ids["mark"])
+    texts = docs.select("doc_id", "text").join(ids, on, "left_semi")
     sets = _sets(texts, width, lambda n: n).join(survivors.select("key"), "key", "left_semi")
     postings = sets.select("key", "n", F.explode("tokens").alias("token")).distinct()
     postings = stored(postings, "postings")

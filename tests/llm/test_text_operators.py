@@ -94,6 +94,18 @@ def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicate_classes(docs).count() == 0
 
 
+def test_a_copy_without_id_links_two_documents(spark):
+    base = " ".join(f"w{k}" for k in range(200))
+    more = [" ".join(f"{a}{k}" for k in range(40)) for a in "ac"]
+    docs = frame(spark, [(1, f"{base} {more[0]}", "s"), (None, base, "s"), (2, f"{more[1]} {base}", "s")])
+    for options in ({}, {"broadcast_rows": 0}):
+        got = ngram_join.near_duplicate_classes(docs, **options).collect()
+        assert [r["component_id"] for r in got] == [1, 1, 1]
+    assert [r["doc_id"] for r in ngram_join.representatives(docs).collect()] == [1]
+    apart = ngram_join.near_duplicate_classes(docs.where("doc_id IS NOT NULL")).collect()
+    assert sorted(r["component_id"] for r in apart) == [1, 2]
+
+
 def test_filters_judge_rows_not_ids(spark):
     """Null and repeated ids with different texts: only the rejected rows go."""
     long = [f"{a} " + " ".join(f"{a}{k}" for k in range(60)) for a in "pqrs"]
