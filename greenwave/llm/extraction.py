@@ -35,6 +35,8 @@ RAW = frozenset("script style title textarea noscript template iframe svg canvas
 SPACES = frozenset("br td th wbr img input".split())
 #: An opening tag ends the open elements named beside it, up to the nearest of the third set.
 CLOSES_P = BLOCKS - {"body", "html", "head", "option", "optgroup", "legend", "caption", "tbody", "tfoot", "thead", "tr"}
+#: Blocks that an inline end tag reaches beyond.
+WITHIN = {("select", "option"), ("select", "optgroup")}
 SAME = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "option": {"select"}}
 
 # Weights of the classifier: words of class, id and role, elements, and shape of the text.
@@ -62,6 +64,8 @@ class Element:
     number: int = 0
     parent: Element | None = None
     depth: int = 0
+    #: Inline, and judged bad by its own tag: its text is a block of its own.
+    apart: bool = False
 
 
 @dataclass
@@ -105,13 +109,15 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            place = next(e for e in reversed(stack) if e.tag in BLOCKS or e is root)
+            place = next(e for e in reversed(stack) if e.tag in BLOCKS or e.apart or e is root)
             out.append(Block(text, place, min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
     def close(upto: int) -> None:
         nonlocal anchors
+        if any(e.apart or e.tag in BLOCKS for e in stack[upto:]):
+            flush()
         for e in stack[upto:]:
             anchors -= e.tag == "a"
         del stack[upto:]
@@ -138,7 +144,7 @@ def blocks_of(html: str) -> list[Block]:
                 if stack[k].tag == tag:
                     close(k)
                     break
-                if stack[k].tag in BLOCKS and tag not in BLOCKS:
+                if stack[k].tag in BLOCKS and tag not in BLOCKS and (tag, stack[k].tag) not in WITHIN:
                     break  # an inline end tag does not reach beyond its block
             continue
         if tag in RAW:
@@ -167,7 +173,10 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "header" and not top.good:
             bad = True
         count += 1
-        stack.append(Element(tag, bad or top.bad, good or top.good, count, top, top.depth + 1))
+        apart = bad and not top.bad and tag not in BLOCKS
+        if apart:
+            flush()
+        stack.append(Element(tag, bad or top.bad, good or top.good, count, top, top.depth + 1, apart))
         anchors += tag == "a"
     flush()
     return out

@@ -94,6 +94,17 @@ def test_extraction(spark):
     assert extraction.extract(pages.where("false")).count() == 0
 
 
+def test_inline_boilerplate_is_cut_out():
+    page = "<article><p>One.</p>{}<p>Two.</p></article>"
+    for inline in (
+        "<button>Share</button>", "<label>Mail</label>", "<select>Pick<option>a</select>", "<span class=ad>Buy</span>",
+        "<a class='share' href=x>Post</a>", "<span hidden>Secret</span>", "<span style='display: none'>x</span>",
+    ):
+        assert extraction.main_blocks(page.format(inline)) == ["One.", "Two."]
+        assert extraction.main_blocks(f"<article><p>One <b>bold</b> {inline} and two.</p></article>") == ["One bold", "and two."]
+    assert extraction.main_blocks("<article><p>One <span class=ad>Buy <b>now<p>Two.</article>") == ["One", "Two."]
+
+
 def test_pages_of_the_test_data(spark):
     """The article's blocks, cut out by patterns that hold for these pages only."""
     for row in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
