@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from greenwave.llm import (
     extraction,
     hamming,
+    host_rules,
     mixing,
     ngram_join,
     pseudonyms,
     quality,
     redirects,
+    spelling,
     token_files,
     toxicity,
     winnowing,
@@ -104,6 +106,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(table(spark, sf_dir, "documents"), host="source")
+    return judged.drop("host", "n_lines", "host_failed")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -115,11 +126,24 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_host_rules": op11_host_rules,
+    "op13_spelling": op13_spelling,
 }
 
 #: A-Z in lower case, as DuckDB text.
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Runs of letters of op13, as DuckDB text.
+RUNS = LOWER.format(r"unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+'))")
+#: CRC-32 of a text of code points below 2048, as DuckDB text; needs ``crc`` (the 256 steps) in scope.
+CRC_STEPS = """SELECT list_transform(range(256), lambda i: list_reduce(
+           list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS steps"""
+CRC = """xor(list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({text}, ''), lambda ch:
+             CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+                  ELSE [192 + (unicode(ch) >> 6)::BIGINT, 128 + (unicode(ch) & 63)::BIGINT] END))),
+           lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295)"""
+
 ORACLE: dict[str, str] = {
     # The given pages hold no canonical links or refreshes; a rule, or else no block, decides.
     "op1_url_filter": f"""
@@ -167,5 +191,77 @@ names AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
+""",
+    "op11_host_rules": rf"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE times > 1) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+  SELECT doc_id, source, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+         coalesce(repeated.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines
+  FROM w LEFT JOIN repeated USING (doc_id) LEFT JOIN lines USING (doc_id)),
+failed AS (
+  SELECT *, unnest([1, 2, 3, 4, 5]) AS rule,
+         unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words,
+                 100 * n_dup_lines > 30 * n_lines,
+                 n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 10 * n_words)])::INT AS fails FROM m),
+hosts AS (SELECT source, rule, count(*) AS n, sum(fails) AS k FROM failed GROUP BY ALL),
+sums AS (
+  SELECT rule, count(*) - 1 AS others, sum(n) AS docs, sum(n * n::DOUBLE) AS squares, sum(k) / sum(n) AS p,
+         sum(k * k / n) - sum(k) * (sum(k) / sum(n)) AS spread
+  FROM hosts GROUP BY rule),
+room AS (SELECT *, p * (1 - p) AS pq, p * (1 - p) * (docs - squares / docs - others) AS room FROM sums),
+priors AS (
+  SELECT rule, p, 1 / CASE WHEN room > 0 THEN least(1, greatest(1e-6, (spread - pq * others) / room)) ELSE 1e-6 END - 1 AS s
+  FROM room),
+bad AS (
+  SELECT source, bool_or((k + s * p) / (n + s) > 0.5) AS bad FROM hosts JOIN priors USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT bad AS kept
+FROM m JOIN bad ON m.source IS NOT DISTINCT FROM bad.source
+""",
+    "op13_spelling": rf"""
+WITH RECURSIVE crc AS ({CRC_STEPS}),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, {RUNS} AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+marked AS (SELECT run, n, {CRC.format(text="doc_id || ':' || run")} AS h FROM runs, crc),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word FROM marked)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = rest
+  UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = rest),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM pairs GROUP BY word),
+known AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form,
+         CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+ways AS (
+  SELECT word, word AS root FROM known
+  UNION ALL SELECT ways.word, form FROM ways JOIN known ON known.word = root WHERE form IS NOT NULL)
+SELECT known.*, ways.root FROM known JOIN ways USING (word)
+WHERE ways.root NOT IN (SELECT word FROM known WHERE form IS NOT NULL)
 """,
 }
