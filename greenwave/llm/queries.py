@@ -11,6 +11,7 @@ from greenwave.llm import (
     host_rules,
     mixing,
     ngram_join,
+    prefix_trie,
     pseudonyms,
     quality,
     redirects,
@@ -111,6 +112,10 @@ def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("host", "n_lines", "host_failed")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
     "op11_host_rules": op11_host_rules,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
 }
 
@@ -232,6 +238,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT bad AS kept
 FROM m JOIN bad ON m.source IS NOT DISTINCT FROM bad.source
+""",
+    "op12_prefix_trie": f"""
+WITH crc AS ({CRC_STEPS}),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id AS c, {CRC.format(text="CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (
+  SELECT c, 0 AS part, pos, role, text FROM convs JOIN turns ON turns.conv_id = c - c % 5 AND pos < h
+  UNION ALL SELECT c, 1, pos, role, text FROM convs JOIN turns ON turns.conv_id = c AND pos >= h),
+hashed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, strlen(text) AS bytes,
+         md5(length(role) || ':' || role || text) AS turn FROM rebuilt),
+paths AS (
+  SELECT c, d, bytes, md5(string_agg(turn, '') OVER (PARTITION BY c ORDER BY d)) AS k FROM hashed
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+ends AS (
+  SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM paths JOIN (SELECT c, max(d) AS d FROM paths GROUP BY c) USING (c, d) GROUP BY k),
+nodes AS (SELECT k, min(c) AS c, min(d) AS d, count(*) AS n, min(bytes) AS bytes FROM paths GROUP BY k),
+parents AS (
+  SELECT nodes.k, paths.k AS parent FROM nodes JOIN paths ON paths.c = nodes.c AND paths.d = nodes.d - 1),
+children AS (SELECT parent AS k, count(*) AS n_children FROM parents GROUP BY parent),
+totals AS (
+  SELECT paths.k, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n - 1) * nodes.bytes)::BIGINT AS saved
+  FROM nodes LEFT JOIN children USING (k) JOIN paths ON paths.c = nodes.c AND paths.d <= nodes.d GROUP BY paths.k)
+SELECT nodes.c AS conv_id, nodes.d AS depth, above.c AS parent_conv_id, nodes.n AS n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN totals USING (k) LEFT JOIN children USING (k) LEFT JOIN ends USING (k)
+LEFT JOIN parents USING (k) LEFT JOIN nodes above ON above.k = parents.parent
 """,
     "op13_spelling": rf"""
 WITH RECURSIVE crc AS ({CRC_STEPS}),
