@@ -105,7 +105,8 @@ def fit_ordinal(rows: np.ndarray, ratings: np.ndarray, steps: int = 200, decay:
 def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000) -> OrdinalModel:
     """A model from at most ``max_rows`` rated documents, the same ones on each run.
 
-    Those of least ``xxhash64(doc_id)`` are taken; ratings or texts that are null are not.
+    Those of least ``xxhash64(doc_id)`` are taken; ratings or texts that are null are not. Where
+    an id has several texts, those of least hash are taken, and equal rows count once.
     The driver receives ``max_rows`` feature vectors of fixed width.
     """
     chosen = (
@@ -125,11 +126,13 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
 
     # max_rows bounds what is broadcast.
     rated = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    rated = rated.groupBy("doc_id", "grade", F.xxhash64("text").alias("mark")).agg(F.min("text").alias("text"))
+    rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade", "mark").limit(max_rows)
     kind = rated.schema["doc_id"].dataType.simpleString()
     found = rated.select("doc_id", "grade", "text").mapInArrow(
         run, f"doc_id {kind}, grade double, x binary"
     )
-    got = sorted(found.collect(), key=lambda r: (r["doc_id"], r["grade"], bytes(r["x"])))[:max_rows]
+    got = sorted(found.collect(), key=lambda r: (r["doc_id"], r["grade"], bytes(r["x"])))
     rows = np.frombuffer(b"".join(bytes(r["x"]) for r in got), np.float16).astype(np.float32)
     rows = rows.reshape(len(got), 2 * HALF)
     return fit_ordinal(rows, np.array([r["grade"] for r in got], float))
@@ -139,7 +142,8 @@ def score(docs: DataFrame, model: OrdinalModel, above: float | None = None, keep
     """``doc_id``, ``expected_grade``, ``tail_probability`` (of a grade over ``above``) per row.
 
     ``above`` is the least grade by default. Null and empty texts are scored as texts
-    without features. ``keep_mark`` adds ``mark``, the hash of the text.
+    without features, repeated rows each, other columns are ignored, and an empty table
+    gives no rows. ``keep_mark`` adds ``mark``, the hash of the text.
     """
     above = model.grades[0] if above is None else above
     steps = np.diff(np.array(model.grades))

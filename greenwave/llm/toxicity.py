@@ -35,7 +35,7 @@ BETWEEN = re.compile(r"[ .*_-]")
 
 
 def _codes(text: str) -> np.ndarray:
-    """Character codes 1..62 and, at the edges of words, EDGE; 0 between words."""
+    """Character codes 1..62 and, at the edges of words, EDGE; 0 between words. None without words."""
     text = LONE.sub(lambda m: BETWEEN.sub("", m.group()), text)
     text = " " + SPACE.sub(" ", text.lower()).strip(" ") + " "
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -50,6 +50,8 @@ def _codes(text: str) -> np.ndarray:
     after = np.minimum.accumulate(back[::-1])[::-1]
     edge = strip & (spaces[before] | spaces[np.minimum(after, len(points) - 1)])
     codes, spaces = codes[~edge], spaces[~edge]
+    if spaces.all():
+        return np.empty(0, np.int32)
     # Each space becomes EDGE 0 EDGE, so that the ends of words take part in triples.
     out = np.repeat(codes, np.where(spaces, 3, 1))
     at = np.cumsum(np.where(spaces, 3, 1))[spaces]
@@ -97,7 +99,7 @@ def word_scores(text: str | None, table: np.ndarray) -> np.ndarray:
 
 
 def worst_three(scores: np.ndarray) -> np.ndarray:
-    """The three highest word scores, highest first; what is missing counts as -1."""
+    """The three highest word scores, highest first; none below -1, which is what missing words count."""
     return np.sort(np.concatenate([np.full(3, -1.0), scores]))[:-4:-1]
 
 
@@ -245,7 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, fold: str =
     """A model from at most ``per_class`` labelled texts of each class, the same on each run.
 
     ``fold`` is a condition on ``doc_id`` that rows to learn from meet. Those of least
-    ``xxhash64(doc_id)`` are taken. Texts go whole to the driver, ``2 * per_class`` of them.
+    ``xxhash64(doc_id)`` are taken; where an id has several texts, those of least hash, and equal
+    rows count once. Texts go whole to the driver, at most ``2 * per_class`` of them.
     """
     rated = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         f"doc_id IS NOT NULL AND toxic IN (0, 1) AND ({fold})"
@@ -254,15 +257,20 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, fold: str =
     chosen = rated.where("toxic = 1").orderBy(*order).limit(per_class).unionByName(
         rated.where("toxic = 0").orderBy(*order).limit(per_class)
     )
-    got = (
-        docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").collect()
-    )
-    got = sorted(got, key=lambda r: (r["doc_id"], r["toxic"], r["text"]))[: 2 * per_class]
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    mark = F.xxhash64("text").alias("mark")
+    rows = rows.groupBy("doc_id", "toxic", mark).agg(F.min("text").alias("text"))
+    got = [rows.where(f"toxic = {k}").orderBy(*order, "mark").limit(per_class) for k in (0, 1)]
+    got = sorted(got[0].unionByName(got[1]).collect(), key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return fit([r["text"] for r in got], [r["toxic"] for r in got], **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc_id``, ``score`` in 0..1 per row; null and wordless texts get the lowest score."""
+    """``doc_id``, ``score`` in 0..1 per row of ``docs``.
+
+    Null and wordless texts get the lowest score there is. Repeated rows are scored each, other
+    columns are ignored, and an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -335,3 +335,26 @@ def test_token_files(spark, tmp_path):
 
 def test_token_files_of_nothing(spark):
     assert token_files.encode_and_read(frame(spark, []), tokenizer_file()).count() == 0
+
+
+def test_classifiers_train_on_bounded_rows(spark, monkeypatch):
+    """Labelled ids on very many rows send few to the driver, and both classes."""
+    docs = [(1 + k % 2, ("good words here " if k % 2 else "bad scum idiot ") + str(k % 90), "s") for k in range(4000)]
+    table = frame(spark, docs)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks, **_: seen.append((len(texts), set(marks))))
+    toxicity.train(table, labels, per_class=15)
+    monkeypatch.setattr(quality, "fit_ordinal", lambda rows, grades: seen.append((len(rows), set(grades.tolist()))))
+    quality.train(table, labels, "quality", max_rows=30)
+    assert [n for n, _ in seen] == [30, 30] and seen[0][1] == {0, 1}
+
+
+def test_wordless_texts_score_lowest(spark):
+    texts = ["You total scum and idiot", "lovely reading by the river", "a calm day", "they sent idiots"] * 5
+    model = toxicity.fit(texts, [1, 0, 0, 1] * 5)
+    rows = [(k, t, "s") for k, t in enumerate(["river", "a calm day", "scum", None, "", " \n", "!! ** --"])]
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(frame(spark, rows), model).collect()}
+    blank = [found[k] for k in (3, 4, 5, 6)]
+    assert len(set(blank)) == 1 and all(blank[0] <= found[k] for k in (0, 1, 2))
+    assert toxicity.score(frame(spark, []), model).collect() == []
