@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from greenwave.functions import (
     parse_logged_time,
     ratio_half_up,
 )
+from greenwave.operators.selection import select_ranks
+from greenwave.session import stored
 
 
 def receive(decisions: DataFrame, received_at: str = "current_timestamp()") -> DataFrame:
@@ -67,3 +71,47 @@ def latency_summary(history: DataFrame, value: str = "e2e_latency_ms") -> DataFr
         f"{at(0.99)} AS p99_latency_ms",
         f"{hundredths(ratio_half_up(within, 'n'))} AS sla_3sec_compliance_pct",
     )
+
+
+#: Statistics with the share of values below them, by name.
+PERCENTILES = {"p95": 0.95, "p99": 0.99}
+
+
+def latency_summary_of(values: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The statistics of ``latency_summary`` over any number of rows, one row per ``keys``.
+
+    Negative and null values are unknown and do not count; a key without known values gives no
+    row. Values count with two decimals. Percentiles are exact and nothing is sorted or gathered:
+    see ``select_ranks``. Null keys are a group of their own.
+    """
+    keys = list(keys)
+    known = stored(
+        values.where(f"{value} >= 0").selectExpr(*keys, f"CAST(round({value} * 100) AS BIGINT) AS v"), "latencies"
+    )
+    sums = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("v").cast("decimal(38,0)")).alias("total"),
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+        F.count_if(F.col("v") < SLA_MS * 100).alias("within"),
+    )
+    sums = stored(sums.where("n > 0"), "sums")
+    ranks = ", ".join(
+        f"struct('{name}' AS name, CAST(least(floor(n * {p}D), n - 1) AS BIGINT) AS rank)" for name, p in PERCENTILES.items()
+    )
+    wanted = sums.selectExpr(*keys, "lo", "hi", f"inline(array({ranks}))")
+    found = select_ranks(known, wanted, keys).groupBy(*keys)
+    found = found.agg(*[F.max(F.when(F.col("name") == p, F.col("v"))).alias(p) for p in PERCENTILES])
+    found = found.select(*[F.col(k).alias(f"_{k}") for k in keys], *PERCENTILES)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return sums.join(found, on).selectExpr(
+        *keys,
+        "n AS sample_count",
+        f"{hundredths('(2 * total + n) div (2 * n)')} AS avg_latency_ms",
+        f"{hundredths('lo')} AS min_latency_ms",
+        f"{hundredths('hi')} AS max_latency_ms",
+        *[f"{hundredths(p)} AS {p}_latency_ms" for p in PERCENTILES],
+        f"{hundredths('(20000 * within + n) div (2 * n)')} AS sla_3sec_compliance_pct",
+    )

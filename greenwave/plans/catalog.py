@@ -18,7 +18,8 @@ from greenwave.schemas import DECISION, INCIDENT, VEHICLE
 from greenwave.sources.sinks import last_emission
 from greenwave.sources.topics import stream_parquet
 from greenwave.streaming.decisions import stream_decisions
-from greenwave.streaming.jobs import run_available
+from greenwave.streaming.jobs import run_available, run_slices
+from greenwave.streaming.latency import stream_latency_summary as stream_latency
 from greenwave.streaming.metrics import stream_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +212,16 @@ def latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency.latency_summary(latency.latency_history(fixtures.received(spark, sf_dir)))
 
 
+def latency_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of both latencies over every decision, overall and by intersection."""
+    both = "array(struct('e2e' AS measure, e2e_latency_ms AS ms), struct('hop' AS measure, latency_ms AS ms))"
+    scoped = fixtures.received(spark, sf_dir).selectExpr(
+        "explode(array('ALL', intersection_id)) AS scope", f"{both} AS both"
+    )
+    measured = scoped.selectExpr("scope", "inline(both)")
+    return latency.latency_summary_of(measured, "ms", ("scope", "measure"))
+
+
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest_state(fixtures.received(spark, sf_dir).drop("first_event_id"))
 
@@ -309,6 +320,26 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(last_emission(emitted, "intersection_id"))
 
 
+#: Days of the month at which the events are cut into slices that a stream meets one by one.
+SLICES = (9, 17, 25)
+
+
+def _slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    events = fixtures.read_events(spark, sf_dir)
+    bounds = (0, *SLICES, 32)
+    return [events.where(f"day(ts) >= {a} AND day(ts) < {b}") for a, b in zip(bounds, bounds[1:])]
+
+
+def stream_latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hop latency statistics after each of four micro-batches of single-reading records."""
+
+    def statistics(events: DataFrame) -> DataFrame:
+        records = latency.receive(fixtures.reading_records(events), "received_at")
+        return stream_latency(records, ("'ALL'", "intersection_id"), value="latency_ms")
+
+    return run_slices(_slices(spark, sf_dir), statistics, "update", "stream_latency_summary")
+
+
 QUERIES: dict[str, Query] = {
     "decode_vehicle_json": decode_vehicle_json,
     "decode_incident_json": decode_incident_json,
@@ -332,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "hop_latency": _latency_of("latency_ms"),
     "latency_history": latency_history,
     "latency_summary": latency_summary,
+    "latency_summary_all": latency_summary_all,
     "latest_state": latest_state,
     "state_report": state_report,
     "state_lookup": state_lookup,
@@ -343,4 +375,5 @@ QUERIES: dict[str, Query] = {
     "stream_window_metrics": stream_window_metrics,
     "stream_decisions": stream_decision_rows,
     "stream_latest_state": stream_latest_state,
+    "stream_latency_summary": stream_latency_summary,
 }

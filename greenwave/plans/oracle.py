@@ -241,6 +241,22 @@ FOLD_STEP = """
  CASE WHEN acc.time IS NULL OR acc.expires_at < x.arrived OR x.rank > acc.rank OR x.time >= acc.time
       THEN x ELSE acc END"""
 
+def _statistics(rows: str, keys: str) -> str:
+    """Latency statistics per ``keys`` of whole numbers ``v``."""
+    return f"""ranked AS (
+  SELECT {keys}, v, row_number() OVER (PARTITION BY {keys} ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY {keys}) AS n
+  FROM {rows})
+SELECT {keys}, any_value(n) AS sample_count,
+       CAST((2 * CAST(sum(v) AS HUGEINT) * 100 + any_value(n)) // (2 * any_value(n)) AS DOUBLE) / 100.0::DOUBLE
+         AS avg_latency_ms,
+       min(v) AS min_latency_ms, max(v) AS max_latency_ms,
+       max(v) FILTER (WHERE i = CAST(floor(n * 0.95::DOUBLE) AS BIGINT)) AS p95_latency_ms,
+       max(v) FILTER (WHERE i = least(CAST(floor(n * 0.99::DOUBLE) AS BIGINT), n - 1)) AS p99_latency_ms,
+       ((2 * 10000 * count(*) FILTER (WHERE v < 3000) + any_value(n)) // (2 * any_value(n))) / 100.0::DOUBLE
+         AS sla_3sec_compliance_pct
+FROM ranked GROUP BY {keys}"""
+
+
 ORACLE: dict[str, str] = {
     "decode_vehicle_json": _decode(
         "vehicle_events",
@@ -345,6 +361,13 @@ SELECT any_value(n) AS sample_count,
        ((2 * 10000 * count(*) FILTER (WHERE v < 3000) + any_value(n)) // (2 * any_value(n))) / 100.0::DOUBLE
          AS sla_3sec_compliance_pct
 FROM ranked""",
+    "latency_summary_all": _with(*SECOND_RECORDS) + f"""
+, scoped AS (
+  SELECT unnest(['ALL', intersection_id]) AS scope, e2e_latency_ms, latency_ms FROM received),
+vals AS (
+  SELECT scope, 'e2e' AS measure, e2e_latency_ms AS v FROM scoped WHERE e2e_latency_ms >= 0
+  UNION ALL SELECT scope, 'hop', latency_ms FROM scoped WHERE latency_ms >= 0),
+{_statistics("vals", "scope, measure")}""",
     "latest_state": _with(*SECOND_RECORDS, STATE) + f"SELECT {STATE_COLUMNS} FROM state",
     "state_report": _with(*SECOND_RECORDS, STATE) + f"""
 SELECT intersection_id, {_map('traffic_mode', MODE_SYMBOL, '')} AS mode_symbol, traffic_mode, total_vehicles,
@@ -388,4 +411,18 @@ SELECT * EXCLUDE (arrived), {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS
        strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') AS received_at
 FROM single
 QUALIFY row_number() OVER (PARTITION BY intersection_id ORDER BY arrived DESC, window_start DESC) = 1""",
+    "stream_latency_summary": _with() + f"""
+, arrived AS (
+  SELECT intersection_id, event_time, event_time + to_seconds(event_id * 7919 % 7200) AS arrived,
+         CAST(1000 * (event_id * 7919 % 7200 - 1) AS DOUBLE) AS v,
+         CASE WHEN day(ts) < 9 THEN 0 WHEN day(ts) < 17 THEN 1 WHEN day(ts) < 25 THEN 2 ELSE 3 END AS born
+  FROM vehicle_events JOIN (SELECT event_id, ts FROM events) USING (event_id)),
+scoped AS (SELECT *, unnest(['ALL', intersection_id]) AS scope FROM arrived WHERE v >= 0),
+upto AS (SELECT slice, scoped.* FROM scoped JOIN (SELECT unnest([0, 1, 2, 3]) AS slice) ON born <= slice),
+recent AS (
+  SELECT slice, scope, v, max(born) OVER (PARTITION BY slice, scope) AS newest FROM upto
+  QUALIFY row_number() OVER (PARTITION BY slice, scope
+                             ORDER BY arrived DESC, intersection_id DESC, event_time DESC) <= {HISTORY_SIZE}),
+current AS (SELECT CAST(slice AS INTEGER) AS slice, scope, v FROM recent WHERE newest = slice),
+{_statistics("current", "slice, scope")}""",
 }

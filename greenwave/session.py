@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Names the shared scratch folder where ``spark.checkpoint.dir`` is not set.
 SCRATCH = "spark.greenwave.scratch"
@@ -44,3 +44,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to storage all executors share")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that later steps start from there."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

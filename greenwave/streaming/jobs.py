@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from greenwave.operators.state import latest_state
 from greenwave.schemas import DECISION, INCIDENT, VEHICLE
 from greenwave.session import shared_folder
 from greenwave.streaming.decisions import stream_decisions
+from greenwave.streaming.latency import stream_latency_summary
 
 
 def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFrame:
@@ -44,6 +45,39 @@ def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFram
     return spark.read.schema(schema).parquet(f"{folder}/rows")
 
 
+def run_slices(
+    slices: Sequence[DataFrame], make: Callable[[DataFrame], DataFrame], output_mode: str, purpose: str
+) -> DataFrame:
+    """One query that meets ``slices`` one after the other; its rows with the ``slice`` they came from.
+
+    Each slice is added to a folder in the shared storage, then the query built by ``make`` on the
+    stream of that folder is started on the same checkpoint and stops when it has read what is
+    new. So every slice is a micro-batch of its own, state and watermark go from one to the next,
+    and every start recovers them.
+    """
+    spark = slices[0].sparkSession
+    folder = shared_folder(spark, purpose)
+    source = spark.readStream.schema(slices[0].schema)
+    schema = None
+    for number, rows in enumerate(slices):
+        rows.write.parquet(f"{folder}/input/{number:05d}")
+        stream = make(source.parquet(f"{folder}/input/*"))
+        schema = schema or StructType([*stream.schema.fields, StructField("slice", IntegerType())])
+
+        def write(batch: DataFrame, batch_id: int, number: int = number) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/rows/slice={number}/part={batch_id}")
+
+        query = (
+            stream.writeStream.outputMode(output_mode)
+            .foreachBatch(write)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/rows").drop("part")
+
+
 def counted(stream: DataFrame, name: str) -> DataFrame:
     """The stream with its rows per micro-batch observed.
 
@@ -106,18 +140,23 @@ def start_monitor_job(
     checkpoints: str,
     trigger: str | None = "1 second",
     received_at: str = "current_timestamp()",
+    statistics: Callable[[DataFrame, int], None] | None = None,
 ) -> list[StreamingQuery]:
-    """Follow published decisions: every received one, and the latest per intersection.
+    """Follow published decisions: every received one, the latest per intersection, latencies.
 
     ``decisions`` holds JSON payloads in ``value``; further columns, such as the
     broker's arrival time, may be named in the ``received_at`` expression. Unusable
-    records are left out. ``latency_history`` on the table written by ``history``
-    gives the statistics; ``state`` receives each intersection that changed.
+    records are left out. ``state`` receives each intersection that changed, ``statistics``
+    the latency statistics over the most recent decisions, of all and of each intersection.
     """
     usable = decode_decisions(decisions).filter("reason IS NULL").drop("reason")
     received = receive(usable, received_at)
     received = received.select(*DECISION.fieldNames(), "received_at", "latency_ms")
-    return [
+    queries = [
         _start("received", received, "append", history, checkpoints, trigger),
         _start("latest_state", latest_state(received), "update", state, checkpoints, trigger),
     ]
+    if statistics:
+        summary = stream_latency_summary(received, ("'ALL'", "intersection_id"))
+        queries.append(_start("latency", summary, "update", statistics, checkpoints, trigger))
+    return queries
