@@ -1,23 +1,26 @@
 """Signal decisions from a vehicle stream and an incident stream.
 
-Both streams are united and grouped by intersection into one stateful operator
-that keeps the open windows and the incidents still in force. A stream-stream
-join would not do: it emits in append mode only, and an idle incident stream
-would hold its watermark, and with it every decision, back.
+A stream-stream join would not do: it emits in append mode only, and an idle
+incident stream would hold its watermark, and with it every decision, back.
 
 Two ways to emit:
 
 ``update``  a window is emitted as soon as it has data and again on every change.
-            Lateness is judged per intersection, by the newest reading seen
-            before the micro-batch; incidents are never too late.
-``final``   a window is emitted once, when the stream's watermark has passed its
-            end. A reading carries its window's end as event time, so it is late
-            exactly if its window is closed, whatever rows it was combined with;
-            an incident is late one window length after its own time.
-
-Rows are combined inside each source partition before they are shuffled, so a
-hot intersection sends at most one row per window and input partition. Its state
-still lives in one task, which sees only those combined rows.
+            Both streams are united and grouped by intersection into one stateful
+            operator that keeps the open windows and the incidents still in force.
+            Lateness is judged per intersection, by the newest reading seen before
+            the micro-batch; incidents are never too late. Rows are combined inside
+            each source partition before they are shuffled, so a hot intersection
+            sends at most one row per window and input partition; its state lives in
+            one task, which sees only those combined rows.
+``final``   a window is emitted once, when the watermark of the readings has passed its
+            end: the native window aggregate closes it, so readings are late exactly
+            when that drops them. Closed windows go to a second stateful operator
+            keyed by intersection and block of time, which holds the incidents that
+            windows of the block can see. So the open windows of a hot intersection
+            are spread by window and its closed ones by block, over as many tasks as
+            there are. Incidents are never too late: they count for the windows that
+            close after them, or together with them.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from greenwave.functions import (
 )
 from greenwave.operators.decisions import decide
 from greenwave.operators.incidents import incident_lifetimes, seconds_of
+from greenwave.operators.metrics import window_metrics
 
 _INPUT = (
     "intersection_id string, event_time timestamp, window_end long, total_vehicles long, "
@@ -54,6 +58,13 @@ _OUTPUT = (
 _COLUMNS = [part.split()[0] for part in _INPUT.split(", ")]
 _SUMS = ["total_vehicles", "speed_sum", "speed_readings", "speed_rest", "speed_nans"]
 _FAR = 2**62
+#: What the second operator of ``final`` returns, and the columns that only incidents have.
+_CLOSED_TYPES = [
+    "intersection_id string", "window_end long", "total_vehicles long", "speed_sum long", "speed_readings long",
+    "speed_rest double", "min_produced_at long", "latest_severity string", "worst_severity string",
+]
+_CLOSED = [part.split()[0] for part in _CLOSED_TYPES]
+_REPORTED = [("incident_at", "long"), ("event_id", "string"), ("severity", "string"), ("expires_at", "long")]
 
 
 def _combine_readings(frame: pd.DataFrame) -> pd.DataFrame:
@@ -168,10 +179,9 @@ def still_needed(incidents: list[tuple], horizon: int) -> list[tuple]:
 class _Signals(StatefulProcessor):
     """Open windows and live incidents of one intersection."""
 
-    def __init__(self, length_micros: int, delay_micros: int, final: bool, idle_micros: int):
+    def __init__(self, length_micros: int, delay_micros: int, idle_micros: int):
         self.length = length_micros
         self.delay = delay_micros
-        self.final = final
         self.idle = idle_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -196,7 +206,7 @@ class _Signals(StatefulProcessor):
         newest = self.clock.get()[0] if self.clock.exists() else None
         if readings is None:
             readings = pd.DataFrame(columns=_COLUMNS)
-        elif newest is not None and not self.final:
+        elif newest is not None:
             readings = readings[readings["window_end"] > newest - self.delay]
         open_windows = self._load_windows()
         changed = {}
@@ -213,16 +223,6 @@ class _Signals(StatefulProcessor):
                     None if pd.isna(row.min_produced_at) else int(row.min_produced_at),
                 ),
             )
-        if self.final:
-            self._store_incidents(known)
-            for end, value in changed.items():
-                self.windows.updateValue((end,), value)
-            due = [*changed, *open_windows] or [
-                max(0, expiry) for _, expiry in known.values() if expiry < _FAR
-            ]
-            if due:
-                self.handle.registerTimer(min(due) // 1000)
-            return
         if changed:
             yield self._emit(key[0], changed, known)
             seen = int(readings["event_time"].max().value // 1000)
@@ -242,27 +242,6 @@ class _Signals(StatefulProcessor):
             known = self._pruned(known, max(at for at, _ in known) - self.idle)
         self._store_incidents(known)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        """Emit every window the watermark has passed; one timer per intersection is kept."""
-        horizon = timerValues.getCurrentWatermarkInMs() * 1000
-        windows = self._load_windows()
-        due = {end: value for end, value in windows.items() if end <= horizon}
-        if due:
-            known = self._load_incidents()
-            yield self._emit(key[0], due, known)
-            for end in due:
-                self.windows.removeKey((end,))
-            self._store_incidents(self._pruned(known, horizon))
-        else:
-            known = self._pruned(self._load_incidents(), horizon)
-            self._store_incidents(known)
-        waiting = [end for end in windows if end > horizon]
-        if not waiting:  # incidents alone: come back when the next one has expired
-            known = self._pruned(known, horizon)
-            waiting = [expiry + 1000 for _, expiry in known.values() if expiry >= horizon]
-        if waiting:
-            self.handle.registerTimer(min(waiting) // 1000)
-
     def close(self) -> None:
         pass
 
@@ -300,6 +279,92 @@ class _Signals(StatefulProcessor):
         })
 
 
+class _Blocks(StatefulProcessor):
+    """Incidents that the windows of one intersection and block of time can see."""
+
+    def __init__(self, length_micros: int, block_micros: int):
+        self.length = length_micros
+        self.block = block_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.incidents = handle.getMapState(
+            "incidents", "incident_at long, event_id string", "severity string, expires_at long"
+        )
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        windows, reported = [], None
+        for frame in rows:
+            is_incident = frame["incident_at"].notna()
+            windows.append(frame[~is_incident])
+            if is_incident.any():
+                both = frame[is_incident] if reported is None else pd.concat([reported, frame[is_incident]])
+                reported = _combine_incidents(both, self.length)
+        if reported is not None:
+            for row in reported.itertuples(index=False):
+                self.incidents.updateValue(
+                    (int(row.incident_at), row.event_id), (row.severity, int(row.expires_at))
+                )
+        # The block ends for good when the watermark has closed its last window.
+        self.handle.registerTimer((int(key[1]) + 1) * self.block // 1000)
+        closed = pd.concat(windows)
+        if len(closed):
+            known = [(*k, *v) for k, v in self.incidents.iterator()]
+            latest, worst = severities(closed["window_end"].to_numpy("int64"), known)
+            numbers = {name: closed[name].to_numpy() for name in _CLOSED[1:-2]}
+            yield pd.DataFrame(
+                {"intersection_id": key[0], **numbers, "latest_severity": latest, "worst_severity": worst}
+            )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.incidents.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _final_severities(
+    vehicles: DataFrame, incidents: DataFrame, length: str, delay: str, block: str, horizon: str
+) -> DataFrame:
+    size, width = seconds_of(length) * 1_000_000, seconds_of(block) * 1_000_000
+    if width % size:
+        raise ValueError(f"a block ({block}) must hold whole windows ({length})")
+    metrics = window_metrics(
+        vehicles.filter("intersection_id IS NOT NULL").withWatermark("event_time", delay), length, with_event_time=True
+    )
+    values = [c.split()[0] for c in _CLOSED_TYPES[2:-2]]
+    windows = metrics.selectExpr(
+        "intersection_id",
+        f"(unix_micros(window_end) - 1) div {width}L AS block",
+        "window_time",
+        "unix_micros(window_end) AS window_end",
+        "unix_micros(min_produced_at) AS min_produced_at",
+        *[v for v in values if v != "min_produced_at"],
+        *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in _REPORTED],
+    )
+    reported = incidents.mapInPandas(_combiner(partial(_combine_incidents, grid=size)), _INPUT)
+    last = f"greatest(expires_at, incident_at + {seconds_of(horizon)} * 1000000L)"
+    reported = reported.selectExpr(
+        "intersection_id",
+        # A window that ends at the incident's time, in the block before, sees it too.
+        f"explode(sequence((incident_at - 1) div {width}L, {last} div {width}L)) AS block",
+        # Not an event time: an incident is never late, and cannot move the watermark.
+        "TIMESTAMP'2200-01-01 00:00:00' AS window_time",
+        "CAST(NULL AS LONG) AS window_end",
+        "CAST(NULL AS LONG) AS min_produced_at",
+        *[f"CAST(NULL AS {c.split()[1]}) AS {c.split()[0]}" for c in _CLOSED_TYPES[2:-2] if "min_prod" not in c],
+        *[name for name, _ in _REPORTED],
+    )
+    return (
+        windows.unionByName(reported)
+        .groupBy("intersection_id", "block")
+        .transformWithStateInPandas(
+            _Blocks(size, width), outputStructType=", ".join(_CLOSED_TYPES), outputMode="append", timeMode="EventTime"
+        )
+    )
+
+
 def _merged(old, new):
     if old is None:
         return new
@@ -317,18 +382,38 @@ def stream_severities(
     delay: str = "1 second",
     emit: str = "update",
     idle: str = "1 hour",
+    block: str = "1 hour",
+    horizon: str = "8 hours",
 ) -> DataFrame:
     """Window metrics with ``latest_severity`` and ``worst_severity`` from two decoded streams.
 
     Write the result in update mode for ``emit="update"`` and in append mode for
     ``"final"``. Rows without an intersection have no key and must be split off
     before (``split_bad_records``); they are left out here. An intersection without any
-    reading forgets incidents that expired ``idle`` before its newest one (``update``) or
-    before the watermark (``final``).
+    reading forgets incidents that expired ``idle`` before its newest one (``update``).
+
+    ``final`` copies an incident to each ``block`` within ``horizon`` of its time or, if that is
+    later, until it expires. A newer incident hides older ones from ``latest_severity`` that
+    long, so ``horizon`` should be no less than the longest life.
     """
     if emit not in ("update", "final"):
         raise ValueError(f"emit must be 'update' or 'final', not {emit!r}")
     size = seconds_of(length)
+    reported = (
+        incident_lifetimes(incidents)
+        .filter("intersection_id IS NOT NULL AND expires_at >= event_time")
+        .selectExpr(
+            "intersection_id",
+            "event_time",
+            "unix_micros(event_time) AS incident_at",
+            "CAST(event_id AS STRING) AS event_id",
+            "severity",
+            "unix_micros(expires_at) AS expires_at",
+        )
+    )
+    if emit == "final":
+        closed = _final_severities(vehicles, reported, length, delay, block, horizon)
+        return _named(closed, size, "speed_rest")
     produced = "produced_at"
     if dict(vehicles.dtypes)[produced] == "string":
         produced = parse_produced_at(produced)
@@ -344,41 +429,21 @@ def stream_severities(
         "if(isnan(average_speed_kmh), 1L, 0L) AS speed_nans",
         f"unix_micros({produced}) AS min_produced_at",
     )
-    reported = (
-        incident_lifetimes(incidents)
-        .filter("intersection_id IS NOT NULL AND expires_at >= event_time")
-        .selectExpr(
-            "intersection_id",
-            "event_time",
-            "unix_micros(event_time) AS incident_at",
-            "CAST(event_id AS STRING) AS event_id",
-            "severity",
-            "unix_micros(expires_at) AS expires_at",
-        )
-    )
     united = readings.mapInPandas(_combiner(_combine_readings), _INPUT).unionByName(
         reported.mapInPandas(
             _combiner(partial(_combine_incidents, grid=size * 1_000_000)), _INPUT
         )
     )
-    final = emit == "final"
-    if final:
-        span = f"{size + seconds_of(delay)} seconds"
-        united = united.withColumn(
-            "event_time",
-            F.expr(
-                f"IF(incident_at IS NULL, timestamp_micros(window_end), "
-                f"timestamp_micros(incident_at + {size} * 1000000L))"
-            ),
-        ).withWatermark("event_time", span)
     emitted = united.groupBy("intersection_id").transformWithStateInPandas(
-        _Signals(
-            size * 1_000_000, seconds_of(delay) * 1_000_000, final, seconds_of(idle) * 1_000_000
-        ),
+        _Signals(size * 1_000_000, seconds_of(delay) * 1_000_000, seconds_of(idle) * 1_000_000),
         outputStructType=_OUTPUT,
-        outputMode="append" if final else "update",
-        timeMode="EventTime" if final else "None",
+        outputMode="update",
+        timeMode="None",
     )
+    return _named(emitted, size, "if(speed_nans > 0, double('NaN'), speed_rest)")
+
+
+def _named(emitted: DataFrame, size: int, speed_rest: str) -> DataFrame:
     return emitted.selectExpr(
         "intersection_id",
         f"timestamp_micros(window_end - {size} * 1000000L) AS window_start",
@@ -386,7 +451,7 @@ def stream_severities(
         "total_vehicles",
         "speed_sum",
         "speed_readings",
-        "if(speed_nans > 0, double('NaN'), speed_rest) AS speed_rest",
+        f"{speed_rest} AS speed_rest",
         "timestamp_micros(min_produced_at) AS min_produced_at",
         "latest_severity",
         "worst_severity",

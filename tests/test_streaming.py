@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from greenwave.operators.decisions import decide
 from greenwave.operators.decode import decode_incidents, decode_vehicles
 from greenwave.operators.incidents import interval_join, severity_at
@@ -18,7 +20,7 @@ from greenwave.sources.topics import read_json_lines, stream_json_lines
 from greenwave.streaming import decisions
 from greenwave.streaming.decisions import still_needed, severities, stream_decisions, stream_severities
 from greenwave.streaming.incidents import stream_incidents, stream_interval_join
-from greenwave.streaming.jobs import counted, run_available, start_decision_job, start_monitor_job
+from greenwave.streaming.jobs import counted, run_available, run_slices, start_decision_job, start_monitor_job
 from greenwave.streaming.metrics import stream_metrics
 
 T0 = datetime(2024, 1, 1, 8, 0, 0)
@@ -406,10 +408,9 @@ class _Value:
         self.value = value
 
 
-@pytest.mark.parametrize("final", [False, True])
-def test_incidents_of_an_intersection_without_readings_expire(final):
+def test_incidents_of_an_intersection_without_readings_expire():
     second = 1_000_000
-    signals = decisions._Signals(second, second, final, 3600 * second)
+    signals = decisions._Signals(second, second, 3600 * second)
     handle = _Handle()
     signals.init(handle)
     for k in range(200):  # one every ten minutes, each over after five
@@ -418,13 +419,58 @@ def test_incidents_of_an_intersection_without_readings_expire(final):
             intersection_id="A", incident_at=at, event_id=f"{k:04d}", severity="LOW", expires_at=at + 300 * second
         )
         list(signals.handleInputRows(("A",), iter([frame]), None))
-        if final:
-            assert handle.timers
+    assert len(signals.incidents) <= 10
 
-            class Clock:
-                @staticmethod
-                def getCurrentWatermarkInMs():
-                    return at // 1000
 
-            list(signals.handleExpiredTimer(("A",), Clock, None))
-    assert len(signals.incidents) <= 10
+def test_final_is_late_as_the_native_aggregate(spark, tmp_path):
+    """One reading per micro-batch: hour windows close and readings drop as in the native aggregate."""
+    totals = {}
+    for mode in ("final", "native"):
+        vehicles = [
+            spark.createDataFrame([(vehicle(s, "A", c),)], "value string")
+            for s, c in ((100, 1), (3700, 2), (200, 4), (3710, 8), (8000, 16), (300, 32))
+        ]
+
+        def make(stream):
+            readings = decode_vehicles(stream)
+            none = decode_incidents(stream)
+            if mode == "native":
+                return stream_metrics(readings, "1 hour")
+            return stream_severities(readings, none, "1 hour", emit="final")
+
+        rows = run_slices(vehicles, make, "append", mode).collect()
+        totals[mode] = sorted((r.slice, (r.window_start - T0).seconds, r.total_vehicles) for r in rows)
+    assert totals["final"] == totals["native"]
+    assert [t for _, _, t in totals["final"]] == [1, 10]
+
+
+def test_final_keeps_late_incidents_and_spreads_one_intersection(spark):
+    """Blocks of one intersection are worked on apart; severities are those of the batch."""
+    rng = np.random.default_rng(8)
+    readings = sorted((int(s), int(c)) for s, c in zip(rng.integers(0, 30_000, 400), rng.integers(1, 30, 400)))
+    reported = [(int(s), ["LOW", "HIGH", "CRITICAL", "MEDIUM"][k % 4], int(m)) for k, (s, m) in
+                enumerate(zip(rng.integers(0, 25_000, 60), rng.integers(1, 400, 60)))]
+    lines = [(s, vehicle(s, "A", c)) for s, c in readings]
+    slices = []
+    for low, high in ((0, 11_000), (11_000, 22_000), (22_000, 40_000)):
+        # Incidents come a slice ahead of the windows they are in force for.
+        told = [incident(s, "A", sev, m) for s, sev, m in reported if low <= s + 100 < high or (low == 0 and s < 0)]
+        part = [x for s, x in lines if low <= s < high] + told
+        slices.append(spark.createDataFrame([(x,) for x in part], "value string").repartition(2))
+    slices.append(spark.createDataFrame([(vehicle(50_000, "A", 1),)], "value string"))
+
+    def make(stream):
+        vehicles = decode_vehicles(stream.where("value LIKE '%VEH_%'"))
+        incidents = decode_incidents(stream.where("value LIKE '%INC_%'"))
+        found = stream_severities(vehicles, incidents, "60 seconds", emit="final")
+        return found.withColumn("task", F.spark_partition_id())
+
+    rows = run_slices(slices, make, "append", "blocks").collect()
+    told = spark.createDataFrame([(incident(s, "A", sev, m),) for s, sev, m in reported], "value string")
+    points = window_metrics(decode_vehicles(spark.createDataFrame([(x,) for _, x in lines], "value string")), "60 seconds")
+    want = severity_at(points, decode_incidents(told)).collect()
+    got = {r.window_end: (r.total_vehicles, r.latest_severity, r.worst_severity) for r in rows}
+    assert len(got) == len(rows) == len(want)
+    assert got == {r.window_end: (r.total_vehicles, r.latest_severity, r.worst_severity) for r in want}
+    assert len({v[1:] for v in got.values()}) > 5
+    assert all(len({r.task for r in rows if r.slice == k}) > 1 for k in range(3))
