@@ -324,10 +324,12 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = (9, 17, 25)
 
 
-def _slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _slices(spark: SparkSession, sf_dir: str, late: str = "false") -> list[DataFrame]:
+    """Events by the slice they arrive in; those that are ``late`` arrive one slice later."""
     events = fixtures.read_events(spark, sf_dir)
-    bounds = (0, *SLICES, 32)
-    return [events.where(f"day(ts) >= {a} AND day(ts) < {b}") for a, b in zip(bounds, bounds[1:])]
+    born = " + ".join(f"CAST(day(ts) >= {d} AS INT)" for d in SLICES)
+    arrives = f"least({born} + CAST({late} AS INT), {len(SLICES)})"
+    return [events.where(f"{arrives} = {k}") for k in range(len(SLICES) + 1)]
 
 
 def stream_latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,6 +342,24 @@ def stream_latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_slices(_slices(spark, sf_dir), statistics, "update", "stream_latency_summary")
 
 
+def stream_final_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions on the hour windows that each of four micro-batches closes.
+
+    Every nineteenth event arrives a slice late: readings too late for their window are dropped,
+    incidents count for the windows that close after them.
+    """
+
+    def decisions(events: DataFrame) -> DataFrame:
+        return stream_decisions(
+            fixtures.vehicles_from(events), fixtures.incidents_from(events), "1 hour", "1 hour", "final"
+        )
+
+    emitted = run_slices(_slices(spark, sf_dir, "event_id % 19 = 0"), decisions, "append", "stream_final")
+    return _iso(emitted, "window_start", "window_end").drop(
+        "min_produced_at", "latest_severity", "speed_sum", "speed_readings", "speed_rest"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "decode_vehicle_json": decode_vehicle_json,
     "decode_incident_json": decode_incident_json,
@@ -376,4 +396,5 @@ QUERIES: dict[str, Query] = {
     "stream_decisions": stream_decision_rows,
     "stream_latest_state": stream_latest_state,
     "stream_latency_summary": stream_latency_summary,
+    "stream_final_decisions": stream_final_decisions,
 }

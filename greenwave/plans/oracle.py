@@ -241,6 +241,10 @@ FOLD_STEP = """
  CASE WHEN acc.time IS NULL OR acc.expires_at < x.arrived OR x.rank > acc.rank OR x.time >= acc.time
       THEN x ELSE acc END"""
 
+#: Slice of the month in which a stream meets an event.
+BORN = "(CASE WHEN day(ts) < 9 THEN 0 WHEN day(ts) < 17 THEN 1 WHEN day(ts) < 25 THEN 2 ELSE 3 END)"
+
+
 def _statistics(rows: str, keys: str) -> str:
     """Latency statistics per ``keys`` of whole numbers ``v``."""
     return f"""ranked AS (
@@ -415,7 +419,7 @@ QUALIFY row_number() OVER (PARTITION BY intersection_id ORDER BY arrived DESC, w
 , arrived AS (
   SELECT intersection_id, event_time, event_time + to_seconds(event_id * 7919 % 7200) AS arrived,
          CAST(1000 * (event_id * 7919 % 7200 - 1) AS DOUBLE) AS v,
-         CASE WHEN day(ts) < 9 THEN 0 WHEN day(ts) < 17 THEN 1 WHEN day(ts) < 25 THEN 2 ELSE 3 END AS born
+         {BORN} AS born
   FROM vehicle_events JOIN (SELECT event_id, ts FROM events) USING (event_id)),
 scoped AS (SELECT *, unnest(['ALL', intersection_id]) AS scope FROM arrived WHERE v >= 0),
 upto AS (SELECT slice, scoped.* FROM scoped JOIN (SELECT unnest([0, 1, 2, 3]) AS slice) ON born <= slice),
@@ -425,4 +429,34 @@ recent AS (
                              ORDER BY arrived DESC, intersection_id DESC, event_time DESC) <= {HISTORY_SIZE}),
 current AS (SELECT CAST(slice AS INTEGER) AS slice, scope, v FROM recent WHERE newest = slice),
 {_statistics("current", "slice, scope")}""",
+    # The watermark is an hour behind the newest reading of all slices so far. A reading counts unless the
+    # watermark of the slices before has passed its window; a slice closes what its watermark passes.
+    "stream_final_decisions": _with() + f"""
+, arrivals AS (
+  SELECT event_id, least(3, {BORN} + CASE WHEN event_id % 19 = 0 THEN 1 ELSE 0 END) AS born FROM events),
+readings AS (
+  SELECT *, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end
+  FROM vehicle_events JOIN arrivals USING (event_id)),
+marks AS (
+  SELECT k AS slice, max(event_time) - INTERVAL 1 HOUR AS mark
+  FROM (SELECT unnest([0, 1, 2, 3]) AS k) JOIN readings ON born <= k GROUP BY k),
+metrics AS (
+  SELECT intersection_id, window_end, CAST(sum(vehicle_count) AS BIGINT) AS total_vehicles,
+         CAST(sum(speed_centi) AS BIGINT) AS centi, count(*) AS n
+  FROM readings LEFT JOIN marks ON marks.slice = born - 1
+  WHERE mark IS NULL OR window_end > mark GROUP BY ALL),
+closed AS (
+  SELECT m.*, CAST(min(slice) AS INTEGER) AS slice FROM metrics m JOIN marks ON mark >= window_end GROUP BY ALL),
+told AS (SELECT * FROM incident_life JOIN arrivals USING (event_id)),
+newest AS (
+  SELECT c.*, arg_max(i.expires_at, (i.event_time, CAST(i.event_id AS VARCHAR))) AS until,
+         arg_max(i.severity, (i.event_time, CAST(i.event_id AS VARCHAR))) AS last_severity
+  FROM closed c LEFT JOIN told i
+    ON i.intersection_id = c.intersection_id AND i.event_time <= c.window_end AND i.born <= c.slice
+  GROUP BY ALL),
+rated AS (SELECT *, CASE WHEN until >= window_end THEN last_severity ELSE 'NONE' END AS sev FROM newest),
+moded AS (SELECT *, {_mode('total_vehicles', SPEED, 'sev')} AS traffic_mode FROM rated)
+SELECT slice, intersection_id, {_iso('window_end - INTERVAL 1 HOUR')} AS window_start, {_iso('window_end')} AS window_end,
+       total_vehicles, {SPEED} / 100.0::DOUBLE AS avg_speed_kmh, sev AS worst_severity, traffic_mode,
+       {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS INTEGER) AS red_duration_sec FROM moded""",
 }
