@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,15 @@ from greenwave.operators.incidents import incident_lifetimes, interval_join, sev
 from greenwave.operators.metrics import window_metrics
 from greenwave.plans import fixtures
 from greenwave.schemas import DECISION, INCIDENT, VEHICLE
-from greenwave.sources.sinks import last_emission
+from greenwave.sources.batches import last_emission
 from greenwave.sources.topics import stream_parquet
 from greenwave.streaming.decisions import stream_decisions
-from greenwave.streaming.jobs import run_available, run_slices
+from greenwave.streaming.incidents import stream_incidents
+from greenwave.streaming.jobs import counted, run_available, run_slices
 from greenwave.streaming.latency import stream_latency_summary as stream_latency
+from greenwave.streaming.live import live_state
 from greenwave.streaming.metrics import stream_metrics
+from greenwave.streaming.progress import counts_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,6 +364,43 @@ def stream_final_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in and out of each micro-batch of the incident feed and of the hour metrics."""
+    streams = {
+        "incidents": (lambda events: stream_incidents(fixtures.incidents_from(events)), "append"),
+        "metrics": (lambda events: stream_metrics(fixtures.vehicles_from(events), "1 hour"), "update"),
+    }
+    tables = []
+    for name, (make, mode) in streams.items():
+        seen: list[tuple[int, list]] = []
+        run_slices(
+            _slices(spark, sf_dir),
+            lambda events: counted(make(events), name),
+            mode,
+            f"counts-{name}",
+            lambda number, query, _: seen.append((number, query.recentProgress)),
+        )
+        for number, progress in seen:
+            rows = counts_frame(spark, [p for p in progress if p.numInputRows])
+            tables.append(rows.selectExpr(f"'{name}' AS stream", f"{number} AS slice", "input_rows", "output_rows"))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each intersection after each of four micro-batches, read from the state store."""
+    snapshots = []
+
+    def read(number: int, query, checkpoint: str) -> None:
+        batch = max(p.batchId for p in query.recentProgress if p.numInputRows)
+        snapshots.append(live_state(spark, checkpoint, batch).withColumn("slice", F.lit(number)))
+
+    def latest(events: DataFrame) -> DataFrame:
+        return state.latest_state(latency.receive(fixtures.reading_records(events), "received_at"))
+
+    run_slices(_slices(spark, sf_dir), latest, "update", "live_state", read)
+    return _state_columns(reduce(DataFrame.unionByName, snapshots))
+
+
 QUERIES: dict[str, Query] = {
     "decode_vehicle_json": decode_vehicle_json,
     "decode_incident_json": decode_incident_json,
@@ -397,4 +438,6 @@ QUERIES: dict[str, Query] = {
     "stream_latest_state": stream_latest_state,
     "stream_latency_summary": stream_latency_summary,
     "stream_final_decisions": stream_final_decisions,
+    "stream_batch_counts": stream_batch_counts,
+    "stream_live_state": stream_live_state,
 }

@@ -241,6 +241,18 @@ FOLD_STEP = """
  CASE WHEN acc.time IS NULL OR acc.expires_at < x.arrived OR x.rank > acc.rank OR x.time >= acc.time
       THEN x ELSE acc END"""
 
+#: A decision for every single reading.
+SINGLE = f""", single AS (
+  SELECT intersection_id, {_iso('event_time')} AS window_start,
+         {_iso('event_time + INTERVAL 1 SECOND')} AS window_end,
+         CAST(vehicle_count AS BIGINT) AS total_vehicles, speed_centi / 100.0::DOUBLE AS avg_speed_kmh,
+         'NONE' AS worst_severity,
+         {_mode('vehicle_count', 'speed_centi', "'NONE'")} AS traffic_mode,
+         {_iso('event_time + INTERVAL 1 SECOND')} AS decision_timestamp, 1000.0::DOUBLE AS e2e_latency_ms,
+         event_time + to_seconds(event_id * 7919 % 7200) AS arrived,
+         CAST(1000 * (event_id * 7919 % 7200 - 1) AS DOUBLE) AS latency_ms
+  FROM vehicle_events)"""
+
 #: Slice of the month in which a stream meets an event.
 BORN = "(CASE WHEN day(ts) < 9 THEN 0 WHEN day(ts) < 17 THEN 1 WHEN day(ts) < 25 THEN 2 ELSE 3 END)"
 
@@ -401,16 +413,7 @@ FROM incident_events i LEFT JOIN incident_types t ON i.incident_type = t.inciden
     "stream_window_metrics": _window_metrics("hour"),
     "stream_decisions": _decisions(LATEST),
     "stream_latest_state": _with() + f"""
-, single AS (
-  SELECT intersection_id, {_iso('event_time')} AS window_start,
-         {_iso('event_time + INTERVAL 1 SECOND')} AS window_end,
-         CAST(vehicle_count AS BIGINT) AS total_vehicles, speed_centi / 100.0::DOUBLE AS avg_speed_kmh,
-         'NONE' AS worst_severity,
-         {_mode('vehicle_count', 'speed_centi', "'NONE'")} AS traffic_mode,
-         {_iso('event_time + INTERVAL 1 SECOND')} AS decision_timestamp, 1000.0::DOUBLE AS e2e_latency_ms,
-         event_time + to_seconds(event_id * 7919 % 7200) AS arrived,
-         CAST(1000 * (event_id * 7919 % 7200 - 1) AS DOUBLE) AS latency_ms
-  FROM vehicle_events)
+{SINGLE}
 SELECT * EXCLUDE (arrived), {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS INTEGER) AS red_duration_sec,
        strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') AS received_at
 FROM single
@@ -459,4 +462,24 @@ moded AS (SELECT *, {_mode('total_vehicles', SPEED, 'sev')} AS traffic_mode FROM
 SELECT slice, intersection_id, {_iso('window_end - INTERVAL 1 HOUR')} AS window_start, {_iso('window_end')} AS window_end,
        total_vehicles, {SPEED} / 100.0::DOUBLE AS avg_speed_kmh, sev AS worst_severity, traffic_mode,
        {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS INTEGER) AS red_duration_sec FROM moded""",
+    "stream_batch_counts": _with() + f"""
+, born AS (SELECT event_id, event_type, {BORN} AS slice FROM events),
+incidents AS (
+  SELECT 'incidents' AS stream, slice, count(*) AS input_rows, count(*) FILTER (event_type = 'error') AS output_rows
+  FROM born GROUP BY slice),
+windows AS (
+  SELECT slice, count(DISTINCT (intersection_id, date_trunc('hour', event_time))) AS output_rows
+  FROM vehicle_events JOIN born USING (event_id) GROUP BY slice)
+SELECT * FROM incidents
+UNION ALL SELECT 'metrics', slice, input_rows, windows.output_rows FROM incidents JOIN windows USING (slice)""",
+    "stream_live_state": _with() + f"""
+{SINGLE},
+upto AS (
+  SELECT CAST(k AS INTEGER) AS slice, single.*
+  FROM (SELECT *, {BORN} AS born FROM (SELECT *, CAST(window_start AS TIMESTAMP) AS ts FROM single)) single
+  JOIN (SELECT unnest([0, 1, 2, 3]) AS k) ON born <= k)
+SELECT * EXCLUDE (arrived, born, ts), {GREEN} AS green_duration_sec, CAST(90 - {GREEN} AS INTEGER) AS red_duration_sec,
+       strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') AS received_at
+FROM upto
+QUALIFY row_number() OVER (PARTITION BY slice, intersection_id ORDER BY arrived DESC, window_start DESC) = 1""",
 }

@@ -46,7 +46,11 @@ def run_available(stream: DataFrame, output_mode: str, purpose: str) -> DataFram
 
 
 def run_slices(
-    slices: Sequence[DataFrame], make: Callable[[DataFrame], DataFrame], output_mode: str, purpose: str
+    slices: Sequence[DataFrame],
+    make: Callable[[DataFrame], DataFrame],
+    output_mode: str,
+    purpose: str,
+    after: Callable[[int, StreamingQuery, str], None] | None = None,
 ) -> DataFrame:
     """One query that meets ``slices`` one after the other; its rows with the ``slice`` they came from.
 
@@ -75,6 +79,8 @@ def run_slices(
             .start()
         )
         query.awaitTermination()
+        if after:
+            after(number, query, f"{folder}/checkpoint")
     return spark.read.schema(schema).parquet(f"{folder}/rows").drop("part")
 
 

@@ -15,7 +15,7 @@ from greenwave.operators.decode import decode_incidents, decode_vehicles
 from greenwave.operators.incidents import interval_join, severity_at
 from greenwave.operators.latency import latency_history, latency_summary
 from greenwave.operators.metrics import window_metrics
-from greenwave.sources.sinks import append_batches, compact_batches, last_emission
+from greenwave.sources.batches import append_batches, last_emission, read_batches
 from greenwave.sources.topics import read_json_lines, stream_json_lines
 from greenwave.streaming import decisions
 from greenwave.streaming.decisions import still_needed, severities, stream_decisions, stream_severities
@@ -81,7 +81,7 @@ def drain(spark, stream, mode, folder):
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{folder}/rows")
+    return read_batches(spark, f"{folder}/rows")
 
 
 def streams(spark, feed):
@@ -219,10 +219,10 @@ def test_whole_job_with_quarantine(spark, feed, tmp_path):
     )
     for query in queries:
         query.awaitTermination()
-    decision = spark.read.parquet(f"{tmp_path}/decisions").collect()
+    decision = read_batches(spark, f"{tmp_path}/decisions").collect()
     assert [(r.intersection_id, r.traffic_mode, r.worst_severity) for r in decision] == [("A", "DENSE", "HIGH")]
     assert decision[0].e2e_latency_ms > 0
-    bad = {(r.stream, r.reason) for r in spark.read.parquet(f"{tmp_path}/quarantine").collect()}
+    bad = {(r.stream, r.reason) for r in read_batches(spark, f"{tmp_path}/quarantine").collect()}
     assert bad == {
         ("vehicles", "malformed_json"),
         ("vehicles", "missing_intersection"),
@@ -274,11 +274,11 @@ def test_monitor_job(spark, feed, tmp_path):
     )
     for query in queries:
         query.awaitTermination()
-    received = spark.read.parquet(f"{tmp_path}/received")
+    received = read_batches(spark, f"{tmp_path}/received")
     assert received.count() == 3
     summary = latency_summary(latency_history(received)).first()
     assert (summary.sample_count, summary.max_latency_ms, summary.sla_3sec_compliance_pct) == (2, 3000.0, 50.0)
-    state = last_emission(spark.read.parquet(f"{tmp_path}/state"), "intersection_id")
+    state = last_emission(read_batches(spark, f"{tmp_path}/state"), "intersection_id")
     assert {(r.intersection_id, r.window_start) for r in state.collect()} == {("A", iso(5)), ("B", iso(10))}
 
 
@@ -352,22 +352,6 @@ def test_combining_takes_time_in_proportion_and_little_memory():
     assert max(map(len, out)) <= 20_000 and sum(map(len, out)) == 200_000
 
 
-def test_two_runs_into_one_path_keep_both(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "0").write_text("a\nb")
-    for run in range(2):
-        query = (
-            stream_json_lines(spark, f"{tmp_path}/in").writeStream
-            .foreachBatch(append_batches(f"{tmp_path}/out"))
-            .option("checkpointLocation", f"{tmp_path}/checkpoint{run}")
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
-    compact_batches(spark, f"{tmp_path}/out", f"{tmp_path}/small", 1)
-    assert spark.read.parquet(f"{tmp_path}/small").select("run").distinct().count() == 2
-
-
 class _Handle:
     """A state handle in memory."""
 
