@@ -3,9 +3,11 @@
 import random
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 
 from greenwave.functions import SEVERITY_RANK
+from greenwave.operators import fold
 from greenwave.operators.fold import fold_incidents
 from greenwave.operators.incidents import interval_join, severity_at
 
@@ -180,6 +182,53 @@ def test_fold_equals_sequential_replay(spark, partitions):
             assert got[key] == (want[0], *naive, want[3]), key
 
 
+@pytest.mark.parametrize("stretch, lookups", [(1, 10), (7, 3), (64, 1_000_000)])
+def test_fold_over_many_short_stretches(spark, monkeypatch, stretch, lookups):
+    """Chains over many stretches, with arrivals that tie, expire late and outrank each other."""
+    monkeypatch.setattr(fold, "STRETCH", stretch)
+    monkeypatch.setattr(fold, "LOOKUPS", lookups)
+    rng = random.Random(stretch)
+    rows = []
+    for key in ("a", "b", "c", "d"):
+        for i in range(90):
+            time = {"a": 300 - i, "b": rng.randrange(300), "c": i // 3, "d": 200 - i // 2}[key]
+            severity = rng.choice(["LOW", "HIGH"]) if key != "a" else "LOW"
+            rows.append((key, time, severity, rng.choice([400, 700]) if key != "c" else 5, 300 + i if key != "c" else i // 3))
+    got = {
+        r.intersection_id: (r.severity_rank, r.event_time, r.expires_at, r.severity)
+        for r in fold_incidents(frame(spark, rows), partitions=3).collect()
+    }
+    for key in ("a", "b", "c", "d"):
+        want = _fold([(r[4], i, r[1], r[2], r[3]) for i, r in enumerate(rows) if r[0] == key])
+        naive = [t.replace(tzinfo=None) for t in (minute(want[1]), minute(want[2]))]
+        assert got[key] == (want[0], *naive, want[3]), key
+
+
+def test_first_place_of_at_least():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 3, 7, 8, 9, 100):
+        values = rng.integers(0, 20, size)
+        start, bound = rng.integers(0, size + 1, 300), rng.integers(0, 22, 300)
+        want = [next((k for k in range(s, size) if values[k] >= b), size) for s, b in zip(start, bound)]
+        assert fold._first_at_least(start, bound, values).tolist() == want
+
+
+def test_a_million_reversed_arrivals_of_one_intersection(spark, monkeypatch):
+    """Nothing displaces anything: the first arrival stays, and no task holds more than a stretch."""
+    monkeypatch.setattr(fold, "STRETCH", 50_000)
+    n = 1_000_000
+    incidents = spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS event_id",
+        "'hot' AS intersection_id",
+        f"timestamp_seconds(1704067200 + {n} - id) AS event_time",
+        "'LOW' AS severity",
+        f"{2 * n} AS estimated_duration_min",
+        f"timestamp_seconds(1704067200 + {n} + id) AS arrival_ts",
+    )
+    found = fold_incidents(incidents, partitions=8).collect()
+    assert [(r.severity, r.event_time.timestamp()) for r in found] == [("LOW", 1704067200 + n)]
+
+
 def test_fold_of_ordered_arrivals_is_the_latest(spark):
     rng = random.Random(3)
     times = {k: sorted(rng.sample(range(1000), 50)) for k in ("a", "b")}
