@@ -19,6 +19,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+SPACED_LETTERS = BYTE_LETTERS | {0xFF: " "}
 
 
 def scale(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,7 @@ class PieceMemory:
     A byte-level tokenizer never joins characters across a space that follows a character
     that is no space, so texts are cut there, and an unknown chunk is cut by the tokenizer's
     own pattern into the pieces that the library's model then encodes, each once. The first
-    ``remembered`` chunks and pieces stay in memory; those that come later, which are the
+    ``remembered`` chunks, first chunks and pieces stay in memory; those that come later, which are the
     rarer ones, are encoded anew. Chunks beyond Latin letters and texts that hold an added token go
     to the library whole, and so does every text if the tokenizer is of another kind.
     """
@@ -159,6 +161,7 @@ class PieceMemory:
         self.model = Tokenizer(self.tool.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.remembered = remembered
+        self.heads: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -170,41 +173,56 @@ class PieceMemory:
         text = text or ""
         if not self.plain or any(t in text for t in self.added):
             return np.frombuffer(self.whole(text), np.uint32)
-        first, *rest = CUT.split(text) if ODD.search(text) else text.split(" ")
-        known, found = self.chunks, {}
-        missing = {c for c in rest if c not in known}
-        if missing:
-            found = self._chunks(missing)
-            if len(known) + len(found) <= self.remembered:
-                known.update(found)
-        get = known.get
-        body = [get(c) or found[c] for c in rest]
-        return np.frombuffer(b"".join([self.whole(first), *body]), np.uint32)
-
-    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks, each read behind a space."""
-        out, cut = {}, {}
-        for c in chunks:
-            if c.isascii() or max(c) < "\u0250":
-                cut[c] = PIECE.findall(" " + c)
-            else:
-                out[c] = self.whole(" " + c)
+        odd = ODD.search(text) is not None
+        first, *rest = CUT.split(text) if odd else text.split(" ")
+        body = list(map(self.chunks.get, rest, repeat(b"")))  # known ids are never empty
+        if not all(body):
+            missing = [k for k, ids in enumerate(body) if not ids]
+            # Chunks are joined in any order: none may end in space, which only a text's last one can.
+            found = self._chunks({rest[k] for k in missing}, " ", not odd and not text[-1].isspace())
+            if len(self.chunks) + len(found) <= self.remembered:
+                self.chunks.update(found)
+            for k in missing:
+                body[k] = found[rest[k]]
+        head = self.heads.get(first)
+        if head is None:
+            head = self._chunks({first}, "", False)[first]
+            if len(self.heads) < self.remembered:
+                self.heads[first] = head
+        return np.frombuffer(b"".join([head, *body]), np.uint32)
+
+    def _chunks(self, chunks: set[str], before: str, one_space: bool) -> dict[str, bytes]:
+        """Ids of chunks, each read behind ``before``.
+
+        With ``one_space`` no chunk holds a space or ends in white space, so that all are cut into pieces
+        at once: a piece that begins with a space begins a chunk.
+        """
+        out = {c: self.whole(before + c) for c in chunks if not c.isascii() and max(c) >= "\u0250"}
+        plain = [c for c in chunks if c not in out]
+        if one_space and before == " ":
+            pieces = PIECE.findall(" " + " ".join(plain)) if plain else []
+            starts = [k for k, p in enumerate(pieces) if p[0] == " "]
+            cut = [pieces[a:b] for a, b in zip(starts, [*starts[1:], len(pieces)])]
+        else:
+            cut = [PIECE.findall(before + c) for c in plain]
         known, fresh = self.pieces, {}
-        missing = list({p for pieces in cut.values() for p in pieces if p not in known})
+        missing = [p for p in {p for pieces in cut for p in pieces} if p not in known]
         if missing:
-            mapped = [p.encode().decode("latin-1").translate(BYTE_LETTERS) for p in missing]
-            got = self.model.encode(" ".join(mapped), add_special_tokens=False)
+            # 0xFF is no byte of UTF-8: it stands between pieces.
+            joined = b"\xff".join(map(str.encode, missing)).decode("latin-1").translate(SPACED_LETTERS)
+            got = self.model.encode(joined, add_special_tokens=False)
             ids, at = np.array(got.ids, np.uint32), np.array(got.word_ids)
-            ends = np.searchsorted(at, np.arange(len(missing)), side="right").tolist()
-            raw, begin = ids.tobytes(), 0
-            for p, end in zip(missing, ends, strict=True):
-                fresh[p] = raw[4 * begin : 4 * end]
-                begin = end
+            ends = (4 * np.searchsorted(at, np.arange(len(missing)), side="right")).tolist()
+            raw = ids.tobytes()
+            fresh = {p: raw[a:b] for p, a, b in zip(missing, [0, *ends], ends)}
             if len(known) + len(fresh) <= self.remembered:
                 known.update(fresh)
-        get = known.get
-        for c, pieces in cut.items():
-            out[c] = b"".join([get(p) or fresh[p] for p in pieces])
+        if not fresh or missing[0] in known:
+            out.update((c, b"".join(map(known.__getitem__, pieces))) for c, pieces in zip(plain, cut))
+        else:
+            out.update(
+                (c, b"".join([known.get(p) or fresh[p] for p in pieces])) for c, pieces in zip(plain, cut)
+            )
         return out
 
 
