@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenwave.llm.common import broadcast_below, stored
@@ -159,21 +159,25 @@ def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int,
     )
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, candidates: bool = False) -> DataFrame:
     """Pairs (``key``, ``pivot``) with ``linked``, ``o`` (overlap) and tokens outside the pivot.
 
-    Pairs without a common prefix token under both further orders cannot be linked, but the
-    pivot's overlap is needed for the next round, so those of open groups are counted too.
+    Pairs without a common prefix token under both further orders cannot be linked; with
+    ``candidates`` they leave before overlaps are counted. (A first pivot's overlaps are needed of all.)
     """
     left = sets.select("key", "n", "tokens", "low", "high")
     right = sets.selectExpr("key AS pivot", "n AS m", "tokens AS others", "low AS low_2", "high AS high_2")
-    found = pairs.join(left, "key").join(right, "pivot").selectExpr(
+    found = pairs.join(left, "key").join(right, "pivot").withColumn(
+        "candidate",
+        F.expr(f"""{percent} * greatest(n, m) <= 100 * least(n, m)
+            AND arrays_overlap(low, low_2) AND arrays_overlap(high, high_2)"""),
+    )
+    found = (found.where("candidate") if candidates else found).selectExpr(
         "key",
         "pivot",
         "n",
         "m",
-        f"""{percent} * greatest(n, m) <= 100 * least(n, m)
-            AND arrays_overlap(low, low_2) AND arrays_overlap(high, high_2) AS candidate""",
+        "candidate",
         "array_except(tokens, others) AS outside",
         "size(tokens) AS kept",
     )
@@ -188,15 +192,29 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _pivot_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each bucket's members beside its pivot: the open member whose tokens are commonest."""
-    scored = members.join(sets.select("key", "common"), "key")
-    pivots = scored.groupBy("bucket").agg(
-        F.max(F.when(F.col("open"), F.struct("common", "key")))["key"].alias("pivot"),
-        F.count(F.lit(1)).alias("size"),
+def _first_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each bucket's members beside its pivot, the one whose tokens are commonest."""
+    pivots = members.join(sets.select("key", "common"), "key").groupBy("bucket")
+    pivots = pivots.agg(F.max(F.struct("common", "key"))["key"].alias("pivot"))
+    paired = members.join(pivots, "bucket").where("key <> pivot")
+    return paired.select("key", "pivot").distinct()
+
+
+def _later_pairs(members: DataFrame, sets: DataFrame, many: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Open members beside all others of other components in their buckets, ``many`` of each bucket.
+
+    The pairs, and the bucket members that were such pivots. Those whose tokens are commonest go first.
+    """
+    order = Window.partitionBy("bucket").orderBy(F.desc("common"), "key")
+    ranked = members.where("open").join(sets.select("key", "common"), "key")
+    turns = ranked.withColumn("turn", F.row_number().over(order)).where(f"turn <= {many}")
+    pivots = turns.selectExpr("bucket", "key AS pivot", "key_c AS pivot_c", "n AS m", "turn")
+    on = F.expr(
+        f"key <> pivot AND key_c <> pivot_c AND {percent} * greatest(n, m) <= 100 * least(n, m)"
     )
-    paired = members.join(pivots.where("size > 1 AND pivot IS NOT NULL"), "bucket")
-    return paired.where("key <> pivot").select("key", "pivot").distinct()
+    paired = members.join(pivots, (members["bucket"] == pivots["bucket"]) & on)
+    paired = paired.selectExpr("least(key, pivot) AS key", "greatest(key, pivot) AS pivot").distinct()
+    return paired, turns.select("bucket", "key")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
@@ -208,43 +226,60 @@ def _labelled(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
-def _next_members(checked: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Buckets and pairs that can still hold a link between different components.
+def _next_members(checked: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Buckets that can still hold a link between different components, with their members.
+
+    Let x and a be linked members of a pivot's bucket, in different components; at least one is
+    *open*, that is, not in the pivot's. x has o(x) tokens in common with the pivot.
+
+    * Out of need(x) common tokens need(x) - o(x) lie outside the pivot, and the same for a. Tokens
+      count that two components of the group hold outside the pivot. Who has fewer of them than that
+      has no partner; of the others prefixes of these tokens meet.
+    * Only if o(x) >= need(x) and o(a) >= need(a) may all lie inside the pivot. Were both as long as
+      the pivot, the open one would be linked to it; so those that are open or shorter meet in
+      prefixes of all the tokens that two components of these hold.
 
-    Let x and a be members of a pivot's bucket, in different components. Their overlap is
-    at most min(o(x), o(a)) inside the pivot. If that is less than a link needs, the rest
-    lies outside the pivot: need(x) - o(x) tokens at least, so that prefixes of the outside
-    tokens (rarest first) meet in a bucket. Else the two are listed as a pair.
+    Both prefixes are in order of a token's frequency within the group, rarest first.
     """
     known = stored(_labelled(checked, labels, "key", "pivot"), "known").withColumn(
         "open", F.expr("key_c <> pivot_c")
     )
     groups = known.where("open").select("pivot").distinct()
-    busy = known.join(groups, "pivot")
-    prefix = f"""slice(outside, 1, CAST(
-        size(outside) + 1 - greatest({_need("n", percent)} - o, 1) AS INT))"""
-    # A set without outside tokens lies within the pivot: it has no partner outside.
-    members = busy.where(f"size(outside) >= greatest({_need('n', percent)} - o, 1)").select(
-        F.expr(f"explode({prefix})").alias("token"), "pivot", "key", "open", "key_c", "n"
-    ).select(F.xxhash64("pivot", "token").alias("bucket"), "key", "open", "key_c", "n")
-    live = members.groupBy("bucket").agg(
-        F.min("key_c").alias("low"), F.max("key_c").alias("high")
+    need = _need("n", percent)
+    busy = known.join(groups, "pivot").withColumn("short", F.expr(f"greatest({need} - o, 1)"))
+    about = ["pivot", "key", "open", "key_c", "n"]
+    outside = busy.where("size(outside) >= short").select(
+        *about, "short", F.lit(False).alias("inside"), F.explode("outside").alias("token")
+    )
+    within = busy.where(f"o >= {need} AND (open OR n < m)").select(*about, F.expr(need).alias("short"))
+    within = within.join(sets.select("key", "tokens"), "key").select(
+        *about, "short", F.lit(True).alias("inside"), F.explode("tokens").alias("token")
     )
-    members = members.join(live.where("low <> high"), "bucket")
-    members = members.select("bucket", "key", "open", "key_c", "n")
-    one = busy.where("open").selectExpr("pivot", "key", "key_c", "n", "o")
-    two = busy.where("n < m").selectExpr(
-        "pivot", "key AS partner", "key_c AS partner_c", "n AS partner_n", "o AS partner_o"
+    held = stored(outside.unionByName(within), "tokens")
+    group = ["pivot", "inside", "token"]
+    live = held.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("df"), F.min("key_c").alias("low"), F.max("key_c").alias("high")
     )
-    pairs = (
-        one.join(two, "pivot")
-        .where("key_c <> partner_c AND key <> partner")
-        .where(f"{percent} * greatest(n, partner_n) <= 100 * least(n, partner_n)")
-        .where(f"least(o, partner_o) >= {_overlap_need('n', 'partner_n', percent)}")
-        .selectExpr("key", "partner AS pivot")
-        .distinct()
+    live = live.where("low <> high").select(*group, "df")
+    lists = held.join(live, group).groupBy("pivot", "inside", "key").agg(
+        F.first("open").alias("open"),
+        F.first("key_c").alias("key_c"),
+        F.first("short").alias("short"),
+        F.first("n").alias("n"),
+        F.collect_list(F.struct("df", "token")).alias("found"),
     )
-    return members.distinct(), pairs
+    lists = lists.where("size(found) >= short").withColumn(
+        "prefix", F.expr("slice(array_sort(found), 1, CAST(greatest(size(found) - short + 1, 0) AS INT)).token")
+    )
+    members = lists.select("open", "key", "key_c", "n", "pivot", "inside", F.explode("prefix").alias("token"))
+    return _mixed(members.select(F.xxhash64("pivot", "inside", "token").alias("bucket"), "key", "key_c", "open", "n"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets with several components, stored."""
+    members = stored(members, "members")
+    live = members.groupBy("bucket").agg(F.min("key_c").alias("low"), F.max("key_c").alias("high"))
+    return stored(members.join(live.where("low <> high").select("bucket"), "bucket"), "open")
 
 
 def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
@@ -257,8 +292,7 @@ def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     a component's id unless all its members have none. An empty frame gives an empty frame.
 
     ``share``: the first order asks for one shared token in ``share`` (see ``prefix_extra``).
-    ``rounds``: pivot rounds before what is still open is listed pair by pair; the result
-    does not depend on it. ``broadcast_rows``: ids of sets that remain after the first order
+    ``broadcast_rows``: ids of sets that remain after the first order
     are broadcast up to this count and shuffled beyond.
     Sets are compared by 64-bit hashes of shingles and of whole sets.
     """
@@ -278,7 +312,6 @@ def _components(
     width: int = 5,
     percent: int = 75,
     share: int = 16,
-    rounds: int = 6,
     broadcast_rows: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their sets' keys; keys with the ``component``, ``copies``, ``least_id`` and ``first`` row.
@@ -293,31 +326,23 @@ def _components(
     classes = stored(classes, "classes")
     survivors = _survivors(docs, classes, width, percent, share)
     sets = _rare_first(docs, survivors, width, percent, broadcast_rows)
-    members = sets.select(F.explode("prefix").alias("bucket"), "key", F.lit(True).alias("open"))
-    links, pairs, labels = None, None, None
-    for step in range(rounds + 1):
-        last = step == rounds
-        if last:  # whatever the rounds left open, pair by pair
-            other = members.selectExpr("bucket", "key AS pivot", "key_c AS pivot_c", "n AS m")
-            paired = (
-                members.join(other, "bucket")
-                .where("key < pivot AND key_c <> pivot_c")
-                .where(f"{percent} * greatest(n, m) <= 100 * least(n, m)")
-                .select("key", "pivot")
-                .distinct()
-            )
-        else:
-            paired = _pivot_pairs(members, sets)
-        paired = paired if pairs is None else paired.unionByName(pairs).distinct()
-        checked = stored(_verify(paired, sets, percent), "checked")
-        new = checked.where("linked").selectExpr("key AS a", "pivot AS b")
-        links = new if links is None else links.unionByName(new)
-        labels = stored(connected_components(links), "labels")
-        if last:
-            break
-        members, pairs = (stored(x, "open") for x in _next_members(checked, labels, percent))
-        if members.isEmpty() and pairs.isEmpty():
-            break
+    members = sets.select(F.explode("prefix").alias("bucket"), "key")
+    checked = stored(_verify(_first_pairs(members, sets), sets, percent), "checked")
+    links = checked.where("linked").selectExpr("key AS a", "pivot AS b")
+    labels = stored(connected_components(links), "labels")
+    members, many = _next_members(checked, labels, sets, percent), 4
+    seen = checked.selectExpr("least(key, pivot) AS key", "greatest(key, pivot) AS pivot")
+    while not members.isEmpty():
+        pairs, turns = _later_pairs(members, sets, many, percent)
+        pairs = stored(pairs.join(seen, ["key", "pivot"], "left_anti"), "pairs")
+        checked = stored(_verify(pairs, sets, percent, True).where("linked").select("key", "pivot"), "checked")
+        if not checked.isEmpty():
+            links = links.unionByName(checked.selectExpr("key AS a", "pivot AS b"))
+            labels = stored(connected_components(links), "labels")
+        seen, many = seen.unionByName(pairs), many * 8
+        # A pivot is done with its bucket; who has joined the component of all others is, too.
+        left = members.join(turns, ["bucket", "key"], "left_anti").drop("key_c")
+        members = _mixed(_labelled(left, labels, "key").select("bucket", "key", "key_c", "open", "n"))
     joined = classes.join(labels, classes["key"] == labels["node"], "left").select(
         "key", "least_id", "copies", "first", F.coalesce("component", "key").alias("component")
     )

@@ -81,7 +81,7 @@ def corpus():
 
 def test_near_duplicates(spark, corpus):
     docs = frame(spark, [(i, t, "s") for i, t in corpus])
-    got = ngram_join.near_duplicate_classes(docs, rounds=2).collect()
+    got = ngram_join.near_duplicate_classes(docs).collect()
     assert len(got) == len(corpus)
     found = sorted(tuple(r) for r in got if r["doc_id"] is not None)
     assert found == brute_classes(corpus)
