@@ -8,6 +8,11 @@ an address that an allow rule fits neither takes nor passes on a block.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from html import unescape
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +31,115 @@ def path_of(url: str) -> str:
     return f"coalesce(regexp_extract({url}, '^(?s)(?:(?!://).)*://[^/?#]*([^?#]*)', 1), '')"
 
 
-def canonical_target(html: str) -> str:
-    """SQL: the address of the first canonical link or immediate refresh in ``html``, else null."""
-    link = r"(?is)<link\\b(?=[^>]*\\brel\\s*=\\s*[\"\']?canonical\\b)[^>]*\\bhref\\s*=\\s*[\"\']?([^\"\'\\s>]+)"
-    refresh = r"(?is)<meta\\b(?=[^>]*\\bhttp-equiv\\s*=\\s*[\"\']?refresh\\b)[^>]*\\burl\\s*=\\s*[\"\']?([^\"\'\\s>]+)"
-    return (
-        f"nullif(coalesce(nullif(regexp_extract({html}, '{link}', 1), ''), "
-        f"regexp_extract({html}, '{refresh}', 1)), '')"
-    )
+#: Markup whose content holds no links of the page.
+SILENT = re.compile(r"(?i)<!--|<(script|style|textarea|title|xmp)(?=[\s/>])")
+TAG = re.compile(r"(?i)<(link|meta|base)(?=[\s/>])")
+NAME = re.compile(r"[\s/]*([^\s=>/][^\s=>/]*)?\s*(=\s*)?")
+PLAIN = re.compile(r"[^\s>]*")
+#: Scheme, authority, path, query of an address (RFC 3986, appendix B).
+PARTS = re.compile(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?")
+
+
+def _audible(html: str) -> str:
+    """``html`` without comments, scripts and other text that only looks like tags; what is open ends it."""
+    out, at = [], 0
+    while found := SILENT.search(html, at):
+        out.append(html[at : found.start()])
+        if found[1]:
+            end = re.compile(rf"(?i)</{found[1]}(?=[\s/>])").search(html, found.end())
+            at = end.end() if end else len(html)
+        else:
+            end = html.find("-->", found.end())
+            at = end + 3 if end >= 0 else len(html)
+    return "".join([*out, html[at:]])
+
+
+def _attributes(html: str, at: int) -> tuple[dict[str, str], int]:
+    """Attributes of the tag whose name ends at ``at`` (of equal ones the first), and where it ends."""
+    found: dict[str, str] = {}
+    while at < len(html) and html[at] != ">":
+        name = NAME.match(html, at)
+        start, at, value = at, name.end(), ""
+        if name[2]:
+            if html[at : at + 1] in ('"', "'") and (end := html.find(html[at], at + 1)) >= 0:
+                value, at = html[at + 1 : end], end + 1
+            else:
+                plain = PLAIN.match(html, at)
+                value, at = plain[0], plain.end()
+        if name[1]:
+            found.setdefault(name[1].lower(), unescape(value).strip())
+        at = max(at, start + 1)
+    return found, at
+
+
+def resolved(base: str, target: str) -> str:
+    """The absolute address that ``target`` names on a page at ``base`` (RFC 3986, section 5.2)."""
+    scheme, host, path, query = PARTS.match(target).groups()
+    b_scheme, b_host, b_path, b_query = PARTS.match(base).groups()
+    if scheme is None:
+        scheme = b_scheme
+        if host is None:
+            host = b_host
+            if not path:
+                path, query = b_path, b_query if query is None else query
+            elif not path.startswith("/"):
+                path = (b_path.rpartition("/")[0] or "") + "/" + path
+    if host is None:
+        return f"{scheme}:{path}"
+    kept: list[str] = []
+    parts = path.split("/")
+    for part in parts:
+        if part == "..":
+            kept = kept[:-1] if len(kept) > 1 else kept
+        elif part != ".":
+            kept.append(part)
+    if parts[-1] in (".", ".."):
+        kept.append("")
+    return f"{scheme}://{host}{'/'.join(kept)}" + ("" if query is None else f"?{query}")
+
+
+def canonical_target(html: str | None, url: str | None) -> str | None:
+    """The absolute address of the first canonical link, else of the first immediate refresh, or null.
+
+    ``rel`` is a list of words. Character references are decoded, and relative addresses are
+    resolved against the page's own or its ``<base>``. Comments and scripts hold no links.
+    """
+    if not html or not url or "://" not in url or not TAG.search(html):
+        return None
+    html = _audible(html)
+    base = refresh = canonical = None
+    at = 0
+    while canonical is None and (tag := TAG.search(html, at)):
+        found, at = _attributes(html, tag.end())
+        kind = tag[1].lower()
+        if kind == "base":
+            base = base or found.get("href")
+        elif kind == "link" and "canonical" in found.get("rel", "").lower().split():
+            canonical = found.get("href") or None
+        elif kind == "meta" and refresh is None and found.get("http-equiv", "").lower() == "refresh":
+            wait = re.match(r"(?is)0*(?:\.0*)?\s*[;,]\s*url\s*=\s*[\"']?([^\"']+)", found.get("content", ""))
+            refresh = wait and wait[1].strip()
+    target = canonical or refresh
+    if not target:
+        return None
+    target = resolved(resolved(url, base) if base else url, target)
+    return target if "://" in target else None
+
+
+def page_targets(pages: DataFrame) -> DataFrame:
+    """``page_id``, ``url``, ``target`` of every row of ``pages`` (``canonical_target``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("html").to_pylist(), batch.column("url").to_pylist())
+            targets = [canonical_target(html, url) for html, url in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(targets, pa.string())],
+                ["page_id", "url", "target"],
+            )
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, target string")
 
 
 def rule_frame(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -47,7 +153,7 @@ def fit_rules(urls: DataFrame, rules: DataFrame, broadcast_rows: int = 1_000_000
     """``urls`` (``url_key``, ``host``, ``path``) with the ``rule`` and ``fixed`` verdict that fit best, or null.
 
     A rule fits its host and subdomains where the path starts with the rule's. The longest
-    host wins, then the longest path, then allow. Hosts are looked up by each of their
+    rule (host and path together) wins, then the longest host, then allow. Hosts are looked up by each of their
     suffixes, as many as they have labels, so rules join by equality. Rules are broadcast
     up to ``broadcast_rows``.
     """
@@ -82,22 +188,19 @@ def judge(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None) ->
     and ``www.`` aside their host, path and query are (fragments do not count). ``rule`` is
     the rule that fits the address, else null; then the verdict is ``block`` if the rule of
     an equivalent address blocks (``alias_of`` names the least such rule), else ``allow``.
-    Null addresses are allowed. Pages that repeat are rows of their own.
+    Null addresses are allowed. Pages that repeat are rows of their own, other columns are ignored,
+    and an empty table gives no rows.
 
     Rules are fitted to distinct addresses, so one address on very many rows is one lookup.
     """
-    canonical = canonical_target("html") if "html" in pages.columns else "CAST(NULL AS STRING)"
-    rows = pages.select("page_id", "url", F.expr(canonical).alias("target"))
+    if "html" in pages.columns:
+        rows = page_targets(pages)
+    else:
+        rows = pages.select("page_id", "url", F.lit(None).cast("string").alias("target"))
     key = lambda u: (
         f"concat(regexp_replace({host_of(u)}, '^www[.]', ''), "
         f"coalesce(regexp_extract({u}, '^(?s)(?:(?!://).)*://[^/?#]*([^#]*)', 1), {u}))"
     )
-    absolute = """CASE WHEN target IS NULL OR url IS NULL THEN NULL
-        WHEN target LIKE '%://%' THEN target
-        WHEN startswith(target, '//') THEN concat('http:', target)
-        WHEN startswith(target, '/') THEN concat(regexp_extract(url, '^((?s)(?:(?!://).)*://[^/?#]*)', 1), target)
-        END"""
-    rows = rows.withColumn("target", F.expr(absolute))
     rows = stored(rows.selectExpr("page_id", "url", "target", f"{key('url')} AS node", f"{key('target')} AS other"), "pages")
     links = rows.where("other IS NOT NULL AND other <> node").selectExpr("node AS a", "other AS b")
     ends = rows.where("target IS NOT NULL").select(F.col("target").alias("url"), F.col("other").alias("node"))
