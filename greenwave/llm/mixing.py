@@ -74,15 +74,8 @@ def _thresholds(rows: DataFrame, extra: dict[str | None, float]) -> DataFrame:
     return spark.createDataFrame(found, "at string, cut long, part long, whole long")
 
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
-
-    ``size`` is the number of words (null text: 0). ``taken`` counts repeats: of a target
-    of r times the source, every row is taken floor(r) times and the rest goes to the rows of
-    least hash of (``doc_id``, text). Of the row at which the budget ends as many words are
-    taken as are left; equal rows there (same id and text) share these evenly.
-    No row exceeds ``most`` times its size. Null sources are one source. Other columns of
-    ``docs`` are ignored.
+def _planned(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
+    """``mix`` with ``mark`` (hash of ``doc_id`` and text) and ``source``, by which rows are known.
 
     The driver holds one number per source.
     """
@@ -109,25 +102,43 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: int = 2) -
         WHEN mark > cut OR whole = 0 THEN 0
         ELSE (size * part) div whole END)"""
     return rows.join(broadcast_below(plan, 1_000_000), F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "size", "source_size", "target", F.expr(taken).alias("taken"), "mark"
+        "doc_id", "size", "source_size", "target", F.expr(taken).alias("taken"), "mark", "source"
     )
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
+
+    ``size`` is the number of words (null text: 0). ``taken`` counts repeats: of a target
+    of r times the source, every row is taken floor(r) times and the rest goes to the rows of
+    least hash of (``doc_id``, text). Of the row at which the budget ends as many words are
+    taken as are left; equal rows there (same id and text) share these evenly.
+    No row exceeds ``most`` times its size. Null sources are one source. Other columns of
+    ``docs`` are ignored.
+
+    ``options``: ``weights``, ``share`` and ``most`` of ``source_targets``. An empty table gives no rows.
+    """
+    return _planned(docs, **options).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (0, 1, 2, ... times).
 
-    The row at which a source's budget ends is taken whole or not, whichever is nearer.
-
-    Rows without words cost nothing: they stay once.
+    The row at which a source's budget ends is taken whole or not, whichever is nearer. Rows
+    without words cost nothing: they stay once. A row is known by id, text and source; columns
+    may have any names.
     """
-    plan = mix(docs, **options).selectExpr(
-        "doc_id AS mixed_id", "mark", "IF(size = 0, 1, CAST(round(taken / size) AS INT)) AS copies"
-    )
-    plan = plan.distinct()
-    marked = docs.withColumn("_mark", F.expr(f"xxhash64(doc_id, text) & {(1 << BITS) - 1}"))
-    on = (marked["_mark"] == plan["mark"]) & marked["doc_id"].eqNullSafe(plan["mixed_id"])
-    return (
-        marked.join(plan, on)
-        .withColumn("_copy", F.expr("explode(array_repeat(0, copies))"))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = _planned(docs, **options).selectExpr(
+        "doc_id", "source", "mark", "IF(size = 0, 1, CAST(round(taken / size) AS INT)) AS copies"
+    ).distinct()
+    # The whole row lies in one column, so that its names cannot clash with those used here.
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("row_id"),
+        F.col("source").cast("string").alias("row_source"),
+        F.expr(f"xxhash64(doc_id, text) & {(1 << BITS) - 1}").alias("row_mark"),
     )
+    same = (F.col("row_mark") == F.col("mark")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
+    same = same & F.col("row_source").eqNullSafe(F.col("source"))
+    copied = whole.join(plan, same).select("row", F.explode(F.expr("array_repeat(0, copies)")).alias("copy"))
+    return copied.select("row.*")

@@ -52,7 +52,7 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("mark")
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -358,3 +358,38 @@ def test_wordless_texts_score_lowest(spark):
     blank = [found[k] for k in (3, 4, 5, 6)]
     assert len(set(blank)) == 1 and all(blank[0] <= found[k] for k in (0, 1, 2))
     assert toxicity.score(frame(spark, []), model).collect() == []
+
+
+def test_mixed_documents_with_one_text_under_several_sources_and_clashing_names(spark):
+    names = "doc_id long, text string, source string, copies int, mark long, mixed_id long, row string, copy int, _mark int"
+    rows = [(1, "same words here " * 5, s, 7, 8, 9, "r", 1, 2) for s in ("a", "b", "c")]
+    rows += [(k, f"other {k} " * 9, "abc"[k % 3], 1, 2, 3, "x", 4, 5) for k in range(2, 20)]
+    rows += [(None, None, None, None, None, None, None, None, None), (30, "", "a", 1, 2, 3, "y", 0, 0)]
+    docs = spark.createDataFrame(rows, names)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    times = Counter(map(tuple, mixed.collect()))
+    assert set(times) <= set(rows) and max(times.values()) <= 2
+    plan = {(r["doc_id"], r["source"]): r for r in mixing._planned(docs).collect()}
+    for row in rows:
+        r = plan[(row[0], row[2])]
+        assert times[row] == (1 if r["size"] == 0 else round(r["taken"] / r["size"]))
+    assert mixing.mixed_documents(docs.where("false")).collect() == []
+
+
+def test_mix_takes_what_its_histograms_would_by_sorting(spark):
+    """``taken`` row by row against sorting each source by hash."""
+    rng = random.Random(9)
+    rows = [(k, "w " * rng.randrange(1, 60), "abcd"[min(3, rng.randrange(9))]) for k in range(300)]
+    got = {r["doc_id"]: r for r in mixing._planned(frame(spark, rows)).collect()}
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    for source, target in mixing.source_targets(dict(sizes)).items():
+        assert all(got[i]["target"] == target and got[i]["source_size"] == sizes[s] for i, _, s in rows if s == source)
+        whole, left = divmod(target, sizes[source])
+        left = target - whole * sizes[source]
+        for r in sorted((got[i] for i, _, s in rows if s == source), key=lambda r: r["mark"]):
+            extra = min(r["size"], max(0, int(left)))
+            assert r["taken"] == min(2 * r["size"], int(whole) * r["size"] + extra)
+            left -= r["size"]
