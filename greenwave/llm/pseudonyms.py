@@ -37,8 +37,16 @@ RUN = rf"(?<![\w+-])(?<!\d\.\d{{1,3}}\.)(?!{OTHER})(?=\d(?:[ -]?\d){{12}}){GROUP
 SHAPES = ("4-4-4-4", "4-6-5", "4-6-4", "4-4-4-4-3", "4-4-4-1", "4-3-3-3", "4-5-6", "8-8", "6-13")
 #: Four groups of four that are no valid card are no telephone number either.
 NO_CARD = r"(?<![\w-])\d{4}(?:[ -]\d{4}){3}(?![\w-])"
+#: Numbers that look like telephone numbers: after "ISBN", with thousands apart, decimals, years.
+NO_PHONE = "|".join((
+    r"ISBN(?:-1[03])?:? ?\d[\d -]{8,15}[\dXx](?!\w)",
+    r"(?<![\w+.,-])\d{1,3}(?:\.\d{3}){2,}(?!\w|\.\d|-\d)",
+    r"(?<![\w+.,-])(?!0)\d{1,3}(?: \d{3})* 000(?: \d{3})*(?!\w|-\d| \d)",
+    r"(?<![\w+.])\d{1,4}\.\d{5,}(?![\w.-])",
+    r"(?<![\w+-])(?:19|20)\d\d(?:[ -](?:19|20)\d\d){2,}(?!\w|-\d)",
+))
 #: Earlier kinds win where two could begin at the same place. Cards have been cut out before.
-PATTERN = "|".join((EMAIL, DATE, SOCIAL, ADDRESS, PAIRS, NO_CARD, PHONE))
+PATTERN = "|".join((EMAIL, DATE, SOCIAL, ADDRESS, PAIRS, NO_CARD, NO_PHONE, PHONE))
 #: Stands for a card, or for itself, while the text around is searched.
 MARK = "\ue000"
 #: Days from 1900-01-01 up to 2099-12-31: 73049 = 319 * 229.
@@ -198,7 +206,7 @@ def pseudonym(x: str, key: str, reverse: bool = False) -> str:
         WHEN x RLIKE {_quoted('^(?:' + DATE + ')$')} THEN {_date('x', key, reverse)}
         WHEN x RLIKE {_quoted('^(?:' + SOCIAL + ')$')} THEN {_social('x', key, reverse)}
         WHEN x RLIKE {_quoted('^(?:' + ADDRESS + ')$')} THEN {_address('x', key, reverse)}
-        WHEN x RLIKE {_quoted('^(?:' + NO_CARD + ')$')} THEN NULL
+        WHEN x RLIKE {_quoted('^(?:' + NO_CARD + '|' + NO_PHONE + ')$')} THEN NULL
         ELSE {_phone('x', key, reverse)} END"""
     return body if x == "x" else _let(x, "x", body)
 

@@ -242,3 +242,79 @@ def test_permutation_is_one_to_one(spark):
     frame = spark.range(319 * 229).selectExpr("id", f"{pseudonyms.permuted('id div 229', 'id % 229', '319', '229', 'date', 'k')} AS p")
     row = frame.selectExpr("p.l * 229 + p.r AS v").selectExpr("count(DISTINCT v) AS n", "min(v) AS low", "max(v) AS high").first()
     assert tuple(row) == (319 * 229, 0, 319 * 229 - 1)
+
+
+@pytest.mark.parametrize("html, target", [
+    ('<link rel="canonical" href="../de/z">', "http://h.com/de/z"),
+    ("<link rel=canonical href=y>", "http://h.com/a/y"),
+    ("<link rel=canonical href='?id=3&amp;x=1#f'>", "http://h.com/a/b?id=3&x=1"),
+    ('<link rel="alternate Canonical" href="//o.org/./p/../q/.">', "http://o.org/q/"),
+    ('<!-- <link rel=canonical href="/no"> --><link href="/yes" rel=canonical>', "http://h.com/yes"),
+    ('<script>"<link rel=canonical href=/no>"</script>', None),
+    ('<link title="a > b" rel="canonical" href="/t">', "http://h.com/t"),
+    ('<link rel="canonicals" href="/no"><link rel=canonical>', None),
+    ('<meta http-equiv="refresh" content="0;URL=\'/r&#47;s\'">', "http://h.com/r/s"),
+    ('<meta http-equiv="refresh" content="30; url=/later">', None),
+    ('<meta http-equiv=refresh content="0; url=/r"><link rel=canonical href=/c>', "http://h.com/c"),
+    ('<base href="https://b.net/x/y"><link rel=canonical href="z">', "https://b.net/x/z"),
+    ('<link rel=canonical href="mailto:a@b.c">', None),
+    ("<link rel=canonical href=/p/%2e%2e", "http://h.com/p/%2e%2e"),
+    ("<!-- open <link rel=canonical href=/no>", None),
+    ("", None),
+    (None, None),
+])
+def test_canonical_targets(html, target):
+    assert redirects.canonical_target(html, "http://h.com/a/b?q=1") == target
+
+
+def test_addresses_resolve_as_the_standard_says():
+    """The examples of RFC 3986, section 5.4, without fragments."""
+    base = "http://a/b/c/d;p?q"
+    examples = {
+        "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g",
+        "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", ";x": "http://a/b/c/;x", "": "http://a/b/c/d;p?q",
+        ".": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g",
+        "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g",
+        "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g;x=1/../y": "http://a/b/c/y",
+    }
+    assert {x: redirects.resolved(base, x) for x in examples} == examples
+
+
+def test_open_tags_and_quotes_take_time_in_proportion():
+    import time
+
+    def seconds(text):
+        start = time.process_time()
+        redirects.canonical_target(text, "http://h.com/")
+        return time.process_time() - start
+
+    for part in ('<link "', "<link a='", "<!--", "<link rel=canonical ", "<script>"):
+        assert seconds(part * 40_000) < 2
+
+
+def test_aliases_by_relative_links(spark):
+    rows = [
+        (1, "http://x.com/a/1", '<link rel=canonical href="../de/z">', "http://x.com/de/z"),
+        (2, "http://y.com/a/1", "<link rel=canonical href=y>", "http://y.com/a/y"),
+        (3, "http://y.com/a/y", '<meta http-equiv="refresh" content="0; url=http://q.net/">', ""),
+    ]
+    rules = redirects.rule_frame(spark, [("block", "net", "/"), ("block", "x.com", "/de/")])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, target string")
+    got = {r["page_id"]: r["verdict"] for r in redirects.judge(pages, rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "block"}
+
+
+@pytest.mark.parametrize("text", [
+    "10.000.000 Euro", "100 000 000 euros", "at 48.8566140 north", "1990 2000 2010", "ISBN 978-3-16-148410-0",
+    "ISBN-10: 3-16-148410-0",
+])
+def test_numbers_that_are_no_telephone_numbers(spark, text):
+    found = pseudonyms.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    assert (found["text"], found["n_found"]) == (text, 0)
+
+
+def test_telephone_numbers_are_still_found(spark):
+    texts = ["555-123-4567", "(555) 123-4567", "+49 30 123456", "06 12 34 56 78", "+33 6 12 34 56 78", "+1 212 555 0199"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pseudonyms.pseudonymise(rows, "k").collect()}
+    assert all(found[k]["n_found"] == 1 and found[k]["text"] != t for k, t in enumerate(texts))
