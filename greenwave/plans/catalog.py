@@ -16,8 +16,10 @@ from greenwave.operators.incidents import incident_lifetimes, interval_join, sev
 from greenwave.operators.metrics import window_metrics
 from greenwave.plans import fixtures
 from greenwave.schemas import DECISION, INCIDENT, VEHICLE
-from greenwave.sources.batches import last_emission
-from greenwave.sources.topics import stream_parquet
+from greenwave.session import shared_folder
+from greenwave.sources.batches import append_batches, last_emission, read_batches
+from greenwave.sources.recorded import record_topic, stream_recorded
+from greenwave.sources.topics import received_decisions, stream_parquet
 from greenwave.streaming.decisions import stream_decisions
 from greenwave.streaming.incidents import stream_incidents
 from greenwave.streaming.jobs import counted, run_available, run_slices
@@ -401,6 +403,35 @@ def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(reduce(DataFrame.unionByName, snapshots))
 
 
+def topic_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published decisions recorded in a topic and followed by offset, over two micro-batches.
+
+    Every hundredth payload is damaged.
+    """
+    sent = keyed_json(fixtures.decided(spark, sf_dir), keep=("first_event_id", "decision_timestamp", "window_start"))
+    sent = sent.selectExpr(
+        "key",
+        "IF(first_event_id % 100 = 4, left(value, 20), value) AS value",
+        "CAST(decision_timestamp AS TIMESTAMP) AS timestamp",
+        "window_start",
+    )
+    folder = shared_folder(spark, "topic_decisions")
+    for early in (True, False):
+        part = sent.where(f"(day(window_start) < {SLICES[1]}) = {early}").drop("window_start")
+        record_topic(part, f"{folder}/topic")
+        messages = stream_recorded(spark, f"{folder}/topic", "earliest")
+        query = (
+            received_decisions(messages)
+            .writeStream.foreachBatch(append_batches(f"{folder}/received"))
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    received = _iso(read_batches(spark, f"{folder}/received"), "received_at")
+    return received.selectExpr("CAST(batch_id AS INT) AS slice", "received_at", *DECISION.fieldNames(), "reason")
+
+
 QUERIES: dict[str, Query] = {
     "decode_vehicle_json": decode_vehicle_json,
     "decode_incident_json": decode_incident_json,
@@ -439,5 +470,6 @@ QUERIES: dict[str, Query] = {
     "stream_latency_summary": stream_latency_summary,
     "stream_final_decisions": stream_final_decisions,
     "stream_batch_counts": stream_batch_counts,
+    "topic_decisions": topic_decisions,
     "stream_live_state": stream_live_state,
 }

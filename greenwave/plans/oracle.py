@@ -145,6 +145,8 @@ DECISION_COLUMNS = (
     "traffic_mode, green_duration_sec, red_duration_sec"
 )
 
+RECORD_REST = [*DECISION_COLUMNS.split(", ")[1:], "decision_timestamp"]
+
 RECORDS = f"""
 records AS (
   SELECT {DECISION_COLUMNS}, {_iso('decided')} AS decision_timestamp,
@@ -482,4 +484,14 @@ SELECT * EXCLUDE (arrived, born, ts), {GREEN} AS green_duration_sec, CAST(90 - {
        strftime(arrived, '%Y-%m-%dT%H:%M:%S.%g') AS received_at
 FROM upto
 QUALIFY row_number() OVER (PARTITION BY slice, intersection_id ORDER BY arrived DESC, window_start DESC) = 1""",
+    "topic_decisions": _with(*SECOND_RECORDS) + f"""
+, sent AS (
+  SELECT *, first_event_id % 100 = 4 AS bad, CASE WHEN day(CAST(window_start AS TIMESTAMP)) < 17 THEN 0 ELSE 1 END AS slice
+  FROM records)
+SELECT CAST(slice AS INTEGER) AS slice, {_iso('decided')} AS received_at,
+       CASE WHEN bad THEN 'UNKNOWN' ELSE intersection_id END AS intersection_id,
+       {", ".join(f"CASE WHEN NOT bad THEN {c} END AS {c}" for c in RECORD_REST)},
+       CASE WHEN bad THEN -1.0::DOUBLE ELSE e2e_latency_ms END AS e2e_latency_ms,
+       CASE WHEN bad THEN 'malformed_json' END AS reason
+FROM sent""",
 }

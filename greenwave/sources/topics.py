@@ -55,13 +55,17 @@ def read_topic_batch(
     return spark.read.format("kafka").options(**options).load()
 
 
-def read_decision_topic(spark: SparkSession, servers: str, **options) -> DataFrame:
-    """Decision stream with decoded columns and ``reason`` for unusable records.
+def received_decisions(messages: DataFrame) -> DataFrame:
+    """Decision messages of a topic with decoded columns and ``reason`` for unusable records.
 
-    The broker's ``timestamp`` of each record is its arrival time.
+    A message's ``timestamp`` is its arrival time.
     """
-    raw = read_topic(spark, DECISIONS_TOPIC, servers, **options)
-    return decode_decisions(raw.select("value", F.col("timestamp").alias("received_at")))
+    return decode_decisions(messages.select("value", F.col("timestamp").alias("received_at")))
+
+
+def read_decision_topic(spark: SparkSession, servers: str, **options) -> DataFrame:
+    """The decision topic of a broker as a stream, decoded by ``received_decisions``."""
+    return received_decisions(read_topic(spark, DECISIONS_TOPIC, servers, **options))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
