@@ -36,6 +36,12 @@ def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Empty the table behind ``df``, which ``stored`` returned and nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
+
+
 def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is.
 

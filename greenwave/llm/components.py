@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenwave.llm.common import stored
+from greenwave.llm.common import discard, stored
 
 
 def _fingerprint(edges: DataFrame):
@@ -49,8 +49,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     nodes = clean.select(F.col("a").alias("node")).union(clean.select("b")).distinct()
     star, seen = clean.where("a <> b"), None
     while True:
-        star = stored(_small_star(_large_star(star)), "stars")
+        last, star = star, stored(_small_star(_large_star(star)), "stars")
         now = _fingerprint(star)
+        if seen is not None:
+            discard(last)
         if now == seen or now[0] == 0:
             break
         seen = now

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenwave.llm.common import broadcast_below, stored
+from greenwave.llm.common import broadcast_below, discard, stored
 from greenwave.llm.components import connected_components
 
 #: Constants of the polynomial that mixes word hashes into a shingle hash (odd 64-bit values).
@@ -138,7 +138,7 @@ def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int,
     )
     need = _need("n", percent)
     rows = rows.where(f"size(found) >= {need}").withColumn("found", F.array_sort("found"))
-    return stored(
+    sets = stored(
         rows.selectExpr(
             "key",
             "n",
@@ -157,6 +157,8 @@ def _rare_first(docs: DataFrame, survivors: DataFrame, width: int, percent: int,
         ),
         "sets",
     )
+    discard(postings)
+    return sets
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int, candidates: bool = False) -> DataFrame:
@@ -201,16 +203,20 @@ def _first_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _later_pairs(members: DataFrame, sets: DataFrame, many: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Open members beside all others of other components in their buckets, ``many`` of each bucket.
+    """Open members beside those of other components in their buckets that they can be linked with,
+    ``many`` of each bucket.
 
-    The pairs, and the bucket members that were such pivots. Those whose tokens are commonest go first.
+    The pairs, and the bucket members that were such pivots. Those whose tokens are commonest go
+    first. Two members of a group have at most the lesser of their overlaps with the first pivot
+    (``o``; 0 where all tokens count) and the lesser of their other shared tokens (``held``) in common.
     """
     order = Window.partitionBy("bucket").orderBy(F.desc("common"), "key")
     ranked = members.where("open").join(sets.select("key", "common"), "key")
     turns = ranked.withColumn("turn", F.row_number().over(order)).where(f"turn <= {many}")
-    pivots = turns.selectExpr("bucket", "key AS pivot", "key_c AS pivot_c", "n AS m", "turn")
+    pivots = turns.selectExpr("bucket", "key AS pivot", "key_c AS pivot_c", "n AS m", "o AS o_2", "held AS held_2")
     on = F.expr(
-        f"key <> pivot AND key_c <> pivot_c AND {percent} * greatest(n, m) <= 100 * least(n, m)"
+        f"""key <> pivot AND key_c <> pivot_c AND {percent} * greatest(n, m) <= 100 * least(n, m)
+        AND least(o, o_2) + least(held, held_2) >= {_overlap_need('n', 'm', percent)}"""
     )
     paired = members.join(pivots, (members["bucket"] == pivots["bucket"]) & on)
     paired = paired.selectExpr("least(key, pivot) AS key", "greatest(key, pivot) AS pivot").distinct()
@@ -247,11 +253,12 @@ def _next_members(checked: DataFrame, labels: DataFrame, sets: DataFrame, percen
     groups = known.where("open").select("pivot").distinct()
     need = _need("n", percent)
     busy = known.join(groups, "pivot").withColumn("short", F.expr(f"greatest({need} - o, 1)"))
-    about = ["pivot", "key", "open", "key_c", "n"]
+    about = ["pivot", "key", "open", "key_c", "n", "o"]
     outside = busy.where("size(outside) >= short").select(
         *about, "short", F.lit(False).alias("inside"), F.explode("outside").alias("token")
     )
-    within = busy.where(f"o >= {need} AND (open OR n < m)").select(*about, F.expr(need).alias("short"))
+    within = busy.where(f"o >= {need} AND (open OR n < m)").withColumn("o", F.lit(0).cast("int"))
+    within = within.select(*about, F.expr(need).alias("short"))
     within = within.join(sets.select("key", "tokens"), "key").select(
         *about, "short", F.lit(True).alias("inside"), F.explode("tokens").alias("token")
     )
@@ -266,20 +273,29 @@ def _next_members(checked: DataFrame, labels: DataFrame, sets: DataFrame, percen
         F.first("key_c").alias("key_c"),
         F.first("short").alias("short"),
         F.first("n").alias("n"),
+        F.first("o").alias("o"),
         F.collect_list(F.struct("df", "token")).alias("found"),
     )
     lists = lists.where("size(found) >= short").withColumn(
         "prefix", F.expr("slice(array_sort(found), 1, CAST(greatest(size(found) - short + 1, 0) AS INT)).token")
     )
-    members = lists.select("open", "key", "key_c", "n", "pivot", "inside", F.explode("prefix").alias("token"))
-    return _mixed(members.select(F.xxhash64("pivot", "inside", "token").alias("bucket"), "key", "key_c", "open", "n"))
+    about = ["key", "key_c", "open", "n", "o"]
+    members = lists.select(
+        "pivot", "inside", *about, F.size("found").alias("held"), F.explode("prefix").alias("token")
+    )
+    members = _mixed(members.select(F.xxhash64("pivot", "inside", "token").alias("bucket"), *about, "held"))
+    discard(known)
+    discard(held)
+    return members
 
 
 def _mixed(members: DataFrame) -> DataFrame:
     """The members of buckets with several components, stored."""
     members = stored(members, "members")
     live = members.groupBy("bucket").agg(F.min("key_c").alias("low"), F.max("key_c").alias("high"))
-    return stored(members.join(live.where("low <> high").select("bucket"), "bucket"), "open")
+    found = stored(members.join(live.where("low <> high").select("bucket"), "bucket"), "open")
+    discard(members)
+    return found
 
 
 def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
@@ -326,23 +342,27 @@ def _components(
     classes = stored(classes, "classes")
     survivors = _survivors(docs, classes, width, percent, share)
     sets = _rare_first(docs, survivors, width, percent, broadcast_rows)
+    discard(survivors)
     members = sets.select(F.explode("prefix").alias("bucket"), "key")
     checked = stored(_verify(_first_pairs(members, sets), sets, percent), "checked")
-    links = checked.where("linked").selectExpr("key AS a", "pivot AS b")
+    links = stored(checked.where("linked").selectExpr("key AS a", "pivot AS b"), "links")
     labels = stored(connected_components(links), "labels")
-    members, many = _next_members(checked, labels, sets, percent), 4
-    seen = checked.selectExpr("least(key, pivot) AS key", "greatest(key, pivot) AS pivot")
+    members, many = _next_members(checked, labels, sets, percent), 16
+    seen = stored(checked.selectExpr("least(key, pivot) AS key", "greatest(key, pivot) AS pivot"), "seen")
+    discard(checked)
     while not members.isEmpty():
         pairs, turns = _later_pairs(members, sets, many, percent)
         pairs = stored(pairs.join(seen, ["key", "pivot"], "left_anti"), "pairs")
-        checked = stored(_verify(pairs, sets, percent, True).where("linked").select("key", "pivot"), "checked")
-        if not checked.isEmpty():
-            links = links.unionByName(checked.selectExpr("key AS a", "pivot AS b"))
+        new = stored(_verify(pairs, sets, percent, True).where("linked").selectExpr("key AS a", "pivot AS b"), "links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
             labels = stored(connected_components(links), "labels")
-        seen, many = seen.unionByName(pairs), many * 8
+        seen, many = seen.unionByName(pairs), many * 16
         # A pivot is done with its bucket; who has joined the component of all others is, too.
         left = members.join(turns, ["bucket", "key"], "left_anti").drop("key_c")
-        members = _mixed(_labelled(left, labels, "key").select("bucket", "key", "key_c", "open", "n"))
+        left = _labelled(left, labels, "key").select(*members.columns)
+        before, members = members, _mixed(left)
+        discard(before)
     joined = classes.join(labels, classes["key"] == labels["node"], "left").select(
         "key", "least_id", "copies", "first", F.coalesce("component", "key").alias("component")
     )
