@@ -403,6 +403,17 @@ def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(reduce(DataFrame.unionByName, snapshots))
 
 
+def stream_incident_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents as the append-mode feed hands them on, late ones too, by the micro-batch they came in."""
+    feed = run_slices(
+        _slices(spark, sf_dir, "event_id % 19 = 0"),
+        lambda events: stream_incidents(fixtures.incidents_from(events)),
+        "append",
+        "incident_feed",
+    )
+    return _iso(feed, "event_time")
+
+
 def topic_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published decisions recorded in a topic and followed by offset, over two micro-batches.
 
@@ -470,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "stream_latency_summary": stream_latency_summary,
     "stream_final_decisions": stream_final_decisions,
     "stream_batch_counts": stream_batch_counts,
+    "stream_incident_feed": stream_incident_feed,
     "topic_decisions": topic_decisions,
     "stream_live_state": stream_live_state,
 }

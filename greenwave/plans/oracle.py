@@ -494,4 +494,9 @@ SELECT CAST(slice AS INTEGER) AS slice, {_iso('decided')} AS received_at,
        CASE WHEN bad THEN -1.0::DOUBLE ELSE e2e_latency_ms END AS e2e_latency_ms,
        CASE WHEN bad THEN 'malformed_json' END AS reason
 FROM sent""",
+    "stream_incident_feed": _with() + f"""
+SELECT incident_events.* REPLACE ({_iso('event_time')} AS event_time), born AS slice
+FROM incident_events JOIN (
+  SELECT event_id, CAST(least(3, {BORN} + CASE WHEN event_id % 19 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS born FROM events)
+USING (event_id)""",
 }

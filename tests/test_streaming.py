@@ -458,3 +458,33 @@ def test_final_keeps_late_incidents_and_spreads_one_intersection(spark):
     assert got == {r.window_end: (r.total_vehicles, r.latest_severity, r.worst_severity) for r in want}
     assert len({v[1:] for v in got.values()}) > 5
     assert all(len({r.task for r in rows if r.slice == k}) > 1 for k in range(3))
+
+
+def test_jobs_run_on_processing_time_triggers(spark, feed, tmp_path):
+    """Two queries go on by themselves: what comes later is decided later, without a restart."""
+    feed.add([vehicle(1, "A", 30)], [incident(0, "A", "HIGH", 5)])
+    queries = start_decision_job(
+        stream_json_lines(spark, feed.path("vehicles")),
+        stream_json_lines(spark, feed.path("incidents")),
+        append_batches(f"{tmp_path}/decisions"),
+        append_batches(f"{tmp_path}/quarantine"),
+        f"{tmp_path}/checkpoints",
+        length="10 seconds",
+        trigger="500 milliseconds",
+    )
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        feed.add([vehicle(15, "A", 2), "oops"])
+        for query in queries:
+            query.processAllAvailable()
+        assert all(query.isActive for query in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    rows = read_batches(spark, f"{tmp_path}/decisions").collect()
+    assert sorted((r.intersection_id, r.window_start, r.traffic_mode) for r in rows) == [
+        ("A", iso(0), "DENSE"), ("A", iso(10), "FLUID"),
+    ]
+    assert len({r.batch_id for r in rows}) == 2
+    assert [r.reason for r in read_batches(spark, f"{tmp_path}/quarantine").collect()] == ["malformed_json"]
