@@ -2,7 +2,8 @@
 
 A sum of doubles changes in its last bit with the order in which partitions
 arrive, which flips rounding ties. Readings are therefore carried as integers
-(ten-thousandths) and averaged with integer half-up rounding.
+(ten-thousandths) and averaged with integer half-up rounding; what does not fit, further
+decimals and huge values, is carried beside them as a double.
 """
 
 FIXED_UNIT = 10_000
@@ -10,7 +11,7 @@ LIMIT = 1_000_000
 
 
 def to_fixed(value: str) -> str:
-    """Double to a bigint count of ten-thousandths; 0 for what ``beyond_fixed`` carries."""
+    """Double to a bigint count of ten-thousandths; 0 from a million on, infinite or NaN."""
     return (
         f"CASE WHEN {value} IS NULL THEN NULL WHEN abs({value}) < {LIMIT}D "
         f"THEN CAST(round({value} * {FIXED_UNIT}D) AS BIGINT) ELSE 0L END"
@@ -18,12 +19,13 @@ def to_fixed(value: str) -> str:
 
 
 def beyond_fixed(value: str) -> str:
-    """The double itself where it is a million or more in size, infinite or NaN; else 0.
+    """What ``to_fixed`` leaves of a double: further decimals, or all of it from a million on, infinite or NaN.
 
-    Such readings enter a mean as doubles, as in ``avg``, and leave the integer sum of
-    all others as it is.
+    It is exactly 0 for values of up to four decimals. Both parts together are the value, so a mean has
+    the digits that ``avg`` has, and the large part of its sum does not depend on row order.
     """
-    return f"CASE WHEN {value} IS NULL OR abs({value}) < {LIMIT}D THEN 0D ELSE {value} END"
+    left = f"{value} - CAST(round({value} * {FIXED_UNIT}D) AS BIGINT) / {FIXED_UNIT}D"
+    return f"CASE WHEN {value} IS NULL THEN 0D WHEN abs({value}) < {LIMIT}D THEN {left} ELSE {value} END"
 
 
 def ratio_half_up(numerator: str, denominator: str) -> str:

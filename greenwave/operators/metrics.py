@@ -16,6 +16,9 @@ from greenwave.functions import (
     to_fixed,
 )
 
+#: Each part is divided once, so that a mean of integers is rounded once.
+_MEAN = f"(speed_sum / ({FIXED_UNIT}D * nullif(speed_readings, 0)) + speed_rest / nullif(speed_readings, 0))"
+
 
 def window_metrics(
     vehicles: DataFrame,
@@ -32,7 +35,7 @@ def window_metrics(
     shuffle as at most one row per window and input partition.
 
     ``avg_speed_kmh`` is not weighted by vehicles. ``speed_sum`` (ten-thousandths),
-    ``speed_rest`` (readings of a million or more, infinite or NaN, as doubles) and
+    ``speed_rest`` (what that leaves: further decimals, and readings of a million or more) and
     ``speed_readings`` carry the mean for rounding: every reading counts. ``extra`` names
     further aggregates as ``"min(event_id) AS first_event_id"``. Production times
     that do not parse are ignored. ``with_event_time`` adds ``window_time``, the last
@@ -58,7 +61,7 @@ def window_metrics(
         "window.start AS window_start",
         "window.end AS window_end",
         "total_vehicles",
-        f"(speed_sum / {FIXED_UNIT}D + speed_rest) / nullif(speed_readings, 0) AS avg_speed_kmh",
+        f"{_MEAN} AS avg_speed_kmh",
         "min_produced_at",
         "speed_sum",
         "speed_readings",
@@ -75,6 +78,5 @@ def rounded_speed(metrics: DataFrame) -> str:
         plain = f"coalesce({hundredths(exact)}, 0D)"
         if "speed_rest" not in metrics.columns:
             return plain
-        mean = f"(speed_sum / {FIXED_UNIT}D + speed_rest) / nullif(speed_readings, 0)"
-        return f"IF(coalesce(speed_rest, 0D) = 0D, {plain}, round({mean}, 2))"
+        return f"IF(coalesce(speed_rest, 0D) = 0D, {plain}, round({_MEAN}, 2))"
     return "coalesce(round(avg_speed_kmh, 2), 0D)"

@@ -53,6 +53,10 @@ def test_metrics_of_one_window(spark):
     "speeds, mean",
     [
         ((10.0, 20.01), 15.005),
+        ((20.00004, 20.00004), 20.00004),
+        ((0.1 + 0.2,), 0.1 + 0.2),
+        ((33.333333333333336, 12.5, -0.0000001), (33.333333333333336 + 12.5 - 0.0000001) / 3),
+        ((999_999.9999999, 1.0), 500_000.49999995),
         ((2_000_000.0, 30.0), 1_000_015.0),
         ((1e300, 1.0), 5e299),
         ((float("inf"), 1.0), float("inf")),
