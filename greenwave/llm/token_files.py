@@ -19,7 +19,6 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +33,10 @@ from greenwave.session import shared_folder
 SCALE_BITS = 20
 LOW = np.uint64(1 << 32)
 MASK = np.uint64((1 << SCALE_BITS) - 1)
-CHECKPOINT = 128
-BLOCK_TOKENS = 1 << 18
+CHECKPOINT = 64
+BLOCK_TOKENS = 1 << 20
+#: Most lanes of a block: a step handles so many ids at once.
+LANES = 8192
 #: Chunks, and pieces, whose ids a worker remembers.
 REMEMBERED = 600_000
 CUT = re.compile(r"(?<=\S) ")
@@ -175,7 +176,7 @@ class PieceMemory:
             return np.frombuffer(self.whole(text), np.uint32)
         odd = ODD.search(text) is not None
         first, *rest = CUT.split(text) if odd else text.split(" ")
-        body = list(map(self.chunks.get, rest, repeat(b"")))  # known ids are never empty
+        body = list(map(self.chunks.get, rest))  # known ids are never empty
         if not all(body):
             missing = [k for k, ids in enumerate(body) if not ids]
             # Chunks are joined in any order: none may end in space, which only a text's last one can.
@@ -247,7 +248,9 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
         part, first = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         names: list = []
+        counts: list[int] = []
         size = 0
+        end = np.array([end_id], np.uint32)
 
         def block() -> pa.RecordBatch:
             ids = np.concatenate(held)
@@ -257,7 +260,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
                     "part": pa.array([part], pa.int32()),
                     "first": pa.array([first], pa.int64()),
                     "doc_ids": pa.array([names], pa.list_(id_type)),
-                    "counts": pa.array([[len(x) for x in held]], pa.list_(pa.int64())),
+                    "counts": pa.array([counts], pa.list_(pa.int64())),
                     "wide": pa.array([small.itemsize == 4]),
                     "ids": pa.array([small.tobytes()], pa.binary()),
                 }
@@ -268,13 +271,14 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
             id_type = batch.schema.field("doc_id").type
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = tool.encode(text.as_py())
-                held.append(np.append(ids, np.uint32(end_id)))
+                held += (ids, end)
+                counts.append(len(ids) + 1)
                 names.append(name)
                 size += len(ids) + 1
                 if size >= BLOCK_TOKENS:
                     yield block()
                     first += size
-                    held, names, size = [], [], 0
+                    held, names, counts, size = [], [], [], 0
         if held:
             yield block()
 
@@ -332,7 +336,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k].as_py() for c in ("part", "first", "counts", "wide", "ids")}
                 ids = _ids(row["wide"], row["ids"])
-                lanes = max(1, min(1024, len(ids) // 64))
+                lanes = max(1, min(LANES, len(ids) // 64))
                 states, words, marks = encode(place[ids], share, lanes)
                 steps = np.array([m[0] for m in marks], np.int64)
                 places = np.array([m[1] for m in marks], np.int64)
