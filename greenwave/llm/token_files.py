@@ -37,8 +37,8 @@ CHECKPOINT = 64
 BLOCK_TOKENS = 1 << 20
 #: Most lanes of a block: a step handles so many ids at once.
 LANES = 8192
-#: Chunks, and pieces, whose ids a worker remembers.
-REMEMBERED = 600_000
+#: Chunks whose ids a worker remembers, and half as many pieces. Workers stay, and so does this memory.
+REMEMBERED = 450_000
 CUT = re.compile(r"(?<=\S) ")
 ODD = re.compile(r"\s ")
 #: Fixed value: the pattern of byte-level tokenizers.
@@ -188,7 +188,7 @@ class PieceMemory:
         head = self.heads.get(first)
         if head is None:
             head = self._chunks({first}, "", False)[first]
-            if len(self.heads) < self.remembered:
+            if len(self.heads) < self.remembered // 4:
                 self.heads[first] = head
         return np.frombuffer(b"".join([head, *body]), np.uint32)
 
@@ -216,7 +216,7 @@ class PieceMemory:
             ends = (4 * np.searchsorted(at, np.arange(len(missing)), side="right")).tolist()
             raw = ids.tobytes()
             fresh = {p: raw[a:b] for p, a, b in zip(missing, [0, *ends], ends)}
-            if len(known) + len(fresh) <= self.remembered:
+            if len(known) + len(fresh) <= self.remembered // 2:
                 known.update(fresh)
         if not fresh or missing[0] in known:
             out.update((c, b"".join(map(known.__getitem__, pieces))) for c, pieces in zip(plain, cut))
