@@ -133,9 +133,11 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
         run, f"doc_id {kind}, grade double, x binary"
     )
     got = sorted(found.collect(), key=lambda r: (r["doc_id"], r["grade"], bytes(r["x"])))
-    rows = np.frombuffer(b"".join(bytes(r["x"]) for r in got), np.float16).astype(np.float32)
-    rows = rows.reshape(len(got), 2 * HALF)
-    return fit_ordinal(rows, np.array([r["grade"] for r in got], float))
+    grades = np.array([r["grade"] for r in got], float)
+    rows = np.empty((len(got), 2 * HALF), np.float32)
+    for k in range(len(got) - 1, -1, -1):  # the driver holds each vector once
+        rows[k] = np.frombuffer(got.pop()["x"], np.float16)
+    return fit_ordinal(rows, grades)
 
 
 def score(docs: DataFrame, model: OrdinalModel, above: float | None = None, keep_mark: bool = False) -> DataFrame:
