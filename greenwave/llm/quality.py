@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,20 @@ def features(text: str | None) -> np.ndarray:
     return np.concatenate([_counts(grams), _counts(shapes + np.uint32(1))])
 
 
+def packed(row: np.ndarray) -> bytes:
+    """The features of a text as half-precision numbers: the places of those that are not zero, then these."""
+    small = row.astype(np.float16)
+    at = np.flatnonzero(small)
+    return at.astype(np.uint16).tobytes() + small[at].tobytes()
+
+
+def unpacked(raw: bytes, width: int = 2 * HALF) -> np.ndarray:
+    row = np.zeros(width, np.float16)
+    half = len(raw) // 2
+    row[np.frombuffer(raw[:half], np.uint16)] = np.frombuffer(raw[half:], np.float16)
+    return row
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
     """Weights, rising thresholds between the sorted ``grades``."""
@@ -107,7 +122,7 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
 
     Those of least ``xxhash64(doc_id)`` are taken; ratings or texts that are null are not. Where
     an id has several texts, those of least hash are taken, and equal rows count once.
-    The driver receives ``max_rows`` feature vectors of fixed width.
+    The driver receives ``max_rows`` feature vectors, without their zeros.
     """
     chosen = (
         ratings.select("doc_id", F.col(grade).cast("double").alias("grade"))
@@ -118,7 +133,7 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+            rows = [packed(features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("grade"), pa.array(rows, pa.binary())],
                 ["doc_id", "grade", "x"],
@@ -132,11 +147,14 @@ def train(docs: DataFrame, ratings: DataFrame, grade: str, max_rows: int = 3000)
     found = rated.select("doc_id", "grade", "text").mapInArrow(
         run, f"doc_id {kind}, grade double, x binary"
     )
-    got = sorted(found.collect(), key=lambda r: (r["doc_id"], r["grade"], bytes(r["x"])))
+    got = sorted(found.collect(), key=lambda r: (r["doc_id"], r["grade"]))
     grades = np.array([r["grade"] for r in got], float)
     rows = np.empty((len(got), 2 * HALF), np.float32)
-    for k in range(len(got) - 1, -1, -1):  # the driver holds each vector once
-        rows[k] = np.frombuffer(got.pop()["x"], np.float16)
+    k = 0
+    for _, same in groupby(got, lambda r: (r["doc_id"], r["grade"])):
+        for row in sorted((unpacked(bytes(r["x"])) for r in same), key=lambda x: x.tobytes()):
+            rows[k] = row
+            k += 1
     return fit_ordinal(rows, grades)
 
 
