@@ -13,6 +13,8 @@ from greenwave.session import shared_folder
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Java and DuckDB pattern of one word between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting: the shuffle files of a query are removed at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +30,20 @@ def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage.
 
     Any executor can be lost afterwards: the rows lie in the folder that
-    ``spark.checkpoint.dir`` names, not on the executors.
+    ``spark.checkpoint.dir`` names, not on the executors. Spark removes the shuffle files of the
+    write as it ends, not when the driver next collects its garbage.
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path, **options)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, **options)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ these are looked up in the next round, by (pivot, outside token). See ``_next_me
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +66,8 @@ def prefix_extra(n, share: int):
     return (n + share - 1) // share
 
 
-def _sets(docs: DataFrame, width: int, keep) -> DataFrame:
-    """``doc_id``, ``mark`` (hash of the text), ``n``, ``key`` (hash of the whole set) and the tokens that ``keep`` picks."""
+def _sets(docs: DataFrame, width: int, keep: Callable[[int], int]) -> DataFrame:
+    """``doc_id``, ``mark`` (hash of the text), ``n``, ``key`` (hash of the whole set) and the first ``keep(n)`` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,15 +78,12 @@ def _sets(docs: DataFrame, width: int, keep) -> DataFrame:
                 batch.column("mark"),
                 pa.array(np.array([len(s) for s in found], np.int64)),
                 pa.array(keys.view(np.int64)),
+                _lists([s[: keep(len(s))] for s in found]),
             ]
-            names = ["doc_id", "mark", "n", "key"]
-            if keep is not None:
-                columns.append(_lists([s[: keep(len(s))] for s in found]))
-                names.append("tokens")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "n", "key", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, mark long, n long, key long" + (", tokens array<long>" if keep else "")
+    schema = f"doc_id {kind}, mark long, n long, key long, tokens array<long>"
     return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, schema)
 
 
@@ -100,13 +97,14 @@ def _overlap_need(n: str, m: str, percent: int) -> str:
     return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
 
 
-def _survivors(docs: DataFrame, classes: DataFrame, width: int, percent: int, share: int) -> DataFrame:
-    """Classes that may have a partner by the first order (token hash)."""
+def prefix_length(n: int, percent: int, share: int) -> int:
+    """Tokens of a set of ``n`` that the first order looks at."""
+    return n - (percent * n + 99) // 100 + prefix_extra(n, share) if n else 0
 
-    def prefix(n: int) -> int:
-        return n - (percent * n + 99) // 100 + prefix_extra(n, share) if n else 0
 
-    postings = _sets(docs, width, prefix).select("key", F.explode("tokens").alias("token"))
+def _survivors(prefixes: DataFrame, classes: DataFrame, percent: int, share: int) -> DataFrame:
+    """Classes that may have a partner by the first order (token hash); ``tokens`` are the prefixes."""
+    postings = prefixes.select("key", F.explode("tokens").alias("token"))
     # Copies of one set count once: a token is shared if two different sets hold it.
     shared = (
         postings.groupBy("token")
@@ -334,13 +332,16 @@ def _components(
 
     ``first`` is the row of least id, of equal ids that of least ``mark``; null ids are last.
     """
-    rows = stored(_sets(docs, width, None), "rows")
+    # Texts are read and hashed once for their keys and for the first order.
+    prefixes = stored(_sets(docs, width, lambda n: prefix_length(n, percent, share)), "prefixes")
+    rows = stored(prefixes.drop("tokens"), "rows")
     classes = rows.where("n > 0").groupBy("key").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
         F.min(F.expr("named_struct('none', doc_id IS NULL, 'id', doc_id, 'mark', mark)")).alias("first"),
     )
     classes = stored(classes, "classes")
-    survivors = _survivors(docs, classes, width, percent, share)
+    survivors = _survivors(prefixes, classes, percent, share)
+    discard(prefixes)
     sets = _rare_first(docs, survivors, width, percent, broadcast_rows)
     discard(survivors)
     members = sets.select(F.explode("prefix").alias("bucket"), "key")

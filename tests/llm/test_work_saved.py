@@ -26,3 +26,30 @@ def test_training_vectors_travel_without_zeros(spark, monkeypatch):
     want = sorted(((k % 3, quality.features(t).astype(np.float16).tobytes()) for k, t in enumerate(texts)))
     assert [r.astype(np.float16).tobytes() for r in seen[0][0]] == [x for _, x in want]
     assert seen[0][1].tolist() == [1, 1, 0, 1]
+
+
+def test_texts_are_hashed_once_for_keys_and_first_order(spark, monkeypatch):
+    """Beside the survivors, whose whole sets are read, each text is cut into shingles once."""
+    calls, plain = [], ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda *a: calls.append(a) or plain(*a))
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(base), "s"), (2, " ".join([*base, "end"]), "s"), (3, "other words here", "s"), (4, None, "s")]
+    got = ngram_join.near_duplicate_classes(frame(spark, rows)).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == {(1, 56, 1), (2, 57, 1), (3, 1, 3), (4, 0, 4)}
+    assert len(calls) == 2
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    def shuffles():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for k in range(found.size()) if (n := found.apply(k).getName()).startswith("shuffle_")}
+
+    before, set_before = shuffles(), spark.conf.get(common.CLEANUP)
+    df = common.stored(spark.range(1000).repartition(5, "id").groupBy(F.expr("id % 7 AS a")).count(), "shuffled")
+    assert {(r["a"], r["count"]) for r in df.collect()} == {(k, 143 if k < 6 else 142) for k in range(7)}
+    assert spark.conf.get(common.CLEANUP) == set_before
+    for _ in range(40):  # the files go in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.25)
+    assert not left
