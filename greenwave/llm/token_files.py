@@ -16,12 +16,14 @@ A coder's state stays in [2**32, 2**64); words enter and leave it 32 bits at a t
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,9 @@ BLOCK_TOKENS = 1 << 20
 LANES = 8192
 #: Chunks whose ids a worker remembers, and half as many pieces. Workers stay, and so does this memory.
 REMEMBERED = 450_000
+#: Bytes of text that are cut at once, and chunks that the library encodes in one call.
+SLICE_BYTES = 16 << 20
+CHUNKS = 2000
 CUT = re.compile(r"(?<=\S) ")
 ODD = re.compile(r"\s ")
 #: Fixed value: the pattern of byte-level tokenizers.
@@ -134,6 +139,11 @@ def decode(
     return out
 
 
+def _stretches(flat: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` values of ``flat`` from each of ``starts``, one stretch behind the other."""
+    return flat[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
 class PieceMemory:
     """A byte-level tokenizer that looks up the ids of pieces it has met.
 
@@ -143,11 +153,15 @@ class PieceMemory:
     ``remembered`` chunks, first chunks and pieces stay in memory; those that come later, which are the
     rarer ones, are encoded anew. Chunks beyond Latin letters and texts that hold an added token go
     to the library whole, and so does every text if the tokenizer is of another kind.
+
+    ``encode_all`` encodes many texts: the library reads each distinct chunk of a slice once, and what
+    belongs to a chunk is told by the lengths of the tokens in bytes.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
         self.tool = Tokenizer.from_file(path)
         kind = json.loads(self.tool.to_str())
         first = kind["pre_tokenizer"] or {}
@@ -159,6 +173,12 @@ class PieceMemory:
             and not first.get("add_prefix_space", True)
         )
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
+        vocabulary = self.tool.get_vocab()
+        #: Bytes of each token; none if chunks cannot be told apart by them.
+        self.lengths = np.zeros(0, np.int64)
+        if self.plain and not any(" " in t for t in self.added) and vocabulary.keys() >= set(BYTE_LETTERS.values()):
+            self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         self.model = Tokenizer(self.tool.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.remembered = remembered
@@ -192,6 +212,107 @@ class PieceMemory:
                 self.heads[first] = head
         return np.frombuffer(b"".join([head, *body]), np.uint32)
 
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """``encode`` of each of ``texts``, slice by slice."""
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(texts):
+            return
+        starts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES, prepend=-1)).tolist()
+        for low, high in zip(starts, [*starts[1:], len(texts)], strict=True):
+            yield from self._slice(pc.fill_null(texts.slice(low, high - low), ""))
+
+    def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        first, last = at[:-1] - at[0], at[1:] - at[0] - 1
+        coded = lists.flatten().dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        chunks = coded.dictionary
+        # White space before a space, or a space at the start: such texts are cut elsewhere.
+        final = pc.utf8_slice_codeunits(chunks, -1)
+        loose = pc.or_(pc.equal(final, ""), pc.utf8_is_space(final)).to_numpy(zero_copy_only=False)
+        inner = loose[code]
+        inner[last] = False
+        alone = np.logical_or.reduceat(inner, first)
+        for content in self.added:
+            alone |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        alone |= not len(self.lengths)
+        # A chunk is read behind a space, the first of a text is not; one that ends in space is a text's last.
+        here = np.repeat(~alone, last - first + 1)
+        body = here.copy()
+        body[first] = False
+        used = np.zeros(len(chunks), bool)
+        used[code[body]] = True
+        heads, code[first] = np.unique(code[first], return_inverse=True)
+        code[first] += len(chunks)
+        tidy = np.flatnonzero(used & ~loose)
+        found = [(tidy, *self._tidy(chunks.take(pa.array(tidy))))]
+        for k in np.flatnonzero(used & loose).tolist():
+            found.append(([k], *self._joined([f" {chunks[k].as_py()}"])))
+        for k, head in enumerate(chunks.take(pa.array(heads)).to_pylist(), len(chunks)):
+            found.append(([k], *self._joined([head])))
+        order = np.concatenate([np.asarray(places, np.int64) for places, _, _ in found])
+        size = np.concatenate([n for _, _, n in found])
+        flat = np.concatenate([ids for _, ids, _ in found])
+        counts = np.zeros(len(chunks) + len(heads), np.int64)
+        starts = counts.copy()
+        counts[order], starts[order] = size, np.cumsum(size) - size
+        n = np.where(here, counts[code], 0)
+        ends = np.cumsum(n)
+        out = _stretches(flat, starts[code], n)
+        for k, (low, high) in enumerate(zip((ends - n)[first].tolist(), ends[last].tolist(), strict=True)):
+            yield self.encode(texts[k].as_py()) if alone[k] else out[low:high]
+
+    def _tidy(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks behind a space and how many belong to each; none is empty or ends in white space."""
+        far = pc.match_substring_regex(chunks, r"[^\x{0}-\x{24F}]").to_numpy(zero_copy_only=False)
+        latin = chunks.filter(pa.array(~far))
+        beyond = [f" {c}" for c in chunks.filter(pa.array(far)).to_pylist()]
+        joined = pa.ListArray.from_arrays(pa.array([0, len(latin)], pa.int32()), latin)
+        cut = pa.array(PIECE.findall(" " + pc.binary_join(joined, " ")[0].as_py()) if len(latin) else [], pa.string())
+        # A piece that begins with a space begins a chunk; another space of a chunk ends a run of white space.
+        begins = np.flatnonzero(pc.starts_with(cut, " ").to_numpy(zero_copy_only=False))
+        coded = cut.dictionary_encode()
+        code = coded.indices.to_numpy()
+        pieces = coded.dictionary.to_pylist()
+        ids = list(map(self.pieces.get, pieces))
+        missing = [k for k, known in enumerate(ids) if known is None]
+        for low in range(0, len(missing), CHUNKS):
+            part = missing[low : low + CHUNKS]
+            raw = list(map(str.encode, [pieces[k] for k in part]))
+            # 0xFF is no byte of UTF-8: it stands between pieces.
+            joined = b"\xff".join(raw).decode("latin-1").translate(SPACED_LETTERS)
+            got, n = self._split(self.model, joined, list(map(len, raw)))
+            ends = np.cumsum(n) * 4
+            body = got.tobytes()
+            for k, a, b in zip(part, (ends - 4 * n).tolist(), ends.tolist(), strict=True):
+                ids[k] = body[a:b]
+        for k in missing[: max(0, self.remembered // 2 - len(self.pieces))]:
+            self.pieces[pieces[k]] = ids[k]
+        size = np.array(list(map(len, ids)), np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        n = size[code]
+        parts = [_stretches(flat, (np.cumsum(size) - size)[code], n)]
+        counts = np.zeros(len(chunks), np.int64)
+        counts[~far] = np.add.reduceat(n, begins) if len(begins) else 0
+        starts = np.zeros(len(chunks), np.int64)
+        starts[~far] = np.cumsum(counts[~far]) - counts[~far]
+        if beyond:
+            for low in range(0, len(beyond), CHUNKS):
+                parts.append((more := self._joined(beyond[low : low + CHUNKS]))[0])
+                counts[np.flatnonzero(far)[low : low + CHUNKS]] = more[1]
+            starts[far] = len(parts[0]) + np.cumsum(counts[far]) - counts[far]
+        return _stretches(np.concatenate(parts), starts, counts), counts
+
+    def _joined(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``parts``, which the tokenizer does not join, and how many belong to each."""
+        return self._split(self.tool, "".join(parts), [len(p.encode()) for p in parts])
+
+    def _split(self, tool, text: str, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(tool.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes), side="right")
+        return ids, np.diff(ends, prepend=0)
+
     def _chunks(self, chunks: set[str], before: str, one_space: bool) -> dict[str, bytes]:
         """Ids of chunks, each read behind ``before``.
 
@@ -269,8 +390,8 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
         id_type = None
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = tool.encode(text.as_py())
+            found = tool.encode_all(batch.column("text"))
+            for name, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 held += (ids, end)
                 counts.append(len(ids) + 1)
                 names.append(name)

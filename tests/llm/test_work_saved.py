@@ -53,3 +53,20 @@ def test_stored_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.25)
     assert not left
+
+
+def test_many_texts_are_encoded_as_by_the_library(monkeypatch):
+    """Cut in slices, whatever the white space, and a chunk of a slice is read once."""
+    odd = ["a\n", "b a\n", "ÿ ÿ a", "c\rd \re", "\n b", "a\x85 b", "a  b c", "x　 y  z", "a\x1c b", "q\x0b r "]
+    tool = token_files.PieceMemory(tokenizer_file(), 40)
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(token_files, "SLICE_BYTES", size)
+        for texts in (AWKWARD + odd, (AWKWARD + odd)[::-1] * 2, [""], [None], [" "], [], ["中文 字 z 中 é" * 3, "字 z"]):
+            got = list(tool.encode_all(pa.array(texts, pa.string())))
+            want = [tool.tool.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert [g.tolist() for g in got] == want
+    assert len(tool.pieces) <= 40
+    cut = []
+    monkeypatch.setattr(token_files.PieceMemory, "_tidy", lambda self, c, f=tool._tidy: cut.append(c.to_pylist()) or f(c))
+    assert len(list(tool.encode_all(pa.array(["one two three two", "a two three"] * 50)))) == 100
+    assert [sorted(c) for c in cut] == [["three", "two"]]
