@@ -39,17 +39,22 @@ CHECKPOINT = 64
 BLOCK_TOKENS = 1 << 20
 #: Most lanes of a block: a step handles so many ids at once.
 LANES = 8192
-#: Chunks whose ids a worker remembers, and half as many pieces. Workers stay, and so does this memory.
+#: Chunks whose ids a worker remembers, half as many pieces of them and, as Arrow columns, as many pieces of
+#: slices of texts. Workers stay, and so does this memory.
 REMEMBERED = 450_000
-#: Bytes of text that are cut at once, and chunks that the library encodes in one call.
-SLICE_BYTES = 16 << 20
+#: Most bytes of a piece that is remembered in a column.
+SHORT = 64
+#: Bytes of text that are cut at once, and chunks (or groups of pieces) that the library encodes in one call.
+SLICE_BYTES = 8 << 20
 CHUNKS = 2000
+GROUP = 30
 CUT = re.compile(r"(?<=\S) ")
 ODD = re.compile(r"\s ")
 #: Fixed value: the pattern of byte-level tokenizers.
 PIECE = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+FAR = r"[^\x{0}-\x{24F}]"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -61,6 +66,18 @@ def _byte_letters() -> dict[int, str]:
 
 BYTE_LETTERS = _byte_letters()
 SPACED_LETTERS = BYTE_LETTERS | {0xFF: " "}
+LETTER_CODES = np.array([ord(BYTE_LETTERS[b]) for b in range(256)], "<u4")
+
+
+def _latin_kinds() -> np.ndarray:
+    """Of each code point below 0x250: 0 the space, 1 other white space, 2 letter, 3 number, 4 anything else."""
+    kinds = np.full(0x250, 4, np.uint8)
+    for kind, pattern in ((2, r"\p{L}"), (3, r"\p{N}"), (1, r"\s"), (0, " ")):
+        kinds[[ord(c) for c in regex.findall(pattern, "".join(map(chr, range(0x250))))]] = kind
+    return kinds
+
+
+LATIN_KINDS = _latin_kinds()
 
 
 def scale(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,9 +156,55 @@ def decode(
     return out
 
 
-def _stretches(flat: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """``n`` values of ``flat`` from each of ``starts``, one stretch behind the other."""
-    return flat[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
+def _raw(array: pa.Array, offset: type, value: type) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a column of strings or bytes; columns without rows have no offsets."""
+    _, offsets, values = array.buffers()
+    at = np.frombuffer(offsets, offset)[array.offset : array.offset + len(array) + 1]
+    return at, np.frombuffer(values, value) if values else np.zeros(0, value)
+
+
+def _bodies(ids: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes of 32-bit ``ids``, cut at ``ends`` (which begins with 0 and counts ids)."""
+    at = pa.py_buffer(np.asarray(ends, np.int64) * 4)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, at, pa.py_buffer(ids)])
+
+
+def _cut(chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``PIECE``'s pieces of Latin chunks, each read behind a space, and how many belong to each chunk.
+
+    No chunk is empty, holds a space or ends in white space. A piece ends where the kind of character changes,
+    except in chunks with apostrophes or adjacent white space, which the pattern itself cuts.
+    """
+    at, values = _raw(chunks, np.int32, np.uint8)
+    text = np.insert(values[at[0] : at[-1]], at[:-1] - at[0], 32)
+    kind = LATIN_KINDS[text]
+    lead = np.flatnonzero(text >= 0xC0)
+    kind[lead] = kind[lead + 1] = LATIN_KINDS[(text[lead].astype(np.int64) & 31) << 6 | text[lead + 1] & 63]
+    before = kind[:-1]
+    starts = np.flatnonzero(np.concatenate([[True], (kind[1:] != before) & (before != 0)]))
+    pieces = pa.StringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(text)).astype(np.int32)), pa.py_buffer(text)
+    )
+    begins = np.flatnonzero(text[starts] == 32)
+    n = np.diff(begins, append=len(starts))
+    wide = (kind[1:] == 1) & (before <= 1) & (text[1:] & 0xC0 != 0x80)
+    knots = np.flatnonzero((text == 39) | np.concatenate([[False], wide]))
+    if not len(knots):
+        return pieces, n
+    knotty = np.zeros(len(chunks), bool)
+    knotty[np.searchsorted(starts[begins], knots, side="right") - 1] = True
+    found = PIECE.findall(" " + " ".join(chunks.filter(pa.array(knotty)).to_pylist()))
+    # A piece that begins with a space begins a chunk; another space of a chunk ends a run of white space.
+    where = np.flatnonzero([p[0] == " " for p in found])
+    plain = np.repeat(~knotty, n)
+    # Pieces in the order of their chunks.
+    n[knotty] = np.diff(where, append=len(found))
+    both = pa.concat_arrays([pieces.filter(pa.array(plain)), pa.array(found, pa.string())])
+    order = np.empty(len(both), np.int64)
+    late = np.repeat(knotty, n)
+    order[~late] = np.arange(int(plain.sum()))
+    order[late] = np.arange(int(plain.sum()), len(both))
+    return both.take(pa.array(order)), n
 
 
 class PieceMemory:
@@ -151,11 +214,13 @@ class PieceMemory:
     that is no space, so texts are cut there, and an unknown chunk is cut by the tokenizer's
     own pattern into the pieces that the library's model then encodes, each once. The first
     ``remembered`` chunks, first chunks and pieces stay in memory; those that come later, which are the
-    rarer ones, are encoded anew. Chunks beyond Latin letters and texts that hold an added token go
-    to the library whole, and so does every text if the tokenizer is of another kind.
+    rarer ones, are encoded anew, and so are long pieces of slices. Chunks beyond Latin letters and
+    texts that hold an added token go to the library whole, and so does every text if the tokenizer
+    is of another kind.
 
-    ``encode_all`` encodes many texts: the library reads each distinct chunk of a slice once, and what
-    belongs to a chunk is told by the lengths of the tokens in bytes.
+    ``encode_all`` encodes many texts: each distinct chunk of a slice is cut once, and the library reads each
+    new piece of a slice once. Pieces stand between bytes that no text holds and no merge joins; what belongs
+    to a chunk that the library reads whole is told by the lengths of the tokens in bytes.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -174,17 +239,25 @@ class PieceMemory:
         )
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         vocabulary = self.tool.get_vocab()
-        #: Bytes of each token; none if chunks cannot be told apart by them.
+        model = kind["model"]
+        alike = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        joint = self.plain and not any(map(model.get, alike))
+        joint = joint and not any(BYTE_LETTERS[0xFF] in t for t in vocabulary.keys() - {BYTE_LETTERS[0xFF], *self.added})
+        #: Bytes of each token; none if pieces and chunks cannot be told apart once joined.
         self.lengths = np.zeros(0, np.int64)
-        if self.plain and not any(" " in t for t in self.added) and vocabulary.keys() >= set(BYTE_LETTERS.values()):
+        if joint and not any(" " in t for t in self.added) and vocabulary.keys() >= set(BYTE_LETTERS.values()):
+            self.between = vocabulary[BYTE_LETTERS[0xFF]]
             self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
             self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         self.model = Tokenizer(self.tool.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.bare = Tokenizer(self.tool.model)
         self.remembered = remembered
         self.heads: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.known = pa.array([], pa.string())
+        self.known_ids = pa.array([], pa.large_binary())
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -220,6 +293,7 @@ class PieceMemory:
         starts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES, prepend=-1)).tolist()
         for low, high in zip(starts, [*starts[1:], len(texts)], strict=True):
             yield from self._slice(pc.fill_null(texts.slice(low, high - low), ""))
+            pa.default_memory_pool().release_unused()  # other workers need it
 
     def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
         lists = pc.split_pattern(texts, " ")
@@ -245,72 +319,81 @@ class PieceMemory:
         used[code[body]] = True
         heads, code[first] = np.unique(code[first], return_inverse=True)
         code[first] += len(chunks)
-        tidy = np.flatnonzero(used & ~loose)
-        found = [(tidy, *self._tidy(chunks.take(pa.array(tidy))))]
-        for k in np.flatnonzero(used & loose).tolist():
-            found.append(([k], *self._joined([f" {chunks[k].as_py()}"])))
-        for k, head in enumerate(chunks.take(pa.array(heads)).to_pylist(), len(chunks)):
-            found.append(([k], *self._joined([head])))
-        order = np.concatenate([np.asarray(places, np.int64) for places, _, _ in found])
-        size = np.concatenate([n for _, _, n in found])
-        flat = np.concatenate([ids for _, ids, _ in found])
-        counts = np.zeros(len(chunks) + len(heads), np.int64)
-        starts = counts.copy()
-        counts[order], starts[order] = size, np.cumsum(size) - size
-        n = np.where(here, counts[code], 0)
-        ends = np.cumsum(n)
-        out = _stretches(flat, starts[code], n)
-        for k, (low, high) in enumerate(zip((ends - n)[first].tolist(), ends[last].tolist(), strict=True)):
+        tidy, ends = np.flatnonzero(used & ~loose), np.flatnonzero(used & loose)
+        singles = chunks.take(pa.array(ends)).to_pylist(), chunks.take(pa.array(heads)).to_pylist()
+        found = [self._chunks(set(part), before, False) for part, before in zip(singles, (" ", ""), strict=True)]
+        rest = [ids[c] for part, ids in zip(singles, found, strict=True) for c in part]
+        # The last body, without ids, stands for the chunks of texts that are encoded alone.
+        bodies = pa.concat_arrays([self._tidy(chunks.take(pa.array(tidy))), pa.array([*rest, b""], pa.large_binary())])
+        place = np.full(len(chunks) + len(heads), len(bodies) - 1)
+        place[tidy] = np.arange(len(tidy))
+        place[ends] = len(tidy) + np.arange(len(ends))
+        place[len(chunks) :] = len(tidy) + len(ends) + np.arange(len(heads))
+        at, out = _raw(bodies.take(pa.array(np.where(here, place[code], len(bodies) - 1))), np.int64, np.uint32)
+        for k, (low, high) in enumerate(zip((at[first] // 4).tolist(), (at[last + 1] // 4).tolist(), strict=True)):
             yield self.encode(texts[k].as_py()) if alone[k] else out[low:high]
 
-    def _tidy(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks behind a space and how many belong to each; none is empty or ends in white space."""
-        far = pc.match_substring_regex(chunks, r"[^\x{0}-\x{24F}]").to_numpy(zero_copy_only=False)
+    def _tidy(self, chunks: pa.Array) -> pa.Array:
+        """Bytes of the ids of chunks, each read behind a space; none is empty or ends in white space."""
+        far = pc.match_substring_regex(chunks, FAR).to_numpy(zero_copy_only=False)
         latin = chunks.filter(pa.array(~far))
+        parts = []
+        if len(latin):
+            pieces, n = _cut(latin)
+            at, ids = _raw(self._piece_ids(pieces), np.int64, np.uint32)
+            parts.append(_bodies(ids, at[np.concatenate([[0], np.cumsum(n)])] // 4))
         beyond = [f" {c}" for c in chunks.filter(pa.array(far)).to_pylist()]
-        joined = pa.ListArray.from_arrays(pa.array([0, len(latin)], pa.int32()), latin)
-        cut = pa.array(PIECE.findall(" " + pc.binary_join(joined, " ")[0].as_py()) if len(latin) else [], pa.string())
-        # A piece that begins with a space begins a chunk; another space of a chunk ends a run of white space.
-        begins = np.flatnonzero(pc.starts_with(cut, " ").to_numpy(zero_copy_only=False))
-        coded = cut.dictionary_encode()
-        code = coded.indices.to_numpy()
-        pieces = coded.dictionary.to_pylist()
-        ids = list(map(self.pieces.get, pieces))
-        missing = [k for k, known in enumerate(ids) if known is None]
-        for low in range(0, len(missing), CHUNKS):
-            part = missing[low : low + CHUNKS]
-            raw = list(map(str.encode, [pieces[k] for k in part]))
-            # 0xFF is no byte of UTF-8: it stands between pieces.
-            joined = b"\xff".join(raw).decode("latin-1").translate(SPACED_LETTERS)
-            got, n = self._split(self.model, joined, list(map(len, raw)))
-            ends = np.cumsum(n) * 4
-            body = got.tobytes()
-            for k, a, b in zip(part, (ends - 4 * n).tolist(), ends.tolist(), strict=True):
-                ids[k] = body[a:b]
-        for k in missing[: max(0, self.remembered // 2 - len(self.pieces))]:
-            self.pieces[pieces[k]] = ids[k]
-        size = np.array(list(map(len, ids)), np.int64) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        n = size[code]
-        parts = [_stretches(flat, (np.cumsum(size) - size)[code], n)]
-        counts = np.zeros(len(chunks), np.int64)
-        counts[~far] = np.add.reduceat(n, begins) if len(begins) else 0
-        starts = np.zeros(len(chunks), np.int64)
-        starts[~far] = np.cumsum(counts[~far]) - counts[~far]
-        if beyond:
-            for low in range(0, len(beyond), CHUNKS):
-                parts.append((more := self._joined(beyond[low : low + CHUNKS]))[0])
-                counts[np.flatnonzero(far)[low : low + CHUNKS]] = more[1]
-            starts[far] = len(parts[0]) + np.cumsum(counts[far]) - counts[far]
-        return _stretches(np.concatenate(parts), starts, counts), counts
+        for low in range(0, len(beyond), CHUNKS):
+            ids, n = self._joined(beyond[low : low + CHUNKS])
+            parts.append(_bodies(ids, np.concatenate([[0], np.cumsum(n)])))
+        if len(parts) < 2:
+            return parts[0] if parts else pa.array([], pa.large_binary())
+        place = np.empty(len(chunks), np.int64)
+        place[~far] = np.arange(len(latin))
+        place[far] = np.arange(len(latin), len(chunks))
+        return pa.concat_arrays(parts).take(pa.array(place))
+
+    def _piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """Bytes of the ids of each piece."""
+        coded = pieces.dictionary_encode()
+        places = pc.index_in(coded.dictionary, value_set=self.known)
+        fresh = coded.dictionary.filter(places.is_null())
+        fresh_ids = self._encoded(fresh)
+        new = places.is_null().to_numpy(zero_copy_only=False)
+        at = places.fill_null(0).to_numpy().astype(np.int64)
+        at[new] = len(self.known) + np.arange(len(fresh))
+        ids = pa.concat_arrays([self.known_ids, fresh_ids])
+        short = pc.binary_length(fresh).to_numpy() <= SHORT
+        kept = pa.array(short & (np.cumsum(short) <= self.remembered - len(self.known)))
+        if kept.true_count:
+            self.known = pa.concat_arrays([self.known, fresh.filter(kept)])
+            self.known_ids = pa.concat_arrays([self.known_ids, fresh_ids.filter(kept)])
+        return ids.take(pa.array(at[coded.indices.to_numpy()]))
+
+    def _encoded(self, pieces: pa.Array) -> pa.Array:
+        """Bytes of the ids that the library's model gives for each of ``pieces``."""
+        if not len(pieces):
+            return pa.array([], pa.large_binary())
+        # 0xFF is no byte of UTF-8: it stands behind each piece.
+        at, raw = _raw(pieces, np.int32, np.uint8)
+        letters = LETTER_CODES[np.insert(raw[at[0] : at[-1]], at[1:] - at[0], 0xFF)].tobytes().decode("utf-32-le")
+        ends = at - at[0] + np.arange(len(at))
+        marks = [*ends[:-1:GROUP].tolist(), len(letters)]
+        groups = [letters[a:b] for a, b in zip(marks, marks[1:])]
+        found = []
+        for low in range(0, len(groups), CHUNKS):
+            for got in self.bare.encode_batch_fast(groups[low : low + CHUNKS], add_special_tokens=False):
+                found.append(np.array(got.ids, np.uint32))
+        ids = np.concatenate(found)
+        between = np.flatnonzero(ids == self.between)
+        if len(between) != len(pieces):
+            raise ValueError("pieces cannot be told apart")
+        return _bodies(np.delete(ids, between), np.concatenate([[0], between - np.arange(len(pieces))]))
 
     def _joined(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of ``parts``, which the tokenizer does not join, and how many belong to each."""
-        return self._split(self.tool, "".join(parts), [len(p.encode()) for p in parts])
-
-    def _split(self, tool, text: str, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(tool.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes), side="right")
+        ids = np.array(self.tool.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) for p in parts]), side="right")
         return ids, np.diff(ends, prepend=0)
 
     def _chunks(self, chunks: set[str], before: str, one_space: bool) -> dict[str, bytes]:

@@ -1,6 +1,8 @@
 """Work that is done once, and what does not stay or travel; results as before."""
 
+import random
 import time
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -70,3 +72,28 @@ def test_many_texts_are_encoded_as_by_the_library(monkeypatch):
     monkeypatch.setattr(token_files.PieceMemory, "_tidy", lambda self, c, f=tool._tidy: cut.append(c.to_pylist()) or f(c))
     assert len(list(tool.encode_all(pa.array(["one two three two", "a two three"] * 50)))) == 100
     assert [sorted(c) for c in cut] == [["three", "two"]]
+
+
+def test_chunks_are_cut_by_columns_and_a_piece_is_encoded_once(monkeypatch):
+    """The pattern sees first chunks and those with apostrophes or adjacent white space, the library each piece once."""
+    pick = random.Random(3)
+    letters = [*"abÉñß09²'.,\"\n\t\r\x0b\x1c\x85\xa0ÿɏ", "'s", "'re", "ll"]
+    chunks = ["".join(pick.choices(letters, k=pick.randint(1, 7))) for _ in range(4000)]
+    chunks = [c for c in chunks if not c[-1].isspace()]
+    want = [token_files.PIECE.findall(f" {c}") for c in chunks]
+    pieces, n = token_files._cut(pa.array(chunks).slice(1))
+    assert (pieces.to_pylist(), n.tolist()) == (sum(want[1:], []), list(map(len, want[1:])))
+
+    cut, asked = [], []
+    pattern = SimpleNamespace(findall=lambda text, find=token_files.PIECE.findall: cut.append(text) or find(text))
+    monkeypatch.setattr(token_files, "PIECE", pattern)
+    tool = token_files.PieceMemory(tokenizer_file())
+    read = tool._encoded
+    tool._encoded = lambda pieces: asked.extend(pieces.to_pylist()) or read(pieces)
+    text = "It plain, words\nétés it's 12a a\n\nb plain, " + "z" * 100
+    for _ in range(3):
+        got = [ids.tolist() for ids in tool.encode_all(pa.array([text, f"{text} words"]))]
+        assert got == [tool.tool.encode(t, add_special_tokens=False).ids for t in (text, f"{text} words")]
+    assert set(cut) == {"It", " it's a\n\nb"}
+    long = " " + "z" * 100  # not remembered
+    assert {p: asked.count(p) for p in asked} == {p: 3 if p == long else 1 for p in asked} and " words" in asked
